@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,7 +32,7 @@ def as_attributions(
 
 def drop_unplaced(df: DataFrame) -> DataFrame:
     """Drop rows that name no taxon at any rank."""
-    return df.filter(F.coalesce(*RANKS).isNotNull())
+    return df.filter(reduce(or_, (F.col(rank).isNotNull() for rank in RANKS)))
 
 
 def rank_of() -> Column:
@@ -55,7 +57,9 @@ def clean_attributions(
     df: DataFrame, label: str = "label", strip: Iterable[str] = ("*",)
 ) -> DataFrame:
     """Placed rows with their rank and a clean, non-NULL label."""
-    return clean_labels(with_rank(drop_unplaced(df)), label, strip).dropna(subset=[label])
+    return clean_labels(with_rank(drop_unplaced(df)), label, strip).filter(
+        F.col(label).isNotNull()
+    )
 
 
 def collapse(df: DataFrame, *by: str, weight: str | None = None) -> DataFrame:

@@ -94,7 +94,8 @@ def genus_obs(counts: DataFrame) -> DataFrame:
     """Votes per (family, genus, label) from species and genus records.
 
     ``counts`` holds all ranks. ``inferred_from_ranks`` lists the ranks the
-    label of a genus was seen at, over all families the genus occurs in.
+    label of a genus was seen at, over all families the genus occurs in; the
+    window for it sees one row per family.
     """
     tags = F.when(F.col(SPECIES).isNotNull(), _rank_bit(SPECIES)).otherwise(_rank_bit(GENUS))
     over_families = F.bit_or("__tags").over(Window.partitionBy(GENUS, "gf"))

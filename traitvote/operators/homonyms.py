@@ -11,6 +11,8 @@ def homonym_pairs(df: DataFrame, child: str, parent: str = FAMILY) -> DataFrame:
     """Distinct (child, parent) pairs of every child with several parents.
 
     A NULL parent does not make a name a homonym, but is listed once it is one.
+    Pairs are made distinct first, so the group of a child is never longer
+    than the list of parents, however many records it has.
     """
     pairs = df.filter(F.col(child).isNotNull()).select(child, parent).distinct()
     parents = F.count(parent).over(Window.partitionBy(child))

@@ -11,44 +11,51 @@ from ..constants import FAMILY, GENUS, RANKS, SPECIES
 ACCEPTED = tuple(f"acc_{rank}" for rank in RANKS)
 ORIGINAL = tuple(f"{rank}_orig" for rank in RANKS)
 
-# What a rule of each scope is matched on, weakest scope first: where several
-# rules write the same name, the later scope wins.
+# What the rules of each scope are matched on, weakest scope first: where
+# several rules write the same name, the later scope wins. One join serves
+# the scopes with equal keys.
 SCOPES = {
-    "genus_family": (GENUS, FAMILY),
-    "genus_family_null_species": (GENUS, FAMILY),
-    "species_family": (SPECIES, FAMILY),
-    "species": (SPECIES,),
+    (GENUS, FAMILY): ("genus_family", "genus_family_null_species"),
+    (SPECIES, FAMILY): ("species_family",),
+    (SPECIES,): ("species",),
 }
+_WEAKEST_FIRST = tuple(scope for scopes in SCOPES.values() for scope in scopes)
 
 
-def _match(df: DataFrame, rules: DataFrame, scope: str) -> DataFrame:
-    """Add the rule of one scope that fits a row, as struct ``__rule_<scope>``."""
-    keys = SCOPES[scope]
+def _rule(scope: str) -> str:
+    return f"__rule_{scope}"
+
+
+def _match(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add the rule of every scope that fits a row, as a struct or NULL."""
     effect = F.struct(
         *(c for rank in RANKS for c in (f"set_{rank}", f"acc_{rank}")), "copy_species", "track"
     )
-    best = (
-        rules.filter(F.col("scope") == scope)
-        .groupBy(*(F.col(k).alias(f"__{k}") for k in keys))
-        .agg(F.min(effect).alias(f"__rule_{scope}"))
+    for keys, scopes in SCOPES.items():
+        best = (
+            rules.filter(F.col("scope").isin(*scopes))
+            .groupBy(*(F.col(k).alias(f"__{k}") for k in keys))
+            .agg(*(F.min(F.when(F.col("scope") == s, effect)).alias(_rule(s)) for s in scopes))
+        )
+        same = [F.col(k) == F.col(f"__{k}") for k in keys]
+        df = df.join(best, same, "left").drop(*(f"__{k}" for k in keys))
+    only_without_species = _rule("genus_family_null_species")
+    return df.withColumn(
+        only_without_species, F.when(F.col(SPECIES).isNull(), F.col(only_without_species))
     )
-    same = [F.col(k) == F.col(f"__{k}") for k in keys]
-    if scope == "genus_family_null_species":
-        same.append(F.col(SPECIES).isNull())
-    return df.join(best, same, "left").drop(*(f"__{k}" for k in keys))
 
 
 def _written(rank: str, current: Column) -> Column:
     """The value of one name after all matched rules."""
 
     def write(value: Column, scope: str) -> Column:
-        rule = F.col(f"__rule_{scope}")
+        rule = F.col(_rule(scope))
         new = rule[f"acc_{rank}"]
         if rank == SPECIES:
             new = F.when(rule["copy_species"], F.col(SPECIES)).otherwise(new)
         return F.when(rule[f"set_{rank}"], new).otherwise(value)
 
-    return reduce(write, SCOPES, current)
+    return reduce(write, _WEAKEST_FIRST, current)
 
 
 def accepted_names(review: DataFrame, rules: DataFrame) -> DataFrame:
@@ -57,9 +64,8 @@ def accepted_names(review: DataFrame, rules: DataFrame) -> DataFrame:
     Names that no rule writes stay NULL: a flagged name without a rule is
     given up, not kept.
     """
-    matched = reduce(lambda df, scope: _match(df, rules, scope), SCOPES, review)
     nothing = F.lit(None).cast("string")
-    return matched.select(
+    return _match(review, rules).select(
         *review.columns,
         *(_written(rank, nothing).alias(f"acc_{rank}") for rank in RANKS),
     )
@@ -78,14 +84,11 @@ def fix_names(df: DataFrame, rules: DataFrame) -> DataFrame:
 
     Only rules with ``track`` set ``name_updated``.
     """
-    matched = reduce(lambda rows, scope: _match(rows, rules, scope), SCOPES, df)
-    tracked = F.coalesce(
-        F.greatest(*(F.col(f"__rule_{scope}")["track"].cast("smallint") for scope in SCOPES)),
-        F.lit(0),
-    )
+    tracks = (F.col(_rule(scope))["track"].cast("smallint") for scope in _WEAKEST_FIRST)
+    tracked = F.coalesce(F.greatest(*tracks), F.lit(0))
     written = {rank: _written(rank, F.col(rank)) for rank in RANKS}
     written["name_updated"] = F.greatest("name_updated", tracked).cast("smallint")
-    return matched.select(*(written.get(c, F.col(c)).alias(c) for c in df.columns))
+    return _match(df, rules).select(*(written.get(c, F.col(c)).alias(c) for c in df.columns))
 
 
 def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all") -> DataFrame:
@@ -134,6 +137,11 @@ def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all
     )
 
 
-def name_changes(df: DataFrame) -> DataFrame:
-    """Rows whose names were changed, original names beside current ones."""
-    return df.filter("name_updated = 1").select(*ORIGINAL, *RANKS)
+def name_changes(df: DataFrame, *then_by: str) -> DataFrame:
+    """Rows whose names were changed, by original name.
+
+    Columns that tell rows of one name apart, such as an id, let Spark spread
+    the sort of a name with very many rows.
+    """
+    changed = df.filter("name_updated = 1").orderBy(*ORIGINAL, *then_by)
+    return changed.select(*ORIGINAL, *RANKS)

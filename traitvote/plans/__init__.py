@@ -1,5 +1,23 @@
 """Whole runs: building the consensus tables and labelling a list with them."""
 
-from .build import Consensus, Source, build, label_list, prepare_source, votes_of
+from .build import (
+    Consensus,
+    Source,
+    build,
+    counted_rows,
+    label_list,
+    labelled_rows,
+    review_names,
+    votes_of,
+)
 
-__all__ = ["Consensus", "Source", "build", "label_list", "prepare_source", "votes_of"]
+__all__ = [
+    "Consensus",
+    "Source",
+    "build",
+    "counted_rows",
+    "label_list",
+    "labelled_rows",
+    "review_names",
+    "votes_of",
+]

@@ -59,9 +59,13 @@ class Source:
     exclusions: DataFrame | None = None
     genus_rule_scope: str = "all"
 
+    @property
+    def has_review(self) -> bool:
+        return self.flags is not None and self.rules is not None
+
     @property
     def is_corrected(self) -> bool:
-        return self.fixes is not None or (self.flags is not None and self.rules is not None)
+        return self.fixes is not None or self.has_review
 
 
 @dataclass(frozen=True)
@@ -75,27 +79,30 @@ class Consensus:
     counts: DataFrame
 
 
-def prepare_source(name: str, source: Source, stages: Stages | None = None) -> DataFrame:
-    """Placed, counted rows of a source with corrected names and clean labels.
+def counted_rows(source: Source) -> DataFrame:
+    """Distinct placed (names, label) of a source, with their number ``n``.
 
-    One pass over the records turns them into counted rows. Only corrections
-    read those more than once, so only a corrected source is written. Its
-    review table, which people would read at this point, is written too.
+    Rows whose label is blank stay: their names still take part in the search
+    for homonyms.
     """
     rows = clean_labels(drop_unplaced(source.rows), strip=source.strip)
     rows = with_original_names(collapse(rows, *RANKS, "label", weight=source.weight))
-    if source.is_corrected:
-        rows = stages.write(f"{name}_rows", rows)
-    if source.fixes is not None:
-        rows = fix_names(rows, source.fixes)
-    if source.flags is not None and source.rules is not None:
-        flagged = flag_homonyms(homonym_pairs(rows, GENUS), source.flags)
-        review = accepted_names(homonym_review(flagged, rows), source.rules)
-        review = stages.write(f"{name}_review", review)
+    return rows if source.fixes is None else fix_names(rows, source.fixes)
+
+
+def review_names(source: Source, rows: DataFrame) -> DataFrame:
+    """The flagged homonyms among the rows with the names to use instead."""
+    flagged = flag_homonyms(homonym_pairs(rows, GENUS), source.flags)
+    return accepted_names(homonym_review(flagged, rows), source.rules)
+
+
+def labelled_rows(source: Source, rows: DataFrame, review: DataFrame | None = None) -> DataFrame:
+    """Counted rows with corrected names, without exclusions and blank labels."""
+    if review is not None:
         rows = correct_names(rows, review, source.genus_rule_scope)
     if source.exclusions is not None:
         rows = exclude_taxa(rows, source.exclusions)
-    return rows.dropna(subset=["label"])
+    return rows.filter(F.col("label").isNotNull())
 
 
 def votes_of(rows: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -119,16 +126,36 @@ def build(
 ) -> Consensus:
     """Vote and score a consensus at all three ranks.
 
-    Counts of all ranks come from one aggregation over all sources. Overrides
-    and exclusions act before scoring, so an excluded family has no assessed
-    species. ``double_count=False`` counts species records once in a family.
+    One pass over the records of each source leaves counted rows, which are
+    written, as all later steps read them. The review tables, where people
+    would look, are written too. Counts of all ranks then come from one
+    aggregation over all sources. Overrides and exclusions act before scoring,
+    so an excluded family has no assessed species. ``double_count=False``
+    counts species records once in a family.
     """
-    prepared = {name: prepare_source(name, source, stages) for name, source in sources.items()}
-    corrected = [prepared[name] for name, source in sources.items() if source.is_corrected]
-    synonyms = stages.write("synonyms", synonym_table(*corrected)) if corrected else None
+    rows = stages.write_all({f"{name}_rows": counted_rows(s) for name, s in sources.items()})
+    reviews = stages.write_all(
+        {
+            f"{name}_review": review_names(source, rows[f"{name}_rows"])
+            for name, source in sources.items()
+            if source.has_review
+        }
+    )
+    labelled = {
+        name: labelled_rows(source, rows[f"{name}_rows"], reviews.get(f"{name}_review"))
+        for name, source in sources.items()
+    }
+    tables = {
+        "counts": merge_counts(
+            {name: votes_of(df, sources[name].vocab) for name, df in labelled.items()}
+        )
+    }
+    corrected = [labelled[name] for name, source in sources.items() if source.is_corrected]
+    if corrected:
+        tables["synonyms"] = synonym_table(*corrected)
+    tables = stages.write_all(tables)
+    counts = tables["counts"]
 
-    votes = {name: votes_of(rows, sources[name].vocab) for name, rows in prepared.items()}
-    counts = stages.write("counts", merge_counts(votes))
     species = with_notes(consensus(counts, SPECIES, priority))
     genus = with_notes(consensus(genus_obs(counts), GENUS, priority))
     family = with_notes(consensus(family_obs(counts, double_count), FAMILY, priority))
@@ -140,13 +167,13 @@ def build(
         genus = exclude_groups(genus, exclusions)
 
     species = stages.write("species", species_confidence(species, params))
-    return Consensus(
-        species=species,
-        genus=stages.write("genus", group_confidence(genus, GENUS, species, taxon, params)),
-        family=stages.write("family", group_confidence(family, FAMILY, species, taxon, params)),
-        synonyms=synonyms,
-        counts=counts,
+    groups = stages.write_all(
+        {
+            "genus": group_confidence(genus, GENUS, species, taxon, params),
+            "family": group_confidence(family, FAMILY, species, taxon, params),
+        }
     )
+    return Consensus(species, groups["genus"], groups["family"], tables.get("synonyms"), counts)
 
 
 def label_list(

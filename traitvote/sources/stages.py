@@ -6,7 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,3 +39,11 @@ class Stages:
         path = f"{self.path}/{name}"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
+
+    def write_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write tables that do not depend on each other at the same time."""
+        if not tables:
+            return {}
+        write = inheritable_thread_target(self._spark)(self.write)
+        with ThreadPoolExecutor(len(tables)) as pool:
+            return dict(zip(tables, pool.map(write, tables, tables.values()), strict=True))

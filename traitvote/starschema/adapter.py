@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..constants import GROWTH_FORM_TRAITS
 from ..operators import as_attributions, target_species
-from ..schemas import GROUP_EXCLUSIONS, HOMONYM_FLAGS, NAME_RULES, OVERRIDES, TAXON, VOCABULARY
+from ..schemas import GROUP_EXCLUSIONS, HOMONYM_FLAGS, NAME_RULES, OVERRIDES, VOCABULARY
 from ..sources import scan_observations, scan_traits
 
 UNKNOWN = "Unknown"
@@ -49,106 +49,114 @@ def lookup(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> Data
     return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
 
 
+# The columns that are read, so that no file has to be opened to plan a query.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_returnflag string, l_linestatus string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations with their region: a fixed handful of rows."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("n_name").alias("genus"), F.col("r_name").alias("family")
+    return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "n_nationkey", "n_name AS genus", "r_name AS family"
     )
 
 
+def _with_places(customers: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Join nation and region to rows that carry the customer columns.
+
+    One table is joined after the other. Spark then knows the size of every
+    right side from its files, and broadcasts those that are small enough.
+    """
+    return customers.join(
+        table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")
+    ).join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+
+
 def _taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "customer")
-        .join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("species", F.concat_ws(" ", "genus", "c_name"))
+    return _with_places(table(spark, sf_dir, "customer"), spark, sf_dir).selectExpr(
+        "c_custkey",
+        "r_name AS family",
+        "n_name AS genus",
+        "concat(n_name, ' ', c_name) AS species",
     )
 
 
 def taxon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All species, as schema ``TAXON``."""
-    return _taxa(spark, sf_dir).select(
-        F.col("c_custkey").alias("taxon_id"),
-        "family",
-        "genus",
-        "species",
-        F.lit("species").alias("taxon_rank"),
-    ).select(*TAXON.names)
+    return _taxa(spark, sf_dir).selectExpr(
+        "c_custkey AS taxon_id", "family", "genus", "species", "'species' AS taxon_rank"
+    )
+
 
+def _of_visible_taxa(records: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by ``o_custkey`` with the places of the taxa that have any.
 
-def _visible_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Species that have records; the others can only be imputed."""
-    return _taxa(spark, sf_dir).filter(
-        "c_custkey % 3 != 0 AND c_nationkey % 7 != 0 AND family != 'AFRICA'"
+    Species left out here can only be imputed.
+    """
+    customer = table(spark, sf_dir, "customer")
+    joined = records.join(customer, F.expr("o_custkey = c_custkey"))
+    return _with_places(joined, spark, sf_dir).filter(
+        "c_custkey % 3 != 0 AND c_nationkey % 7 != 0 AND r_name != 'AFRICA'"
     )
 
 
-def _scrubbed(key: str, family: str = "family") -> list:
-    """The three names of a record, made less exact for some keys."""
-    no_genus = F.col(key) % 50 == 0
-    no_species = no_genus | (F.col(key) % 20 == 0)
+def _scrubbed(key: str) -> list[str]:
+    """Genus and species of a record, missing for some keys."""
     return [
-        F.expr(family).alias("scrubbed_family"),
-        F.when(~no_genus, F.col("genus")).alias("scrubbed_genus"),
-        F.when(~no_species, F.col("species")).alias("scrubbed_species_binomial"),
+        f"CASE WHEN {key} % 50 != 0 THEN n_name END AS scrubbed_genus",
+        f"CASE WHEN {key} % 50 != 0 AND {key} % 20 != 0 THEN concat(n_name, ' ', c_name) END"
+        " AS scrubbed_species_binomial",
     ]
 
 
 def trait_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trait table: per order one growth form and one other trait."""
-    orders = table(spark, sf_dir, "orders").join(
-        _visible_taxa(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")
-    )
-    dirty = (
-        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("* "), "o_orderpriority"))
-        .when(F.col("o_orderkey") % 7 == 1, F.concat(F.lower("o_orderpriority"), F.lit(" ")))
-        .otherwise(F.col("o_orderpriority"))
-    )
-    family = f"CASE WHEN o_orderkey % 97 = 0 THEN '{UNKNOWN}' ELSE family END"
-    individual = (F.col("o_orderkey") % 2).cast("smallint")
-
-    def trait(name: str, value) -> DataFrame:
-        return orders.select(
-            F.col("o_orderkey").alias("id"),
-            *_scrubbed("o_orderkey", family),
-            F.lit(name).alias("trait_name"),
-            value.alias("trait_value"),
-            F.col("family").alias("country"),
-            F.col("genus").alias("state_province"),
-            F.col("c_name").alias("authorship"),
-            F.col("c_mktsegment").alias("authorship_contact"),
-            F.col("o_orderstatus").alias("citation_bibtex"),
-            F.col("c_mktsegment").alias("project_pi"),
-            individual.alias("is_individual_trait"),
-            (1 - individual).cast("smallint").alias("is_species_trait"),
+    orders = _of_visible_taxa(table(spark, sf_dir, "orders"), spark, sf_dir)
+
+    def trait(name: str, value: str) -> DataFrame:
+        return orders.selectExpr(
+            "o_orderkey AS id",
+            f"CASE WHEN o_orderkey % 97 = 0 THEN '{UNKNOWN}' ELSE r_name END AS scrubbed_family",
+            *_scrubbed("o_orderkey"),
+            f"'{name}' AS trait_name",
+            f"{value} AS trait_value",
+            "r_name AS country",
+            "n_name AS state_province",
+            "c_name AS authorship",
+            "c_mktsegment AS authorship_contact",
+            "o_orderstatus AS citation_bibtex",
+            "c_mktsegment AS project_pi",
+            "CAST(o_orderkey % 2 AS SMALLINT) AS is_individual_trait",
+            "CAST(1 - o_orderkey % 2 AS SMALLINT) AS is_species_trait",
         )
 
-    return trait(GROWTH_FORM_TRAITS[0], dirty).unionByName(
-        trait("plant status", F.col("o_orderstatus"))
-    )
+    dirty = """CASE o_orderkey % 7 WHEN 0 THEN concat('* ', o_orderpriority)
+        WHEN 1 THEN concat(lower(o_orderpriority), ' ') ELSE o_orderpriority END"""
+    return trait(GROWTH_FORM_TRAITS[0], dirty).unionByName(trait("plant status", "o_orderstatus"))
 
 
 def observation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An occurrence table: one row per line item, labelled for some species."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_visible_taxa(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("taxonobservation_id"),
-            F.when(F.col("l_linestatus") == "O", "plot")
-            .otherwise("specimen")
-            .alias("observation_type"),
-            F.col("c_mktsegment").alias("datasource"),
-            *_scrubbed("l_orderkey"),
-            F.when(F.col("c_custkey") % 3 == 1, F.concat("l_returnflag", "l_linestatus")).alias(
-                "growth_form"
-            ),
-        )
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
+    )
+    return _of_visible_taxa(lines, spark, sf_dir).selectExpr(
+        "l_orderkey * 10 + l_linenumber AS taxonobservation_id",
+        "CASE WHEN l_linestatus = 'O' THEN 'plot' ELSE 'specimen' END AS observation_type",
+        "c_mktsegment AS datasource",
+        "r_name AS scrubbed_family",
+        *_scrubbed("l_orderkey"),
+        "CASE WHEN c_custkey % 3 = 1 THEN concat(l_returnflag, l_linestatus) END AS growth_form",
     )
 
 

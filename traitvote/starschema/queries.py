@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import operators as op
 from ..constants import FAMILY, GENUS, RANKS, SPECIES
 from ..functions import confidence_flag, coverage_penalty, coverage_ratio, low_n_penalty
-from ..plans import Consensus, Source, build, label_list, prepare_source, votes_of
+from ..plans import Consensus, Source, build, counted_rows, label_list, labelled_rows, votes_of
 from ..sources import Stages, scan_observations, scan_traits
 from . import adapter
 
@@ -48,7 +48,7 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
 
 def _votes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        name: votes_of(prepare_source(name, source), source.vocab)
+        name: votes_of(labelled_rows(source, counted_rows(source)), source.vocab)
         for name, source in _sources(spark, sf_dir).items()
     }
 
@@ -229,14 +229,12 @@ def q_exclude_taxa(spark, sf_dir):
 
 @query
 def q_name_changes(spark, sf_dir):
-    return op.name_changes(_corrected_traits(spark, sf_dir)).orderBy(
-        *(f"{r}_orig" for r in RANKS)
-    )
+    return op.name_changes(_corrected_traits(spark, sf_dir), "id")
 
 
 @query
 def q_synonyms(spark, sf_dir):
-    changed = op.clean_labels(_corrected_traits(spark, sf_dir)).dropna(subset=["label"])
+    changed = op.clean_labels(_corrected_traits(spark, sf_dir)).filter("label IS NOT NULL")
     same = op.with_original_names(adapter.observations(spark, sf_dir))
     return op.synonym_table(changed, same)
 
