@@ -1,0 +1,189 @@
+from decimal import Decimal
+
+import fixtures
+import pytest
+from conftest import expect, rows
+from pyspark.sql import functions as F
+
+from traitvote import Source, Stages, build, label_list
+from traitvote.schemas import (
+    GROUP_EXCLUSIONS,
+    HOMONYM_FLAGS,
+    NAME_RULES,
+    OVERRIDES,
+    TAXON_EXCLUSIONS,
+    VOCABULARY,
+)
+from traitvote.starschema import adapter
+
+RECORDS = fixtures.NAMES + ", label string"
+
+
+@pytest.fixture(scope="module")
+def vocab(table):
+    labels = ("tree", "shrub", "herb", "vine", "liana")
+    return table(
+        VOCABULARY,
+        *((gf, gf, None, None, None, 0) for gf in labels),
+        ("junk", None, None, None, None, 1),
+    )
+
+
+@pytest.fixture(scope="module")
+def sources(table, vocab):
+    """The records behind the worked example."""
+    return {
+        "traits": Source(
+            table(
+                RECORDS,
+                ("F", "G", "G a", "Tree"),
+                ("F", "G", "G a", "*tree"),
+                ("F", "G", "G a", " shrub "),
+                ("F", "G", "G a", "herb"),
+                ("F", "G", "G a", "junk"),
+                ("F", "G", "G a", "*"),
+                *[("F", "G", None, "vine")] * 4,
+                (None, None, None, "tree"),
+            ),
+            vocab,
+        ),
+        "observations": Source(
+            table(
+                RECORDS + ", n bigint",
+                ("F", "G", "G a", "shrub", 1),
+                ("F", "G", "G b", "herb", 2),
+                ("F", "G", "G b", "HERB", 1),
+                ("F", None, None, "tree", 1),
+                (None, "G", "G a", "liana", 9),
+                ("F", "G", "G b", "*herb", 7),
+            ),
+            vocab,
+            strip=(),
+            weight="n",
+        ),
+    }
+
+
+def test_build_gives_the_worked_example(table, sources, stages):
+    built = build(sources, fixtures.taxon(table), stages)
+    for got, wanted in zip(
+        (built.species, built.genus, built.family), fixtures.consensus(table), strict=True
+    ):
+        assert rows(got, *wanted.columns) == rows(wanted)
+        assert set(got.columns) == {*wanted.columns, "notes"}
+    assert built.synonyms is None
+
+
+def test_count_once(table, sources, stages):
+    built = build(sources, fixtures.taxon(table), stages, double_count=False)
+    expect(
+        built.family,
+        "family gf_cons gf_cons_obs total_obs inferred_from_ranks",
+        ("F", "vine", 4, 13, "family,genus,species"),
+    )
+
+
+def test_curation(table, sources, stages):
+    overrides = table(OVERRIDES, ("F", "vine", "vine", None, None, None, "by hand"))
+    excluded = table(GROUP_EXCLUSIONS, ("F",))
+    built = build(
+        sources, fixtures.taxon(table), stages, overrides=overrides, exclusions=excluded
+    )
+    assert built.species.count() == built.genus.count() == 0
+    expect(
+        built.family, "gf_cons spp_gf gf_conf notes", ("vine", 0, Decimal("0.02"), "by hand")
+    )
+    given = table("family string, species string", ("F", "G a"))
+    expect(
+        label_list(given, built, correct_synonyms=True),
+        "species gf gf_method",
+        ("G a", "vine", "imputed from family"),
+    )
+
+
+def test_names_are_corrected_before_the_vote(table, vocab, stages):
+    """A homonym joins the right family; a name known from blank labels only
+    still shows that it is one."""
+    source = Source(
+        table(
+            RECORDS,
+            ("Fx", "G", "G a", "tree"),
+            ("Fx", "G", "G a", "tree"),
+            ("F", "G", "G b", "*"),
+            ("F", "H", None, "vine"),
+            ("E", "K", "K k", "herb"),
+        ),
+        vocab,
+        flags=table(HOMONYM_FLAGS, ("G", "Fx", 1, 0)),
+        rules=table(
+            NAME_RULES,
+            ("genus_family", "Fx", "G", None, "F", "G", None, True, True, True, True, True),
+        ),
+        fixes=table(
+            NAME_RULES,
+            ("species_family", "E", None, "K k", "P", None, None,
+             True, False, False, False, False),
+        ),
+        exclusions=table(TAXON_EXCLUSIONS, ("F", "H", None)),
+    )
+    built = build({"s": source}, fixtures.taxon(table), stages)
+    expect(
+        built.species,
+        "family genus species gf_cons total_obs",
+        ("F", "G", "G a", "tree", 2),
+        ("P", "K", "K k", "herb", 1),
+    )
+    expect(built.genus, "genus", ("G",), ("K",))
+    expect(
+        built.synonyms,
+        "family genus species family_orig genus_orig species_orig",
+        ("F", "G", "G a", "Fx", "G", "G a"),
+    )
+    given = table("family string, species string", ("Fx", "G a"), ("F", "G a"))
+    expect(
+        label_list(given, built, correct_synonyms=True),
+        "family gf name_updated acc_family",
+        ("Fx", "tree", 1, "F"),
+        ("F", "tree", None, None),
+    )
+
+
+@pytest.fixture(scope="module")
+def star_built(spark, tmp_path_factory):
+    from traitvote.starschema.queries import _sources
+
+    sf_dir = "/root/testdata/sf0.001"
+    root = str(tmp_path_factory.mktemp("star"))
+    return build(_sources(spark, sf_dir), adapter.taxon(spark, sf_dir), Stages(spark, root))
+
+
+def test_invariants(spark, star_built):
+    for rank in ("species", "genus", "family"):
+        cons = getattr(star_built, rank)
+        assert cons.count() == cons.select(rank).distinct().count() > 0
+        assert cons.filter(F.col(rank).isNull()).count() == 0
+        broken = (
+            (F.col("gf_conf") < 0)
+            | (F.col("gf_cons_obs") > F.col("total_obs"))
+            | ~F.array_contains(F.split("gf_all", ","), F.col("gf_cons"))
+            | F.col("gf_conf_flag").isNull()
+        )
+        assert cons.filter(broken).count() == 0
+
+
+def test_imputation_keeps_every_row(spark, star_built):
+    given = adapter.species_list(spark, "/root/testdata/sf0.001")
+    twice = given.unionAll(given)
+    assert label_list(twice, star_built).count() == twice.count()
+
+
+@pytest.mark.parametrize("partitions", ["1", "16"])
+def test_result_does_not_depend_on_partitions(spark, table, sources, stages, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        built = build(sources, fixtures.taxon(table), stages)
+        wanted = fixtures.consensus(table)[2]
+        assert rows(built.family, *wanted.columns) == rows(wanted)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -1,0 +1,85 @@
+import re
+from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
+from conftest import rows
+
+from traitvote import Stages
+from traitvote.schemas import OBSERVATIONS, TRAITS
+from traitvote.sources import read_observations, read_traits
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def trait_file(spark, table, tmp_path):
+    df = table(
+        TRAITS,
+        *(
+            (i, "F", "G", "G a", name, "tree", None, None, None, None, None, None, 1, 0)
+            for i, name in enumerate(
+                ["whole plant growth form", "whole plant growth form diversity", "height"]
+            )
+        ),
+    )
+    path = str(tmp_path / "traits")
+    df.selectExpr("*", "'unused' AS extra").write.parquet(path)
+    return path
+
+
+def test_traits_are_filtered_in_the_scan(spark, trait_file):
+    df = read_traits(spark, trait_file)
+    assert df.columns == TRAITS.names
+    assert [r[0] for r in rows(df, "id")] == [0]
+    assert "PushedFilters: [IsNotNull(trait_name), EqualTo(trait_name,whole plant" in plan(df)
+    both = read_traits(spark, trait_file, ["height", "whole plant growth form"])
+    assert [r[0] for r in rows(both, "id")] == [0, 2]
+    assert "In(trait_name" in plan(both)
+
+
+def test_scan_reads_only_the_columns_that_are_used(spark, trait_file):
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan(read_traits(spark, trait_file).select("id")))
+    assert schema[1] == "id:bigint,trait_name:string"
+
+
+def test_observations_without_label_are_skipped_in_the_scan(spark, table, tmp_path):
+    path = str(tmp_path / "observations")
+    table(
+        OBSERVATIONS,
+        (1, "plot", "d", "F", "G", "G a", "tree"),
+        (2, "plot", "d", "F", "G", "G a", None),
+    ).write.parquet(path)
+    df = read_observations(spark, path)
+    assert [r[0] for r in rows(df, "taxonobservation_id")] == [1]
+    assert "PushedFilters: [IsNotNull(growth_form)]" in plan(df)
+
+
+def test_stages_use_the_shared_folder_of_the_session(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    path = Stages(spark).path
+    assert path != Stages(spark).path
+    assert shared is None or path.startswith(shared)
+
+
+def without_shared_folder(master: str):
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_a_cluster_has_to_name_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        Stages(without_shared_folder("yarn"))
+    assert Path(Stages(without_shared_folder("local[2]")).path).parent.is_dir()
+
+
+def test_stages_write_once(table, stages):
+    df = table("a string, b int", ("x", 1), (None, None))
+    written = stages.write_all({"one": df, "two": df.limit(0)})
+    assert rows(written["one"]) == rows(df)
+    assert written["two"].columns == ["a", "b"] and written["two"].count() == 0
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        stages.write("one", df)
+    assert stages.write_all({}) == {}

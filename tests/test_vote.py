@@ -1,0 +1,214 @@
+import random
+from decimal import Decimal
+
+import fixtures
+import pytest
+from conftest import expect, rows
+
+from traitvote import operators as op
+from traitvote.constants import LABEL_PRIORITY
+
+
+def test_count_attributions_by_rank(table):
+    df = table(
+        fixtures.NAMES + ", gf_std string",
+        *[("F", "G", "G a", "tree")] * 2,
+        ("F", None, "S", "tree"),
+        ("F", "G", None, "herb"),
+        (None, "G", None, "herb"),
+        ("F", None, None, "herb"),
+        ("F", "G", "G a", None),
+    )
+    expect(
+        op.count_attributions(df, "species"),
+        "family genus species gf obs",
+        ("F", "G", "G a", "tree", 2),
+        ("F", None, "S", "tree", 1),
+    )
+    expect(
+        op.count_attributions(df, "genus"),
+        "family genus gf obs",
+        ("F", "G", "herb", 1),
+        (None, "G", "herb", 1),
+    )
+    expect(op.count_attributions(df, "family"), "family gf obs", ("F", "herb", 1))
+    by_rank = [op.count_attributions(df, rank) for rank in ("species", "genus", "family")]
+    assert rows(op.stack_counts(*by_rank)) == rows(op.count_attributions(df))
+
+
+def test_merge_lists_sources(table):
+    merged = op.merge_counts(fixtures.counts(table))
+    expect(
+        op.with_priority(merged).filter("species IS NOT NULL"),
+        "family genus species gf obs obs_sources gf_size",
+        ("F", "G", "G a", "tree", 2, "traits", 7),
+        ("F", "G", "G a", "shrub", 2, "observations,traits", 6),
+        ("F", "G", "G a", "herb", 1, "traits", 1),
+        ("F", "G", "G b", "herb", 3, "observations", 1),
+    )
+
+
+def test_roll_up(table):
+    merged = op.merge_counts(fixtures.counts(table))
+    expect(
+        op.genus_obs(merged),
+        "family genus gf inferred_from_ranks obs",
+        ("F", "G", "herb", "species", 4),
+        ("F", "G", "vine", "genus", 4),
+        ("F", "G", "tree", "species", 2),
+        ("F", "G", "shrub", "species", 2),
+    )
+    expect(
+        op.family_obs(merged),
+        "family gf inferred_from_ranks obs",
+        ("F", "herb", "genus,species", 8),
+        ("F", "tree", "family,genus,species", 5),
+        ("F", "shrub", "genus,species", 4),
+        ("F", "vine", "genus", 4),
+    )
+    expect(
+        op.family_obs(merged, double_count=False),
+        "family gf inferred_from_ranks obs",
+        ("F", "herb", "species", 4),
+        ("F", "tree", "family,species", 3),
+        ("F", "shrub", "species", 2),
+        ("F", "vine", "genus", 4),
+    )
+
+
+def test_species_without_genus_counts_once_in_its_family(table):
+    merged = op.merge_counts(
+        {"s": table(fixtures.NAMES + ", gf string, obs bigint", ("F", None, "S", "tree", 3))}
+    )
+    assert op.genus_obs(merged).count() == 0
+    expect(op.family_obs(merged), "gf inferred_from_ranks obs", ("tree", "species", 3))
+
+
+def test_genus_under_two_families(table):
+    merged = op.merge_counts(
+        {
+            "s": table(
+                fixtures.NAMES + ", gf string, obs bigint",
+                ("A", "G", "G a", "tree", 3),
+                ("B", "G", None, "tree", 2),
+                ("B", "G", None, "herb", 4),
+            )
+        }
+    )
+    votes = op.genus_obs(merged)
+    # The ranks belong to (genus, label), whatever the family.
+    expect(
+        votes,
+        "family gf inferred_from_ranks obs",
+        ("A", "tree", "genus,species", 3),
+        ("B", "tree", "genus,species", 2),
+        ("B", "herb", "genus", 4),
+    )
+    # Rows compete per family, the total is that of both, a label repeats.
+    expect(
+        op.consensus(votes, "genus"),
+        "family genus gf_cons gf_cons_obs total_obs gf_cons_prop gf_all inferred_from_ranks",
+        ("B", "G", "herb", 4, 9, Decimal("0.4"), "herb,tree,tree", "genus,species"),
+    )
+
+
+def test_scored_consensus(table):
+    species, genus, family = fixtures.consensus(table)
+    columns = "gf_cons gf_cons_obs total_obs gf_cons_prop gf_all penalty_gf_low_n"
+    expect(
+        species,
+        f"species {columns} gf_conf gf_conf_flag",
+        ("G a", "tree", 2, 5, Decimal("0.4"), "herb,shrub,tree", Decimal("-0.19"),
+         Decimal("0.21"), "very low"),
+        ("G b", "herb", 3, 3, Decimal("1.0"), "herb", Decimal("-0.19"), Decimal("0.81"), "high"),
+    )
+    scores = "spp spp_gf spp_gf_prop penalty_spp_gf_low_n gf_conf gf_conf_flag"
+    expect(
+        genus,
+        f"genus {columns} inferred_from_ranks {scores}",
+        ("G", "vine", 4, 12, Decimal("0.3"), "herb,shrub,tree,vine", Decimal("-0.18"),
+         "genus,species", 4, 2, 0.5, Decimal("-0.10"), Decimal("0.02"), "very low"),
+    )
+    expect(
+        family,
+        f"family {columns} inferred_from_ranks {scores}",
+        ("F", "herb", 8, 21, Decimal("0.38"), "herb,shrub,tree,vine", Decimal("-0.16"),
+         "family,genus,species", 4, 2, 0.5, Decimal("-0.10"), Decimal("0.12"), "very low"),
+    )
+
+
+def test_last_ties_go_to_label_then_parent(table):
+    merged = table(
+        fixtures.NAMES + ", gf string, obs bigint",
+        ("F", "G", "S", "zzz", 2),
+        ("F", "G", "S", "yyy", 2),
+        ("B", "G", "T", "tree", 2),
+        ("A", "H", "T", "tree", 2),
+        ("A", "G", "T", "tree", 2),
+    )
+    expect(
+        op.consensus(merged, "species"),
+        "family genus species gf_cons",
+        ("F", "G", "S", "yyy"),
+        ("A", "G", "T", "tree"),
+    )
+
+
+def test_priority_is_a_parameter(table):
+    merged = table(
+        fixtures.NAMES + ", gf string, obs bigint", ("F", "G", "S", "a", 1), ("F", "G", "S", "b", 1)
+    )
+    assert op.consensus(merged, "species", {"b": 1}).first()["gf_cons"] == "b"
+    assert op.consensus(merged, "species", {"b": 1}, digits=2).first()[
+        "gf_cons_prop"
+    ] == Decimal("0.50")
+
+
+def test_rescoring_replaces_scores(table):
+    species, genus, _ = fixtures.consensus(table)
+    assert rows(op.species_confidence(species), *species.columns) == rows(species)
+    again = op.group_confidence(genus, "genus", species, fixtures.taxon(table))
+    assert rows(again, *genus.columns) == rows(genus)
+    assert len(again.columns) == len(genus.columns)
+
+
+def test_too_many_sources(table):
+    one = fixtures.counts(table)["traits"]
+    with pytest.raises(ValueError, match="63"):
+        op.merge_counts({str(i): one for i in range(64)})
+
+
+def test_votes_against_brute_force(spark, table):
+    rng = random.Random(7)
+    labels = [*LABEL_PRIORITY, "odd", "other"]
+    given = [
+        (
+            rng.choice("AB"),
+            rng.choice(["G", "H", None]),
+            rng.choice([f"s{i}" for i in range(40)] + [None] * 8),
+            rng.choice(labels),
+            rng.randint(1, 3),
+        )
+        for _ in range(600)
+    ]
+    merged = {}
+    for *key, obs in given:
+        merged[tuple(key)] = merged.get(tuple(key), 0) + obs
+    expected = []
+    for species in {k[2] for k in merged} - {None}:
+        votes = [(k, obs) for k, obs in merged.items() if k[2] == species]
+        (f, g, _, gf), best = min(
+            votes,
+            key=lambda v: (
+                -v[1], -LABEL_PRIORITY.get(v[0][3], 0), v[0][3], v[0][0],
+                v[0][1] is not None, v[0][1] or "",
+            ),
+        )
+        total = sum(obs for _, obs in votes)
+        all_labels = ",".join(sorted(k[3] for k, _ in votes))
+        expected.append((f, g, species, gf, best, total, all_labels))
+    df = table(fixtures.NAMES + ", gf string, obs bigint", *given)
+    columns = "family genus species gf_cons gf_cons_obs total_obs gf_all"
+    for partitions in (1, 16):
+        spread = op.merge_counts({"s": df.repartition(partitions)})
+        expect(op.consensus(spread, "species"), columns, *expected)
