@@ -1,0 +1,95 @@
+"""Plans under the conditions of large tables: hot keys, nothing broadcast."""
+
+import re
+from contextlib import contextmanager
+
+import fixtures
+import pytest
+from conftest import rows
+
+from traitvote import Source, impute
+from traitvote import operators as op
+from traitvote.plans import counted_rows, labelled_rows, review_names, votes_of
+from traitvote.schemas import HOMONYM_FLAGS, NAME_RULES
+from traitvote.starschema import adapter
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def settings(spark, **values):
+    keys = {f"spark.sql.{k.replace('__', '.')}": v for k, v in values.items()}
+    before = {key: spark.conf.get(key) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_records_are_counted_before_they_are_shuffled(spark):
+    source = Source(adapter.traits(spark, SF_DIR), adapter.trait_vocab(spark))
+    text = plan(counted_rows(source))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert re.search(r"HashAggregate.*\n.*Exchange hashpartitioning.*\n.*HashAggregate", text)
+    # Only what is counted is read.
+    assert "FileScan parquet [o_orderkey" in text and "o_orderstatus" not in text
+
+
+def test_merging_is_a_hash_aggregate_over_all_ranks(table):
+    text = plan(op.merge_counts(fixtures.counts(table)))
+    assert text.count("Exchange") == 1
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_corrections_do_not_shuffle_the_rows(spark, table, stages):
+    """Flags and review are short files, so the long table stays in place."""
+    names = fixtures.NAMES + ", label string"
+    source = Source(
+        table(names, ("Fx", "G", "G a", "tree"), ("F", "G", "G b", "herb")),
+        adapter.trait_vocab(spark),
+        flags=table(HOMONYM_FLAGS, ("G", "Fx", 1, 0)),
+        rules=table(NAME_RULES),
+    )
+    counted = stages.write("rows", counted_rows(source))
+    flagged = stages.write("flagged", op.flag_homonyms(op.homonym_pairs(counted, "genus"), source.flags))
+    assert "BroadcastHashJoin [genus" in plan(op.homonym_review(flagged, counted))
+    review = stages.write("review", review_names(source, counted, flagged))
+    corrected = labelled_rows(source, counted, review)
+    text = plan(votes_of(corrected, source.vocab))
+    assert text.count("BroadcastHashJoin") == 3
+    assert "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_hot_species_in_a_list(spark, table, stages, broadcast):
+    """A third of the list is one species, another third has no name at all."""
+    tables = dict(zip(("species", "genus", "family"), fixtures.consensus(table), strict=True))
+    species, genus, family = stages.write_all(tables).values()
+    given = spark.range(300_000).selectExpr(
+        "'F' AS family",
+        "md5(string(id)) AS note",
+        "CASE id % 3 WHEN 0 THEN 'G a' WHEN 1 THEN NULL ELSE concat('H', id, ' x') END AS species",
+    )
+    off = {} if broadcast else {"autoBroadcastJoinThreshold": "-1"}
+    with settings(
+        spark,
+        shuffle__partitions="16",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        **off,
+    ):
+        done = impute(given, species, genus, family)
+        methods = done.groupBy("gf_method").count()
+        assert rows(methods) == [("direct from species", 100_000), ("imputed from family", 200_000)]
+        if not broadcast:
+            done = impute(given, species)
+            done.collect()
+            assert "SortMergeJoin(skew=true)" in plan(done)

@@ -3,11 +3,11 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from conftest import expect, rows
 
 from traitvote import Stages
-from traitvote.schemas import OBSERVATIONS, TRAITS
-from traitvote.sources import read_observations, read_traits
+from traitvote.schemas import NAME_RULES, OBSERVATIONS, TRAITS
+from traitvote.sources import read_curated, read_observations, read_traits
 
 
 def plan(df) -> str:
@@ -83,3 +83,16 @@ def test_stages_write_once(table, stages):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         stages.write("one", df)
     assert stages.write_all({}) == {}
+
+
+def test_curated_tables_are_csv(spark, tmp_path):
+    file = tmp_path / "rules.csv"
+    file.write_text(
+        ",".join(NAME_RULES.names) + "\n"
+        "species,,,A b,F,A,A c,true,true,true,false,true\n"
+    )
+    expect(
+        read_curated(spark, str(file), NAME_RULES),
+        " ".join(NAME_RULES.names),
+        ("species", None, None, "A b", "F", "A", "A c", True, True, True, False, True),
+    )

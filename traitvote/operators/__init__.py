@@ -29,7 +29,14 @@ from .counts import (
     stack_counts,
 )
 from .homonyms import flag_homonyms, homonym_pairs, homonym_review, homonym_summary
-from .impute import impute, impute_synonyms, resolve_synonyms, with_genus
+from .impute import (
+    impute,
+    impute_synonyms,
+    label_synonyms,
+    relabel_synonyms,
+    resolve_synonyms,
+    with_genus,
+)
 from .names import (
     accepted_names,
     correct_names,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import FAMILY, GENUS, METHODS, RANKS, SPECIES
 from ..functions import first_word
-from .names import ACCEPTED
+from .names import ACCEPTED, ORIGINAL
 from .synonyms import one_name_per_synonym
 
 LABEL_COLUMNS = ["gf", "gf_conf", "gf_conf_flag", "gf_method"]
@@ -59,6 +59,10 @@ def impute(
     family's; each is looked up by that one name. Rows are neither lost nor
     multiplied. Label columns the list already has are replaced, as is
     ``genus``. Without ``genus`` and ``family`` only direct labels are given.
+
+    Pass written tables for a long list: Spark then knows whether they are
+    short enough to broadcast, and if not, splits a species that fills much
+    of the list. It cannot do either for a consensus still to be computed.
     """
     consensus = {
         rank: table
@@ -85,6 +89,42 @@ def resolve_synonyms(df: DataFrame, synonyms: DataFrame) -> DataFrame:
     return df.join(lines, same, "left").drop(*(f"__{r}" for r in RANKS))
 
 
+def label_synonyms(
+    synonyms: DataFrame, species: DataFrame, genus: DataFrame, family: DataFrame
+) -> DataFrame:
+    """One line per original name with its accepted names and their label."""
+    lines = one_name_per_synonym(synonyms).select(
+        *ORIGINAL, *(F.col(r).alias(f"acc_{r}") for r in RANKS)
+    )
+    joined, found = _cascade(
+        lines,
+        {SPECIES: species, GENUS: genus, FAMILY: family},
+        {rank: f"acc_{rank}" for rank in (SPECIES, GENUS, FAMILY)},
+    )
+    return joined.select(*lines.columns, *(found[c].alias(c) for c in LABEL_COLUMNS))
+
+
+def relabel_synonyms(imputed: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Replace the labels of synonyms by those of :func:`label_synonyms`.
+
+    A synonym whose accepted names match nothing loses its label. Rows that
+    are no synonym keep theirs and a NULL ``name_updated``.
+    """
+    label = F.struct(*LABEL_COLUMNS).alias("__label")
+    lines = labelled.select(
+        *(F.col(f"{r}_orig").alias(f"__{r}") for r in RANKS), *ACCEPTED, label
+    )
+    rows = imputed.drop("name_updated", *ACCEPTED)
+    same = [F.col(r) == F.col(f"__{r}") for r in RANKS]
+    found = F.col("__label")
+    written = {c: F.when(found.isNull(), F.col(c)).otherwise(found[c]) for c in LABEL_COLUMNS}
+    return rows.join(lines, same, "left").select(
+        *(written.get(c, F.col(c)).alias(c) for c in rows.columns),
+        F.when(found.isNotNull(), 1).alias("name_updated"),
+        *ACCEPTED,
+    )
+
+
 def impute_synonyms(
     imputed: DataFrame,
     synonyms: DataFrame,
@@ -94,32 +134,8 @@ def impute_synonyms(
 ) -> DataFrame:
     """Relabel the synonyms of an imputed list under their accepted names.
 
-    A synonym whose accepted names match nothing loses its label. The cascade
-    runs on the table of synonyms, and the list is joined to its outcome
-    once: joined rank by rank, every row that is no synonym would meet in the
-    one partition of the NULL key.
+    The cascade runs on the table of synonyms, and the list is joined to its
+    outcome once: joined rank by rank, every row that is no synonym would
+    meet in the one partition of the NULL key.
     """
-    lines = one_name_per_synonym(synonyms).select(
-        *(F.col(f"{r}_orig").alias(f"__{r}_orig") for r in RANKS),
-        *(F.col(r).alias(f"acc_{r}") for r in RANKS),
-    )
-    lines, found = _cascade(
-        lines,
-        {SPECIES: species, GENUS: genus, FAMILY: family},
-        {rank: f"acc_{rank}" for rank in (SPECIES, GENUS, FAMILY)},
-    )
-    lines = lines.select(
-        *(f"__{r}_orig" for r in RANKS),
-        F.lit(1).alias("name_updated"),
-        *ACCEPTED,
-        found.alias("__found"),
-    )
-    df = imputed.drop("name_updated", *ACCEPTED)
-    same = [F.col(r) == F.col(f"__{r}_orig") for r in RANKS]
-    relabelled = F.col("name_updated").isNotNull()
-    written = {
-        c: F.when(relabelled, F.col("__found")[c]).otherwise(F.col(c)) for c in LABEL_COLUMNS
-    }
-    return df.join(lines, same, "left").select(
-        *(written.get(c, F.col(c)).alias(c) for c in df.columns), "name_updated", *ACCEPTED
-    )
+    return relabel_synonyms(imputed, label_synonyms(synonyms, species, genus, family))

@@ -5,6 +5,7 @@ from .build import (
     Source,
     build,
     counted_rows,
+    flagged_homonyms,
     label_list,
     labelled_rows,
     review_names,
@@ -16,6 +17,7 @@ __all__ = [
     "Source",
     "build",
     "counted_rows",
+    "flagged_homonyms",
     "label_list",
     "labelled_rows",
     "review_names",

@@ -29,8 +29,9 @@ from ..operators import (
     homonym_pairs,
     homonym_review,
     impute,
-    impute_synonyms,
+    label_synonyms,
     merge_counts,
+    relabel_synonyms,
     species_confidence,
     synonym_table,
     with_notes,
@@ -76,6 +77,7 @@ class Consensus:
     genus: DataFrame
     family: DataFrame
     synonyms: DataFrame | None
+    labelled_synonyms: DataFrame | None
     counts: DataFrame
 
 
@@ -90,9 +92,13 @@ def counted_rows(source: Source) -> DataFrame:
     return rows if source.fixes is None else fix_names(rows, source.fixes)
 
 
-def review_names(source: Source, rows: DataFrame) -> DataFrame:
-    """The flagged homonyms among the rows with the names to use instead."""
-    flagged = flag_homonyms(homonym_pairs(rows, GENUS), source.flags)
+def flagged_homonyms(source: Source, rows: DataFrame) -> DataFrame:
+    """The genera with several families among the rows, flags beside them."""
+    return flag_homonyms(homonym_pairs(rows, GENUS), source.flags)
+
+
+def review_names(source: Source, rows: DataFrame, flagged: DataFrame) -> DataFrame:
+    """The names under flagged homonyms with those to use instead."""
     return accepted_names(homonym_review(flagged, rows), source.rules)
 
 
@@ -127,18 +133,22 @@ def build(
     """Vote and score a consensus at all three ranks.
 
     One pass over the records of each source leaves counted rows, which are
-    written, as all later steps read them. The review tables, where people
-    would look, are written too. Counts of all ranks then come from one
-    aggregation over all sources. Overrides and exclusions act before scoring,
-    so an excluded family has no assessed species. ``double_count=False``
-    counts species records once in a family.
+    written, as all later steps read them. Every short table that a long one
+    is joined to is written as well, so that Spark broadcasts it by its exact
+    size or not at all. Counts of all ranks come from one aggregation over
+    all sources. Overrides and exclusions act before scoring, so an excluded
+    family has no assessed species. ``double_count=False`` counts species
+    records once in a family.
     """
     rows = stages.write_all({f"{name}_rows": counted_rows(s) for name, s in sources.items()})
+    reviewed = {name: s for name, s in sources.items() if s.has_review}
+    homonyms = stages.write_all(
+        {f"{n}_homonyms": flagged_homonyms(s, rows[f"{n}_rows"]) for n, s in reviewed.items()}
+    )
     reviews = stages.write_all(
         {
-            f"{name}_review": review_names(source, rows[f"{name}_rows"])
-            for name, source in sources.items()
-            if source.has_review
+            f"{n}_review": review_names(s, rows[f"{n}_rows"], homonyms[f"{n}_homonyms"])
+            for n, s in reviewed.items()
         }
     )
     labelled = {
@@ -173,14 +183,24 @@ def build(
             "family": group_confidence(family, FAMILY, species, taxon, params),
         }
     )
-    return Consensus(species, groups["genus"], groups["family"], tables.get("synonyms"), counts)
+    genus, family = groups["genus"], groups["family"]
+    synonyms = tables.get("synonyms")
+    labelled_synonyms = None
+    if synonyms is not None:
+        labelled_synonyms = stages.write(
+            "labelled_synonyms", label_synonyms(synonyms, species, genus, family)
+        )
+    return Consensus(species, genus, family, synonyms, labelled_synonyms, counts)
 
 
 def label_list(
     species_list: DataFrame, built: Consensus, correct_synonyms: bool = False
 ) -> DataFrame:
-    """Label a list of (family, species), on request also under accepted names."""
+    """Label a list of (family, species), on request also under accepted names.
+
+    Without corrected names there are no synonyms, and no columns for them.
+    """
     labelled = impute(species_list, built.species, built.genus, built.family)
-    if not correct_synonyms or built.synonyms is None:
+    if not correct_synonyms or built.labelled_synonyms is None:
         return labelled
-    return impute_synonyms(labelled, built.synonyms, built.species, built.genus, built.family)
+    return relabel_synonyms(labelled, built.labelled_synonyms)

@@ -2,6 +2,7 @@
 
 from .stages import Stages
 from .tables import (
+    read_curated,
     read_observations,
     read_traits,
     read_vocab,
@@ -13,6 +14,7 @@ from .tables import (
 
 __all__ = [
     "Stages",
+    "read_curated",
     "read_observations",
     "read_traits",
     "read_vocab",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..constants import GROWTH_FORM_TRAITS
 from ..schemas import OBSERVATIONS, TRAITS, VOCABULARY
@@ -39,9 +40,17 @@ def write_vocab(vocab: DataFrame, path: str) -> None:
     vocab.orderBy("gf_verbatim").write.csv(path, header=True)
 
 
+def read_curated(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a table kept by hand as CSV with a header, e.g. name rules.
+
+    An empty field is NULL; a row that does not fit the schema fails.
+    """
+    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
+
+
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
-    """Read an edited vocabulary; a row that does not fit the schema fails."""
-    return spark.read.schema(VOCABULARY).csv(path, header=True, mode="FAILFAST")
+    """Read an edited vocabulary."""
+    return read_curated(spark, path, VOCABULARY)
 
 
 def write_list(df: DataFrame, path: str) -> None:

@@ -66,20 +66,24 @@ def _built(spark: SparkSession, sf_dir: str) -> Consensus:
     return build(_sources(spark, sf_dir), adapter.taxon(spark, sf_dir), Stages(spark))
 
 
-def _review(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
-    """Accepted names of the flagged names among the rows.
+def _homonyms(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The flagged genera among the rows, and the distinct names of the rows.
 
-    The distinct names are written once and serve both the search for
-    homonyms and the list of their species.
+    Both are written: the names serve the search for homonyms and the list of
+    their species, and the short list of genera has to be known as short.
     """
     stages = Stages(spark)
     names = stages.write("names", rows.select(*RANKS).distinct())
-    flags = adapter.homonym_flags(spark, sf_dir)
-    flagged = op.flag_homonyms(op.homonym_pairs(names, GENUS), flags)
-    review = op.accepted_names(
-        op.homonym_review(flagged, names), adapter.name_rules(spark, sf_dir)
-    )
-    return stages.write("review", review)
+    pairs = op.homonym_pairs(names, GENUS)
+    flagged = op.flag_homonyms(pairs, adapter.homonym_flags(spark, sf_dir))
+    return stages.write("homonyms", flagged), names
+
+
+def _review(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Accepted names of the flagged names among the rows."""
+    review = op.homonym_review(*_homonyms(spark, sf_dir, rows))
+    accepted = op.accepted_names(review, adapter.name_rules(spark, sf_dir))
+    return Stages(spark).write("review", accepted)
 
 
 def _corrected_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,9 +200,7 @@ def q_homonym_flags(spark, sf_dir):
 @query
 def q_homonym_review(spark, sf_dir):
     rows = adapter.sparse_traits(spark, sf_dir)
-    names = Stages(spark).write("names", rows.select(*RANKS).distinct())
-    flags = adapter.homonym_flags(spark, sf_dir)
-    return op.homonym_review(op.flag_homonyms(op.homonym_pairs(names, GENUS), flags), names)
+    return op.homonym_review(*_homonyms(spark, sf_dir, rows))
 
 
 # --- Name correction ---------------------------------------------------------
@@ -421,7 +423,7 @@ def q_inspect_page(spark, sf_dir):
 
 @query
 def q_impute_direct(spark, sf_dir):
-    species = q_species_confidence(spark, sf_dir)
+    species = Stages(spark).write("species", q_species_confidence(spark, sf_dir))
     return op.impute(adapter.species_list(spark, sf_dir), species)
 
 
@@ -430,17 +432,21 @@ def q_impute_cascade(spark, sf_dir):
     return label_list(adapter.species_list(spark, sf_dir), _built(spark, sf_dir))
 
 
+def _written_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Stages(spark).write("synonyms", q_synonyms(spark, sf_dir))
+
+
 @query
 def q_resolve_synonyms(spark, sf_dir):
     rows = op.with_genus(adapter.species_list_with_old_names(spark, sf_dir))
-    return op.resolve_synonyms(rows, q_synonyms(spark, sf_dir))
+    return op.resolve_synonyms(rows, _written_synonyms(spark, sf_dir))
 
 
 @query
 def q_impute_synonyms(spark, sf_dir):
     built = _built(spark, sf_dir)
     imputed = label_list(adapter.species_list_with_old_names(spark, sf_dir), built)
-    synonyms = Stages(spark).write("synonyms", q_synonyms(spark, sf_dir))
+    synonyms = _written_synonyms(spark, sf_dir)
     return op.impute_synonyms(imputed, synonyms, built.species, built.genus, built.family)
 
 
