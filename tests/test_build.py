@@ -1,3 +1,4 @@
+from dataclasses import replace
 from decimal import Decimal
 
 import fixtures
@@ -5,7 +6,8 @@ import pytest
 from conftest import expect, rows
 from pyspark.sql import functions as F
 
-from traitvote import Source, Stages, build, label_list
+from traitvote import Source, Stages, build, label_list, prepare, vote
+from traitvote.operators import verbatim_vocab
 from traitvote.schemas import (
     GROUP_EXCLUSIONS,
     HOMONYM_FLAGS,
@@ -14,6 +16,7 @@ from traitvote.schemas import (
     TAXON_EXCLUSIONS,
     VOCABULARY,
 )
+from traitvote.sources import read_vocab, write_vocab
 from traitvote.starschema import adapter
 
 RECORDS = fixtures.NAMES + ", label string"
@@ -74,6 +77,31 @@ def test_build_gives_the_worked_example(table, sources, stages):
     assert built.synonyms is None
 
 
+def test_vocabulary_is_made_between_the_two_steps(spark, table, sources, stages, tmp_path):
+    """People see the labels that are left, and the vote uses what they return."""
+    without = {name: replace(source, vocab=None) for name, source in sources.items()}
+    prepared = prepare(without, stages)
+    labels = {name: verbatim_vocab(df) for name, df in prepared.rows.items()}
+    expect(
+        labels["traits"],
+        "gf_verbatim is_useless",
+        *((label, 0) for label in ("tree", "shrub", "herb", "vine", "junk")),
+    )
+    vocabs = {}
+    for name, vocab in labels.items():
+        path = str(tmp_path / name)
+        edited = vocab.withColumn("gf", F.when(F.col("gf_verbatim") != "junk", F.col("gf_verbatim")))
+        write_vocab(edited, path)
+        vocabs[name] = read_vocab(spark, path)
+    built = vote(prepared, vocabs, fixtures.taxon(table), stages)
+    wanted = fixtures.consensus(table)[1]
+    # The observations also have the label *herb, which is no word of the others.
+    assert rows(built.genus, "gf_cons", "gf_all") == [("*herb", "*herb,herb,shrub,tree,vine")]
+    assert rows(built.genus, "spp", "spp_gf") == rows(wanted, "spp", "spp_gf")
+    with pytest.raises(ValueError, match="no vocabulary for traits, observations"):
+        build(without, fixtures.taxon(table), stages)
+
+
 def test_count_once(table, sources, stages):
     built = build(sources, fixtures.taxon(table), stages, double_count=False)
     expect(

@@ -1,6 +1,6 @@
 """DataFrame operators; each takes and returns DataFrames and runs no job."""
 
-from .checks import assert_ok, check_parent, check_rank_assigned
+from .checks import assert_ok, check_parent, check_rank_assigned, checks
 from .clean import (
     as_attributions,
     clean_attributions,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
+from ..constants import GENUS, SPECIES
 from .clean import with_rank
 from .homonyms import homonym_pairs
 
@@ -20,6 +23,19 @@ def check_parent(df: DataFrame, child: str, parent: str = "family") -> DataFrame
     return pairs.agg((F.count(F.lit(1)) > 0).alias(f"has_homonym_{child}"))
 
 
+def checks(df: DataFrame) -> DataFrame:
+    """All checks of a set of attributions, one row ``check, value`` each.
+
+    Names repeat in records, so pass counted rows where there are any.
+    """
+    results = [check_rank_assigned(df), check_parent(df, SPECIES), check_parent(df, GENUS)]
+    named = [
+        r.select(F.lit(r.columns[0]).alias("check"), F.col(r.columns[0]).alias("value"))
+        for r in results
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
 def assert_ok(check: DataFrame, expected: bool) -> None:
     """Raise if the one value of ``check`` is not ``expected``."""
     name = check.columns[0]

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def inspect_page(df: DataFrame, *order: Column | str, limit: int = 25, offset: int = 0) -> DataFrame:
-    """``limit`` rows from ``offset`` on, in the given order."""
-    return df.orderBy(*order).offset(offset).limit(limit)
+    """``limit`` rows from ``offset`` on, in the given order, or any without one."""
+    ordered = df.orderBy(*order) if order else df
+    return ordered.offset(offset).limit(limit)
 
 
 def epithet() -> Column:

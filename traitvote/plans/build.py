@@ -45,13 +45,14 @@ class Source:
     """One set of attributions and what people decided about it.
 
     ``rows`` has ``family, genus, species, label`` and, if it is already
-    counted, a column named by ``weight``. The curation tables are optional:
-    ``flags`` and ``rules`` correct homonyms, ``fixes`` overwrite names before
-    homonyms are looked for, ``exclusions`` drop taxa after the correction.
+    counted, a column named by ``weight``. ``vocab`` is needed for the vote
+    only. The curation tables are optional: ``flags`` and ``rules`` correct
+    homonyms, ``fixes`` overwrite names before homonyms are looked for,
+    ``exclusions`` drop taxa after the correction.
     """
 
     rows: DataFrame
-    vocab: DataFrame
+    vocab: DataFrame | None = None
     strip: tuple[str, ...] = ("*",)
     weight: str | None = None
     fixes: DataFrame | None = None
@@ -69,6 +70,14 @@ class Source:
         return self.fixes is not None or self.has_review
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Sources ready for the vote: counted rows by name, and changed names."""
+
+    rows: dict[str, DataFrame]
+    synonyms: DataFrame | None
+
+
 @dataclass(frozen=True)
 class Consensus:
     """The tables a build leaves behind."""
@@ -120,25 +129,16 @@ def votes_of(rows: DataFrame, vocab: DataFrame) -> DataFrame:
     )
 
 
-def build(
-    sources: Mapping[str, Source],
-    taxon: DataFrame,
-    stages: Stages,
-    overrides: DataFrame | None = None,
-    exclusions: DataFrame | None = None,
-    params: ConfidenceParams = ConfidenceParams(),
-    priority: Mapping[str, int] = LABEL_PRIORITY,
-    double_count: bool = True,
-) -> Consensus:
-    """Vote and score a consensus at all three ranks.
+def prepare(sources: Mapping[str, Source], stages: Stages) -> Prepared:
+    """Count, correct and clean the rows of all sources.
 
     One pass over the records of each source leaves counted rows, which are
     written, as all later steps read them. Every short table that a long one
     is joined to is written as well, so that Spark broadcasts it by its exact
-    size or not at all. Counts of all ranks come from one aggregation over
-    all sources. Overrides and exclusions act before scoring, so an excluded
-    family has no assessed species. ``double_count=False`` counts species
-    records once in a family.
+    size or not at all.
+
+    What a person has to look at exists now: the vocabulary of a source is
+    ``verbatim_vocab(prepared.rows[name])``.
     """
     rows = stages.write_all({f"{name}_rows": counted_rows(s) for name, s in sources.items()})
     reviewed = {name: s for name, s in sources.items() if s.has_review}
@@ -155,16 +155,33 @@ def build(
         name: labelled_rows(source, rows[f"{name}_rows"], reviews.get(f"{name}_review"))
         for name, source in sources.items()
     }
-    tables = {
-        "counts": merge_counts(
-            {name: votes_of(df, sources[name].vocab) for name, df in labelled.items()}
-        )
-    }
     corrected = [labelled[name] for name, source in sources.items() if source.is_corrected]
-    if corrected:
-        tables["synonyms"] = synonym_table(*corrected)
+    return Prepared(labelled, synonym_table(*corrected) if corrected else None)
+
+
+def vote(
+    prepared: Prepared,
+    vocabs: Mapping[str, DataFrame],
+    taxon: DataFrame,
+    stages: Stages,
+    overrides: DataFrame | None = None,
+    exclusions: DataFrame | None = None,
+    params: ConfidenceParams = ConfidenceParams(),
+    priority: Mapping[str, int] = LABEL_PRIORITY,
+    double_count: bool = True,
+) -> Consensus:
+    """Vote and score a consensus at all three ranks.
+
+    Counts of all ranks come from one aggregation over all sources. Overrides
+    and exclusions act before scoring, so an excluded family has no assessed
+    species. ``double_count=False`` counts species records once in a family.
+    """
+    votes = {name: votes_of(rows, vocabs[name]) for name, rows in prepared.rows.items()}
+    tables = {"counts": merge_counts(votes)}
+    if prepared.synonyms is not None:
+        tables["synonyms"] = prepared.synonyms
     tables = stages.write_all(tables)
-    counts = tables["counts"]
+    counts, synonyms = tables["counts"], tables.get("synonyms")
 
     species = with_notes(consensus(counts, SPECIES, priority))
     genus = with_notes(consensus(genus_obs(counts), GENUS, priority))
@@ -184,7 +201,6 @@ def build(
         }
     )
     genus, family = groups["genus"], groups["family"]
-    synonyms = tables.get("synonyms")
     labelled_synonyms = None
     if synonyms is not None:
         labelled_synonyms = stages.write(
@@ -193,6 +209,17 @@ def build(
     return Consensus(species, genus, family, synonyms, labelled_synonyms, counts)
 
 
+def build(
+    sources: Mapping[str, Source], taxon: DataFrame, stages: Stages, **options
+) -> Consensus:
+    """:func:`prepare` the sources and :func:`vote`, with its options."""
+    vocabs = {name: source.vocab for name, source in sources.items()}
+    missing = [name for name, vocab in vocabs.items() if vocab is None]
+    if missing:
+        raise ValueError(f"no vocabulary for {', '.join(missing)}")
+    return vote(prepare(sources, stages), vocabs, taxon, stages, **options)
+
+
 def label_list(
     species_list: DataFrame, built: Consensus, correct_synonyms: bool = False
 ) -> DataFrame:

@@ -353,6 +353,13 @@ _PLAIN_QUERIES = {
   SELECT {_homonym_check("genus", "traits")}, 'traits' AS input
   UNION ALL SELECT {_homonym_check("genus", "corrected")}, 'corrected_traits'
   UNION ALL SELECT {_homonym_check("genus", "observations")}, 'observations'""",
+    "checks": f"""
+  SELECT 'applies_to_rank_not_null' AS "check", NOT EXISTS (
+    SELECT 1 FROM sparse WHERE coalesce(family, genus, species) IS NULL) AS "value"
+  UNION ALL SELECT 'has_homonym_species', has_homonym_species
+    FROM (SELECT {_homonym_check("species", "sparse")})
+  UNION ALL SELECT 'has_homonym_genus', has_homonym_genus
+    FROM (SELECT {_homonym_check("genus", "sparse")})""",
     "homonym_species": _pairs("species", "traits"),
     "homonym_genera": _pairs("genus", "sparse"),
     "homonym_summary": f"""

@@ -175,6 +175,13 @@ def q_check_genus_parent(spark, sf_dir):
     )
 
 
+@query
+def q_checks(spark, sf_dir):
+    rows = op.clean_labels(adapter.sparse_traits(spark, sf_dir))
+    counted = op.collapse(rows, *RANKS, "label")
+    return op.checks(Stages(spark).write("rows", counted))
+
+
 @query
 def q_homonym_species(spark, sf_dir):
     return op.homonym_pairs(adapter.traits(spark, sf_dir), SPECIES)
