@@ -22,7 +22,7 @@ HEADLINE = [
     "family_consensus",
     "family_confidence",
     "impute_cascade",
-    "pipeline_full",
+    "build_and_label",
 ]
 
 

@@ -118,11 +118,9 @@ def relabel_synonyms(imputed: DataFrame, labelled: DataFrame) -> DataFrame:
     same = [F.col(r) == F.col(f"__{r}") for r in RANKS]
     found = F.col("__label")
     written = {c: F.when(found.isNull(), F.col(c)).otherwise(found[c]) for c in LABEL_COLUMNS}
-    return rows.join(lines, same, "left").select(
-        *(written.get(c, F.col(c)).alias(c) for c in rows.columns),
-        F.when(found.isNotNull(), 1).alias("name_updated"),
-        *ACCEPTED,
-    )
+    written["name_updated"] = F.when(found.isNotNull(), 1)
+    joined = rows.join(lines, same, "left").withColumns(written)
+    return joined.drop("__label", *(f"__{r}" for r in RANKS))
 
 
 def impute_synonyms(

@@ -65,10 +65,8 @@ def accepted_names(review: DataFrame, rules: DataFrame) -> DataFrame:
     given up, not kept.
     """
     nothing = F.lit(None).cast("string")
-    return _match(review, rules).select(
-        *review.columns,
-        *(_written(rank, nothing).alias(f"acc_{rank}") for rank in RANKS),
-    )
+    accepted = {f"acc_{rank}": _written(rank, nothing) for rank in RANKS}
+    return _match(review, rules).withColumns(accepted).drop(*map(_rule, _WEAKEST_FIRST))
 
 
 def with_original_names(df: DataFrame) -> DataFrame:
@@ -88,7 +86,7 @@ def fix_names(df: DataFrame, rules: DataFrame) -> DataFrame:
     tracked = F.coalesce(F.greatest(*tracks), F.lit(0))
     written = {rank: _written(rank, F.col(rank)) for rank in RANKS}
     written["name_updated"] = F.greatest("name_updated", tracked).cast("smallint")
-    return _match(df, rules).select(*(written.get(c, F.col(c)).alias(c) for c in df.columns))
+    return _match(df, rules).withColumns(written).drop(*map(_rule, _WEAKEST_FIRST))
 
 
 def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all") -> DataFrame:
@@ -130,11 +128,8 @@ def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all
     written["name_updated"] = F.when(
         g.isNotNull() | s.isNotNull(), F.lit(1).cast("smallint")
     ).otherwise(F.col("name_updated"))
-    return (
-        df.join(by_species, same_species, "left")
-        .join(by_genus, same_genus, "left")
-        .select(*(written.get(c, F.col(c)).alias(c) for c in df.columns))
-    )
+    joined = df.join(by_species, same_species, "left").join(by_genus, same_genus, "left")
+    return joined.withColumns(written).drop(*by_species.columns, *by_genus.columns)
 
 
 def name_changes(df: DataFrame, *then_by: str) -> DataFrame:

@@ -31,9 +31,8 @@ def apply_overrides(cons: DataFrame, overrides: DataFrame) -> DataFrame:
         written["inferred_from_ranks"] = F.when(
             ~F.coalesce("__clear", F.lit(False)), F.col("inferred_from_ranks")
         )
-    return cons.join(listed, F.col(FAMILY) == F.col("__family"), "left").select(
-        *(written.get(c, F.col(c)).alias(c) for c in cons.columns)
-    )
+    joined = cons.join(listed, F.col(FAMILY) == F.col("__family"), "left")
+    return joined.withColumns(written).drop(*listed.columns)
 
 
 def exclude_groups(cons: DataFrame, families: DataFrame) -> DataFrame:

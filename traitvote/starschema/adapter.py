@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..constants import GROWTH_FORM_TRAITS
+from ..constants import GROWTH_FORM_TRAITS, RANKS
 from ..operators import as_attributions, target_species
-from ..schemas import GROUP_EXCLUSIONS, HOMONYM_FLAGS, NAME_RULES, OVERRIDES, VOCABULARY
+from ..schemas import GROUP_EXCLUSIONS, NAME_RULES, OVERRIDES, VOCABULARY
 from ..sources import scan_observations, scan_traits
 
 UNKNOWN = "Unknown"
@@ -189,26 +189,28 @@ def observation_vocab(spark: SparkSession) -> DataFrame:
 def homonym_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every genus is flagged in the family Unknown, some without a family."""
     places = _places(spark, sf_dir)
-    odd = (F.col("n_nationkey") % 2).cast("smallint")
-    flagged = F.lit(1).cast("smallint").alias("is_homonym_genus")
-    unknown = places.select(
-        "genus", F.lit(UNKNOWN).alias("family"), flagged, odd.alias("check_species")
+    unknown = places.selectExpr(
+        "genus",
+        f"'{UNKNOWN}' AS family",
+        "CAST(1 AS SMALLINT) AS is_homonym_genus",
+        "CAST(n_nationkey % 2 AS SMALLINT) AS check_species",
     )
-    nowhere = places.filter("n_nationkey % 8 = 1").select(
+    nowhere = places.filter("n_nationkey % 8 = 1").selectExpr(
         "genus",
-        F.lit(None).cast("string").alias("family"),
-        flagged,
-        F.lit(0).cast("smallint").alias("check_species"),
+        "CAST(NULL AS STRING) AS family",
+        "CAST(1 AS SMALLINT) AS is_homonym_genus",
+        "CAST(0 AS SMALLINT) AS check_species",
     )
-    return unknown.unionByName(nowhere).select(*HOMONYM_FLAGS.names)
+    return unknown.unionByName(nowhere)
 
 
-def _rules(df: DataFrame, scope: str, **fields) -> DataFrame:
+def _rules(df: DataFrame, scope: str, **fields: str) -> DataFrame:
     """Rules of one scope; fields left out are NULL or false."""
-    values = {"scope": F.lit(scope)} | fields
-    return df.select(
-        *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in NAME_RULES)
-    ).fillna(False)
+    empty = {f.name: "false" if f.dataType == T.BooleanType() else "NULL" for f in NAME_RULES}
+    values = empty | {"scope": f"'{scope}'"} | fields
+    return df.selectExpr(
+        *(f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in NAME_RULES)
+    )
 
 
 def name_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,39 +221,35 @@ def name_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     their genus.
     """
     places = _places(spark, sf_dir)
-    yes, unknown = F.lit(True), F.lit(UNKNOWN)
+    all_names = {f"set_{rank}": "true" for rank in RANKS}
     back = _rules(
         places.filter("n_nationkey % 2 = 0"),
         "genus_family",
-        genus=F.col("genus"),
-        family=unknown,
-        acc_family=F.col("family"),
-        acc_genus=F.col("genus"),
-        set_family=yes,
-        set_genus=yes,
-        set_species=yes,
-        copy_species=yes,
-        track=yes,
+        genus="genus",
+        family=f"'{UNKNOWN}'",
+        acc_family="family",
+        acc_genus="genus",
+        copy_species="true",
+        track="true",
+        **all_names,
     )
     other_genus = _rules(
         places.filter("n_nationkey % 4 = 2"),
         "genus_family_null_species",
-        genus=F.col("genus"),
-        family=unknown,
-        acc_family=F.col("family"),
-        acc_genus=F.concat("genus", F.lit("_ALT")),
-        set_family=yes,
-        set_genus=yes,
-        set_species=yes,
-        track=yes,
+        genus="genus",
+        family=f"'{UNKNOWN}'",
+        acc_family="family",
+        acc_genus="concat(genus, '_ALT')",
+        track="true",
+        **all_names,
     )
     renamed = _rules(
         _taxa(spark, sf_dir).filter("c_custkey % 40 = 5"),
         "species",
-        species=F.col("species"),
-        acc_species=F.concat("species", F.lit(" renamed")),
-        set_species=yes,
-        track=yes,
+        species="species",
+        acc_species="concat(species, ' renamed')",
+        set_species="true",
+        track="true",
     )
     return back.unionByName(other_genus).unionByName(renamed)
 
@@ -261,18 +259,20 @@ def name_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules(
         _taxa(spark, sf_dir).filter("c_custkey % 5 = 0"),
         "species_family",
-        species=F.col("species"),
-        family=F.lit(UNKNOWN),
-        acc_family=F.col("family"),
-        set_family=F.lit(True),
-        track=F.col("c_custkey") % 35 == 0,
+        species="species",
+        family=f"'{UNKNOWN}'",
+        acc_family="family",
+        set_family="true",
+        track="c_custkey % 35 = 0",
     )
 
 
 def taxon_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop what is known of some genera without a species."""
-    return _places(spark, sf_dir).filter("n_nationkey % 5 = 2").select(
-        "family", "genus", F.lit("  ").alias("species")
+    return (
+        _places(spark, sf_dir)
+        .filter("n_nationkey % 5 = 2")
+        .selectExpr("family", "genus", "'  ' AS species")
     )
 
 

@@ -451,9 +451,9 @@ _PLAIN_QUERIES = {
 }
 
 _CURATED_QUERIES = {
-    "pipeline_full": _SYNONYM_LABELS,
-    "pipeline_genus": "SELECT * FROM genus_scored",
-    "pipeline_family": "SELECT * FROM family_scored",
+    "build_and_label": _SYNONYM_LABELS,
+    "build_genus": "SELECT * FROM genus_scored",
+    "build_family": "SELECT * FROM family_scored",
 }
 
 # Overrides alone, on an otherwise plain build.

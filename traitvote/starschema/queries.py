@@ -477,16 +477,16 @@ def corrected_build(spark: SparkSession, sf_dir: str) -> Consensus:
 
 
 @query
-def q_pipeline_full(spark, sf_dir):
+def q_build_and_label(spark, sf_dir):
     rows = adapter.species_list_with_old_names(spark, sf_dir)
     return label_list(rows, corrected_build(spark, sf_dir), correct_synonyms=True)
 
 
 @query
-def q_pipeline_genus(spark, sf_dir):
+def q_build_genus(spark, sf_dir):
     return corrected_build(spark, sf_dir).genus
 
 
 @query
-def q_pipeline_family(spark, sf_dir):
+def q_build_family(spark, sf_dir):
     return corrected_build(spark, sf_dir).family
