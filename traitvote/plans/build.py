@@ -94,11 +94,11 @@ def counted_rows(source: Source) -> DataFrame:
     """Distinct placed (names, label) of a source, with their number ``n``.
 
     Rows whose label is blank stay: their names still take part in the search
-    for homonyms.
+    for homonyms. Original names are kept only where fixes change the names.
     """
     rows = clean_labels(drop_unplaced(source.rows), strip=source.strip)
-    rows = with_original_names(collapse(rows, *RANKS, "label", weight=source.weight))
-    return rows if source.fixes is None else fix_names(rows, source.fixes)
+    rows = collapse(rows, *RANKS, "label", weight=source.weight)
+    return rows if source.fixes is None else fix_names(with_original_names(rows), source.fixes)
 
 
 def flagged_homonyms(source: Source, rows: DataFrame) -> DataFrame:
@@ -113,6 +113,8 @@ def review_names(source: Source, rows: DataFrame, flagged: DataFrame) -> DataFra
 
 def labelled_rows(source: Source, rows: DataFrame, review: DataFrame | None = None) -> DataFrame:
     """Counted rows with corrected names, without exclusions and blank labels."""
+    if source.fixes is None:
+        rows = with_original_names(rows)
     if review is not None:
         rows = correct_names(rows, review, source.genus_rule_scope)
     if source.exclusions is not None:
