@@ -199,6 +199,18 @@ def test_invariants(spark, star_built):
         assert cons.filter(broken).count() == 0
 
 
+def test_every_way_to_a_label_is_taken(spark, star_built):
+    given = adapter.species_list(spark, "/root/testdata/sf0.001")
+    expect(
+        label_list(given, star_built).groupBy("gf_method").count(),
+        "gf_method count",
+        ("direct from species", 71),
+        ("imputed from genus", 33),
+        ("imputed from family", 13),
+        (None, 33),
+    )
+
+
 def test_imputation_keeps_every_row(spark, star_built):
     given = adapter.species_list(spark, "/root/testdata/sf0.001")
     twice = given.unionAll(given)
