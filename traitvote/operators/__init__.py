@@ -1,6 +1,6 @@
 """DataFrame operators; each takes and returns DataFrames and runs no job."""
 
-from .checks import assert_ok, check_parent, check_rank_assigned, checks
+from .checks import assert_ok, check_all, check_parent, check_rank_assigned
 from .clean import (
     as_attributions,
     clean_attributions,
@@ -50,4 +50,59 @@ from .synonyms import one_name_per_synonym, synonym_table
 from .vocab import apply_vocab, drop_useless, standardize, verbatim_vocab
 from .vote import all_labels, consensus, with_priority
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "ConfidenceParams",
+    "accepted_names",
+    "all_labels",
+    "apply_overrides",
+    "apply_vocab",
+    "as_attributions",
+    "assert_ok",
+    "assessed_species",
+    "at_rank",
+    "check_all",
+    "check_parent",
+    "check_rank_assigned",
+    "clean_attributions",
+    "clean_labels",
+    "collapse",
+    "consensus",
+    "correct_names",
+    "count_attributions",
+    "drop_unplaced",
+    "drop_useless",
+    "epithet",
+    "exclude_groups",
+    "exclude_taxa",
+    "family_obs",
+    "fix_names",
+    "flag_homonyms",
+    "genus_obs",
+    "group_confidence",
+    "homonym_pairs",
+    "homonym_review",
+    "homonym_summary",
+    "impute",
+    "impute_synonyms",
+    "inspect_page",
+    "label_synonyms",
+    "listed_species",
+    "merge_counts",
+    "name_changes",
+    "one_name_per_synonym",
+    "rank_of",
+    "relabel_synonyms",
+    "resolve_synonyms",
+    "species_confidence",
+    "stack_counts",
+    "standardize",
+    "synonym_table",
+    "target_species",
+    "verbatim_vocab",
+    "with_coverage",
+    "with_genus",
+    "with_notes",
+    "with_original_names",
+    "with_priority",
+    "with_rank",
+]

@@ -23,7 +23,7 @@ def check_parent(df: DataFrame, child: str, parent: str = "family") -> DataFrame
     return pairs.agg((F.count(F.lit(1)) > 0).alias(f"has_homonym_{child}"))
 
 
-def checks(df: DataFrame) -> DataFrame:
+def check_all(df: DataFrame) -> DataFrame:
     """All checks of a set of attributions, one row ``check, value`` each.
 
     Names repeat in records, so pass counted rows where there are any.

@@ -179,7 +179,7 @@ def q_check_genus_parent(spark, sf_dir):
 def q_checks(spark, sf_dir):
     rows = op.clean_labels(adapter.sparse_traits(spark, sf_dir))
     counted = op.collapse(rows, *RANKS, "label")
-    return op.checks(Stages(spark).write("rows", counted))
+    return op.check_all(Stages(spark).write("rows", counted))
 
 
 @query
