@@ -102,6 +102,13 @@ def test_vocabulary_is_made_between_the_two_steps(spark, table, sources, stages,
         build(without, fixtures.taxon(table), stages)
 
 
+def test_flags_and_rules_go_together(table, sources):
+    flags = table(HOMONYM_FLAGS, ("G", "F", 1, 0))
+    with pytest.raises(ValueError, match="go together"):
+        replace(sources["traits"], flags=flags)
+    assert replace(sources["traits"], flags=flags, rules=table(NAME_RULES)).is_corrected
+
+
 def test_count_once(table, sources, stages):
     built = build(sources, fixtures.taxon(table), stages, double_count=False)
     expect(

@@ -46,9 +46,10 @@ class Source:
 
     ``rows`` has ``family, genus, species, label`` and, if it is already
     counted, a column named by ``weight``. ``vocab`` is needed for the vote
-    only. The curation tables are optional: ``flags`` and ``rules`` correct
-    homonyms, ``fixes`` overwrite names before homonyms are looked for,
-    ``exclusions`` drop taxa after the correction.
+    only. The curation tables are optional: ``flags`` and ``rules`` together
+    correct homonyms (a flagged name without a rule is given up), ``fixes``
+    overwrite names before homonyms are looked for, ``exclusions`` drop taxa
+    after the correction.
     """
 
     rows: DataFrame
@@ -61,9 +62,13 @@ class Source:
     exclusions: DataFrame | None = None
     genus_rule_scope: str = "all"
 
+    def __post_init__(self) -> None:
+        if (self.flags is None) != (self.rules is None):
+            raise ValueError("flags and rules go together; an empty table will do")
+
     @property
     def has_review(self) -> bool:
-        return self.flags is not None and self.rules is not None
+        return self.flags is not None
 
     @property
     def is_corrected(self) -> bool:
