@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import Stages
 from . import decontaminate as leaks
-from . import line_dedup, mixing, sharding
+from . import line_dedup, mixing, near_dedup, sharding
 from .common import ROW_KEY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_near_dedup(spark, sf_dir):
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Stages(spark))
+    return found.select(
+        F.col(ROW_KEY[0]).alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
