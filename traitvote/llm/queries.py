@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import Stages
 from . import decontaminate as leaks
-from . import line_dedup, mixing, near_dedup, sharding
+from . import language_id, line_dedup, mixing, near_dedup, sharding
 from .common import ROW_KEY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,14 @@ def op2_line_dedup(spark, sf_dir):
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op4_language_id(spark, sf_dir):
+    model = language_id.fitted_for(spark, sf_dir)
+    found = language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    held_out = language_id.is_held_out(F.col("doc_id")).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", F.col("lang_score").alias("score"))
+
+
 @query
 def op7_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
