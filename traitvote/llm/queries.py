@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import Stages
 from . import decontaminate as leaks
-from . import language_id, line_dedup, mixing, near_dedup, sharding
+from . import language_id, line_dedup, mixing, near_dedup, quality_gam, quality_rules, sharding
 from .common import ROW_KEY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,13 @@ def op4_language_id(spark, sf_dir):
     return found.select("doc_id", held_out, "lang_pred", F.col("lang_score").alias("score"))
 
 
+@query
+def op6_quality_rules(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = quality_rules.judge(docs.select("doc_id", "text"), quality_rules.fit(docs, labels))
+    return judged.drop("text")
+
+
 @query
 def op7_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +65,15 @@ def op7_sharding(spark, sf_dir):
     return done.select("doc_id", "shard", "shard_depth", "n_bytes")
 
 
+@query
+def op8_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = quality_gam.is_held_out(F.col("doc_id"))
+    model = quality_gam.fit(docs, labels.filter(~held_out))
+    scored = quality_gam.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def dimensions() -> dict:
     return {name: make(name) for name, make in MIX_DIMENSIONS.items()}
 
