@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import Stages
 from . import decontaminate as leaks
-from . import language_id, line_dedup, mixing, near_dedup, quality_gam, quality_rules, sharding
+from . import language_id, license_scan, line_dedup, mixing, near_dedup, quality_gam, quality_rules, sharding
 from .common import ROW_KEY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,12 @@ def op2_line_dedup(spark, sf_dir):
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op3_license_scan(spark, sf_dir):
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text", "blocks")
+
+
 @query
 def op4_language_id(spark, sf_dir):
     model = language_id.fitted_for(spark, sf_dir)
