@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import Stages
 from . import decontaminate as leaks
-from . import language_id, license_scan, line_dedup, mixing, near_dedup, quality_gam, quality_rules, sharding
+from . import html_extract, language_id, license_scan, line_dedup, mixing, near_dedup, quality_gam, quality_rules, sharding
 from .common import ROW_KEY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ def op4_language_id(spark, sf_dir):
     return found.select("doc_id", held_out, "lang_pred", F.col("lang_score").alias("score"))
 
 
+@query
+def op5_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages)).drop("html")
+
+
 @query
 def op6_quality_rules(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
