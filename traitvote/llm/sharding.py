@@ -11,7 +11,6 @@ they. Rows that share all bits are dealt to numbered pages of their bucket.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -39,38 +38,34 @@ def _prefix(hash_column: str, depth: int) -> Column:
     return F.shiftright(F.col(hash_column), HASH_BITS - depth)
 
 
-def _split(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
-    """Buckets ``depth, prefix`` within the limit, and those full at ``high``.
+def _nodes(cells: DataFrame, low: int, high: int) -> DataFrame:
+    """``depth, prefix, bytes`` of the cells, which are at ``high``, and all above."""
+    depths = F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")
+    spread = cells.select(depths, F.col("prefix").alias("__cell"), "bytes")
+    prefix = F.expr(f"shiftright(__cell, {high} - depth)").alias("prefix")
+    return spread.groupBy("depth", prefix).agg(F.sum("bytes").alias("bytes"))
+
+
+def _split(nodes: DataFrame, low: int, high: int, limit: int) -> DataFrame:
+    """Buckets ``depth, prefix, bytes`` within the limit, and those full at ``high``.
 
-    ``cells`` has ``prefix, bytes`` at depth ``high``; their ancestors at depth
-    ``low`` are known to be too large. A bucket is one whose parent had to be
-    split. Each parent has two children, so no join here has a hot key.
+    A bucket is a node whose parent had to be split; what is above ``low`` is
+    known to be too large. A parent has two children, so no key is hot.
     """
-    levels = {high: cells}
-    for depth in range(high - 1, low - 1, -1):
-        levels[depth] = (
-            levels[depth + 1]
-            .groupBy(F.shiftright("prefix", 1).alias("prefix"))
-            .agg(F.sum("bytes").alias("bytes"))
-        )
-    found = []
-    for depth in range(low, high + 1):
-        here = levels[depth]
-        ends = here if depth == high else here.filter(F.col("bytes") <= limit)
-        if depth > low:
-            parents = levels[depth - 1].filter(F.col("bytes") > limit)
-            ends = ends.join(
-                parents.select(F.col("prefix").alias("__parent")),
-                F.shiftright("prefix", 1) == F.col("__parent"),
-                "left_semi",
-            )
-        found.append(ends.select(F.lit(depth).alias("depth"), "prefix", "bytes"))
-    return reduce(DataFrame.unionByName, found)
-
-
-def _directory(cells: DataFrame, buckets: DataFrame, low: int, high: int) -> DataFrame:
-    """The bucket of each cell; NULL where only the depth ``low`` was enough."""
-    depths = F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")
+    ends = nodes.filter((F.col("bytes") <= limit) | (F.col("depth") == high))
+    parents = nodes.filter(F.col("bytes") > limit).select(
+        (F.col("depth") + 1).alias("__depth"), F.col("prefix").alias("__parent")
+    )
+    on = (F.col("depth") == F.col("__depth")) & (F.shiftright("prefix", 1) == F.col("__parent"))
+    return ends.filter(F.col("depth") == low).unionByName(ends.join(parents, on, "left_semi"))
+
+
+def _directory(cells: DataFrame, buckets: DataFrame, high: int) -> DataFrame:
+    """The bucket of each cell, ``cell, depth, prefix, bytes``."""
+    least, most = buckets.agg(F.min("depth"), F.max("depth")).first()
+    if least is None:
+        least = most = high
+    depths = F.explode(F.sequence(F.lit(least), F.lit(most))).alias("depth")
     spread = cells.select(F.col("prefix").alias("cell"), depths).withColumn(
         "prefix", F.expr(f"shiftright(cell, {high} - depth)")
     )
@@ -91,10 +86,10 @@ def shard_directory(sizes: DataFrame, stages: Stages, limit: int) -> list[tuple[
             F.sum("__bytes").alias("bytes")
         )
         cells = stages.write(f"cells_{high}", cells)
-        buckets = stages.write(f"buckets_{high}", _split(cells, low, high, limit))
-        directory = _directory(cells, buckets, low, high).withColumn(
-            "full", F.col("bytes") > limit
-        )
+        nodes = stages.write(f"nodes_{high}", _nodes(cells, low, high))
+        buckets = stages.write(f"buckets_{high}", _split(nodes, low, high, limit))
+        directory = _directory(cells, buckets, high)
+        directory = directory.withColumn("full", F.col("bytes") > limit)
         directory = stages.write(f"directory_{high}", directory)
         directories.append((high, directory))
         full = directory.filter("full").select(F.col("cell").alias("__cell"))
