@@ -28,10 +28,10 @@ SHINGLE = 5
 BANDS, ROWS = 43, 5
 #: Chance of giving up a pair that reaches the threshold, for each batch.
 MISS = 1e-6
-#: Buckets up to this size compare all classes of different components; larger
-#: ones are divided by a second band first.
-SMALL_BUCKET = 100
-MAX_DEPTH = 3
+#: A bucket with at most so many classes outside its largest component compares
+#: these with all others; one with more is divided by a second band first.
+OUTSIDE = 100
+MAX_DEPTH = 2
 #: Shingles hashed at a time, so that a long text needs no more memory.
 CHUNK = 512
 CACHE_WORDS = 500_000
@@ -282,17 +282,24 @@ class _Search:
             labelled = shared.withColumn("component", F.lit(None).cast("bigint"))
         labelled = labelled.select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
         labelled = self.write("labelled", labelled)
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         # two classes have been compared already, as one of them leads
-        mixed = self.write("mixed", mixed.filter("low != high").select("bucket"))
-        rest = self.write("rest", labelled.filter("size > 2").join(mixed, "bucket"))
-        small = rest if depth == MAX_DEPTH else rest.filter(F.col("size") <= SMALL_BUCKET)
-        other = small.select("bucket", F.col("node").alias("v"), F.col("component").alias("cv"))
-        pairs = small.join(other, "bucket").filter("node < v AND component != cv")
-        self.compare(pairs.select(F.col("node").alias("u"), "v").distinct())
+        parts = labelled.filter("size > 2").groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        largest = F.max(F.struct("n", "component"))
+        mixed = parts.groupBy("bucket").agg(largest.alias("top"), F.sum("n").alias("all"))
+        mixed = mixed.filter(F.col("all") > F.col("top.n")).select(
+            "bucket", F.col("top.component").alias("main"), (F.col("all") - F.col("top.n")).alias("outside")
+        )
+        mixed = self.write("mixed", mixed)
+        rest = self.write("rest", labelled.drop("size").join(mixed, "bucket"))
+        few = rest if depth == MAX_DEPTH else rest.filter(F.col("outside") <= OUTSIDE)
+        outer = few.filter("component != main").select("bucket", "node", "component")
+        inner = few.select("bucket", F.col("node").alias("other"), F.col("component").alias("of_other"))
+        pairs = outer.join(inner, "bucket").filter("component != of_other")
+        pairs = pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
+        self.compare(pairs.distinct())
         if depth == MAX_DEPTH:
             return
-        large = rest.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node")
+        large = rest.filter(F.col("outside") > OUTSIDE).select("bucket", "node")
         if not large.isEmpty():
             bands = self.classes.select("node", "bands")
             finer = large.join(bands, "node").select("node", "bucket", F.explode("bands").alias("band"))
