@@ -56,11 +56,14 @@ def listed_species(taxon: DataFrame, rank: str) -> DataFrame:
 
 
 def assessed_species(species_cons: DataFrame, rank: str) -> DataFrame:
-    """Distinct species per taxon of ``rank`` that have a consensus."""
+    """Species per taxon of ``rank`` that have a consensus.
+
+    A species consensus has one row for each species, so these are counted.
+    """
     return (
         species_cons.filter(F.col("gf_cons").isNotNull())
         .groupBy(rank)
-        .agg(F.count_distinct(SPECIES).alias("spp_gf"))
+        .agg(F.count(SPECIES).alias("spp_gf"))
     )
 
 

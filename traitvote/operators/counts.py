@@ -45,16 +45,22 @@ def stack_counts(*counts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
 
 
+#: Sources or ranks that fit into the bits of one number.
+BITS = 63
+
+
 def _bit(position: int) -> Column:
     return F.lit(1 << position).cast("bigint")
 
 
-def _names_in(tags: Column, names: Sequence[str]) -> Column:
+def _names_in(tags: Sequence[Column], names: Sequence[str]) -> Column:
     """The names whose bit is set, in ascending order, comma-separated."""
     listed = sorted((name, position) for position, name in enumerate(names))
-    return F.concat_ws(
-        ",", *(F.when(tags.bitwiseAND(_bit(position)) != 0, name) for name, position in listed)
+    seen = (
+        F.when(tags[position // BITS].bitwiseAND(_bit(position % BITS)) != 0, name)
+        for name, position in listed
     )
+    return F.concat_ws(",", *seen)
 
 
 def _rank_bit(rank: str) -> Column:
@@ -62,7 +68,7 @@ def _rank_bit(rank: str) -> Column:
 
 
 def _in_ranks(tags: Column) -> Column:
-    return _names_in(tags, RANKS).alias("inferred_from_ranks")
+    return _names_in([tags], RANKS).alias("inferred_from_ranks")
 
 
 def merge_counts(counts: Mapping[str, DataFrame]) -> DataFrame:
@@ -70,23 +76,27 @@ def merge_counts(counts: Mapping[str, DataFrame]) -> DataFrame:
 
     Inputs have ``obs`` per taxon and label ``gf``, or parts of it that are
     still to be summed. Rows without a family are dropped. The set of sources
-    travels through the shuffle as bits of one number, which keeps this a
-    plain hash aggregate that starts before the shuffle.
+    travels through the shuffle as bits of one number for every 63 of them,
+    which keeps this a plain hash aggregate that starts before the shuffle.
     """
-    if len(counts) > 63:
-        raise ValueError("merge_counts takes at most 63 sources; merge in steps")
     keys = keys_of(SPECIES)
+    groups = range((len(counts) + BITS - 1) // BITS)
+
+    def tags(position: int) -> list[Column]:
+        own, place = divmod(position, BITS)
+        return [(_bit(place) if g == own else F.lit(0).cast("bigint")).alias(f"__tags{g}") for g in groups]
+
     tagged = [
-        df.select(*keys, "gf", "obs", _bit(position).alias("__tags"))
+        df.select(*keys, "gf", "obs", *tags(position))
         for position, df in enumerate(counts.values())
     ]
     return (
         reduce(DataFrame.unionByName, tagged)
         .filter(F.col(FAMILY).isNotNull())
         .groupBy(*keys, "gf")
-        .agg(F.sum("obs").alias("obs"), F.bit_or("__tags").alias("__tags"))
-        .withColumn("obs_sources", _names_in(F.col("__tags"), list(counts)))
-        .drop("__tags")
+        .agg(F.sum("obs").alias("obs"), *(F.bit_or(f"__tags{g}").alias(f"__tags{g}") for g in groups))
+        .withColumn("obs_sources", _names_in([F.col(f"__tags{g}") for g in groups], list(counts)))
+        .drop(*(f"__tags{g}" for g in groups))
     )
 
 

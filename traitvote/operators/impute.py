@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -74,10 +74,13 @@ def impute(
     return joined.select(*rows.columns, *(found[c].alias(c) for c in LABEL_COLUMNS))
 
 
-def resolve_synonyms(df: DataFrame, synonyms: DataFrame) -> DataFrame:
+def resolve_synonyms(
+    df: DataFrame, synonyms: DataFrame, write: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Add the accepted names of listed synonyms and ``name_updated`` 1.
 
-    Rows whose names are no synonym get NULL in all four columns.
+    Rows whose names are no synonym get NULL in all four columns. ``write``
+    writes the distinct synonyms before the join, as ``Stages.keep`` does.
     """
     df = df.drop("name_updated", *ACCEPTED)
     lines = one_name_per_synonym(synonyms).select(
@@ -85,6 +88,7 @@ def resolve_synonyms(df: DataFrame, synonyms: DataFrame) -> DataFrame:
         F.lit(1).alias("name_updated"),
         *(F.col(r).alias(f"acc_{r}") for r in RANKS),
     )
+    lines = write(lines) if write else lines
     same = [F.col(r) == F.col(f"__{r}") for r in RANKS]
     return df.join(lines, same, "left").drop(*(f"__{r}" for r in RANKS))
 

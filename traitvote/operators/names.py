@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,8 +27,16 @@ def _rule(scope: str) -> str:
     return f"__rule_{scope}"
 
 
-def _match(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add the rule of every scope that fits a row, as a struct or NULL."""
+#: Writes a short table and returns what was written, as ``Stages.keep`` does.
+Write = Callable[[DataFrame], DataFrame]
+
+
+def _match(df: DataFrame, rules: DataFrame, write: Write | None = None) -> DataFrame:
+    """Add the rule of every scope that fits a row, as a struct or NULL.
+
+    With ``write`` the distinct rules are written before they are joined, so
+    that Spark can split the rows of a name that fills much of the table.
+    """
     effect = F.struct(
         *(c for rank in RANKS for c in (f"set_{rank}", f"acc_{rank}")), "copy_species", "track"
     )
@@ -37,6 +46,7 @@ def _match(df: DataFrame, rules: DataFrame) -> DataFrame:
             .groupBy(*(F.col(k).alias(f"__{k}") for k in keys))
             .agg(*(F.min(F.when(F.col("scope") == s, effect)).alias(_rule(s)) for s in scopes))
         )
+        best = write(best) if write else best
         same = [F.col(k) == F.col(f"__{k}") for k in keys]
         df = df.join(best, same, "left").drop(*(f"__{k}" for k in keys))
     only_without_species = _rule("genus_family_null_species")
@@ -77,19 +87,22 @@ def with_original_names(df: DataFrame) -> DataFrame:
     )
 
 
-def fix_names(df: DataFrame, rules: DataFrame) -> DataFrame:
+def fix_names(df: DataFrame, rules: DataFrame, write: Write | None = None) -> DataFrame:
     """Overwrite names directly by rules, before any homonym is looked for.
 
-    Only rules with ``track`` set ``name_updated``.
+    Only rules with ``track`` set ``name_updated``. With ``write`` the distinct
+    rules of each scope are written before they are joined.
     """
     tracks = (F.col(_rule(scope))["track"].cast("smallint") for scope in _WEAKEST_FIRST)
     tracked = F.coalesce(F.greatest(*tracks), F.lit(0))
     written = {rank: _written(rank, F.col(rank)) for rank in RANKS}
     written["name_updated"] = F.greatest("name_updated", tracked).cast("smallint")
-    return _match(df, rules).withColumns(written).drop(*map(_rule, _WEAKEST_FIRST))
+    return _match(df, rules, write).withColumns(written).drop(*map(_rule, _WEAKEST_FIRST))
 
 
-def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all") -> DataFrame:
+def correct_names(
+    df: DataFrame, review: DataFrame, genus_rule_scope: str = "all", write: Write | None = None
+) -> DataFrame:
     """Replace the original names of flagged rows by the accepted ones.
 
     ``df`` comes from :func:`with_original_names`, ``review`` from
@@ -97,7 +110,8 @@ def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all
     review line without a species then rewrites *every* row of its (family,
     genus), also those already matched, and clears their species. Pass
     ``genus_rule_scope="null_species_only"`` to leave rows with a species to
-    their own line.
+    their own line. ``write`` is used as in :func:`fix_names`, for the distinct
+    lines of the review.
     """
     if genus_rule_scope not in ("all", "null_species_only"):
         raise ValueError(f"unknown genus_rule_scope {genus_rule_scope!r}")
@@ -112,6 +126,8 @@ def correct_names(df: DataFrame, review: DataFrame, genus_rule_scope: str = "all
         )
 
     by_species, by_genus = lines("__s", True), lines("__g", False)
+    if write:
+        by_species, by_genus = write(by_species), write(by_genus)
     same_species = [F.col(f"{r}_orig") == F.col(f"__s_{r}") for r in RANKS]
     same_genus = [F.col(f"{r}_orig") == F.col(f"__g_{r}") for r in (FAMILY, GENUS)]
     if genus_rule_scope == "null_species_only":

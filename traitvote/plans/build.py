@@ -13,6 +13,7 @@ from ..operators import (
     accepted_names,
     apply_overrides,
     apply_vocab,
+    check_all,
     clean_labels,
     collapse,
     consensus,
@@ -37,6 +38,7 @@ from ..operators import (
     with_notes,
     with_original_names,
 )
+from ..operators.names import ACCEPTED
 from ..sources import Stages
 
 
@@ -85,7 +87,7 @@ class Prepared:
 
 @dataclass(frozen=True)
 class Consensus:
-    """The tables a build leaves behind."""
+    """The tables a build leaves behind; ``checks`` are those of the counts."""
 
     species: DataFrame
     genus: DataFrame
@@ -93,9 +95,10 @@ class Consensus:
     synonyms: DataFrame | None
     labelled_synonyms: DataFrame | None
     counts: DataFrame
+    checks: DataFrame
 
 
-def counted_rows(source: Source) -> DataFrame:
+def counted_rows(source: Source, stages: Stages | None = None) -> DataFrame:
     """Distinct placed (names, label) of a source, with their number ``n``.
 
     Rows whose label is blank stay: their names still take part in the search
@@ -103,7 +106,10 @@ def counted_rows(source: Source) -> DataFrame:
     """
     rows = clean_labels(drop_unplaced(source.rows), strip=source.strip)
     rows = collapse(rows, *RANKS, "label", weight=source.weight)
-    return rows if source.fixes is None else fix_names(with_original_names(rows), source.fixes)
+    if source.fixes is None:
+        return rows
+    write = stages.keep("fixes") if stages else None
+    return fix_names(with_original_names(rows), source.fixes, write)
 
 
 def flagged_homonyms(source: Source, rows: DataFrame) -> DataFrame:
@@ -116,21 +122,28 @@ def review_names(source: Source, rows: DataFrame, flagged: DataFrame) -> DataFra
     return accepted_names(homonym_review(flagged, rows), source.rules)
 
 
-def labelled_rows(source: Source, rows: DataFrame, review: DataFrame | None = None) -> DataFrame:
+def labelled_rows(
+    source: Source,
+    rows: DataFrame,
+    review: DataFrame | None = None,
+    stages: Stages | None = None,
+) -> DataFrame:
     """Counted rows with corrected names, without exclusions and blank labels."""
     if source.fixes is None:
         rows = with_original_names(rows)
     if review is not None:
-        rows = correct_names(rows, review, source.genus_rule_scope)
+        write = stages.keep("review_lines") if stages else None
+        rows = correct_names(rows, review, source.genus_rule_scope, write)
     if source.exclusions is not None:
         rows = exclude_taxa(rows, source.exclusions)
     return rows.filter(F.col("label").isNotNull())
 
 
-def votes_of(rows: DataFrame, vocab: DataFrame) -> DataFrame:
+def votes_of(rows: DataFrame, vocab: DataFrame, stages: Stages | None = None) -> DataFrame:
     """Counted rows as votes for a standard label."""
+    write = stages.keep("vocab") if stages else None
     return (
-        drop_useless(apply_vocab(rows, vocab))
+        drop_useless(apply_vocab(rows, vocab, write=write))
         .filter(F.col("gf_std").isNotNull())
         .select(*RANKS, F.col("gf_std").alias("gf"), F.col("n").alias("obs"))
     )
@@ -147,7 +160,9 @@ def prepare(sources: Mapping[str, Source], stages: Stages) -> Prepared:
     What a person has to look at exists now: the vocabulary of a source is
     ``verbatim_vocab(prepared.rows[name])``.
     """
-    rows = stages.write_all({f"{name}_rows": counted_rows(s) for name, s in sources.items()})
+    rows = stages.write_all(
+        {f"{name}_rows": counted_rows(s, stages) for name, s in sources.items()}
+    )
     reviewed = {name: s for name, s in sources.items() if s.has_review}
     homonyms = stages.write_all(
         {f"{n}_homonyms": flagged_homonyms(s, rows[f"{n}_rows"]) for n, s in reviewed.items()}
@@ -159,9 +174,13 @@ def prepare(sources: Mapping[str, Source], stages: Stages) -> Prepared:
         }
     )
     labelled = {
-        name: labelled_rows(source, rows[f"{name}_rows"], reviews.get(f"{name}_review"))
+        name: labelled_rows(source, rows[f"{name}_rows"], reviews.get(f"{name}_review"), stages)
         for name, source in sources.items()
     }
+    # votes, synonyms and the vocabulary read corrected rows, so these are written
+    changed = {f"{n}_labelled": labelled[n] for n, s in sources.items() if s.is_corrected}
+    for name, written in stages.write_all(changed).items():
+        labelled[name.removesuffix("_labelled")] = written
     corrected = [labelled[name] for name, source in sources.items() if source.is_corrected]
     return Prepared(labelled, synonym_table(*corrected) if corrected else None)
 
@@ -172,7 +191,7 @@ def vote(
     taxon: DataFrame,
     stages: Stages,
     overrides: DataFrame | None = None,
-    exclusions: DataFrame | None = None,
+    exclusions: DataFrame | Mapping[str, DataFrame] | None = None,
     params: ConfidenceParams = ConfidenceParams(),
     priority: Mapping[str, int] = LABEL_PRIORITY,
     double_count: bool = True,
@@ -181,9 +200,11 @@ def vote(
 
     Counts of all ranks come from one aggregation over all sources. Overrides
     and exclusions act before scoring, so an excluded family has no assessed
-    species. ``double_count=False`` counts species records once in a family.
+    species. Exclusions are one list of families for species and genera, or a
+    list for each of the two by name. ``double_count=False`` counts species
+    records once in a family.
     """
-    votes = {name: votes_of(rows, vocabs[name]) for name, rows in prepared.rows.items()}
+    votes = {name: votes_of(rows, vocabs[name], stages) for name, rows in prepared.rows.items()}
     tables = {"counts": merge_counts(votes)}
     if prepared.synonyms is not None:
         tables["synonyms"] = prepared.synonyms
@@ -197,8 +218,13 @@ def vote(
     if overrides is not None:
         family = apply_overrides(family, overrides)
     if exclusions is not None:
-        species = exclude_groups(species, exclusions)
-        genus = exclude_groups(genus, exclusions)
+        by_rank = exclusions
+        if not isinstance(exclusions, Mapping):
+            by_rank = {SPECIES: exclusions, GENUS: exclusions}
+        if SPECIES in by_rank:
+            species = exclude_groups(species, by_rank[SPECIES])
+        if GENUS in by_rank:
+            genus = exclude_groups(genus, by_rank[GENUS])
 
     species = stages.write("species", species_confidence(species, params))
     groups = stages.write_all(
@@ -213,7 +239,8 @@ def vote(
         labelled_synonyms = stages.write(
             "labelled_synonyms", label_synonyms(synonyms, species, genus, family)
         )
-    return Consensus(species, genus, family, synonyms, labelled_synonyms, counts)
+    checks = stages.write("checks", check_all(counts))
+    return Consensus(species, genus, family, synonyms, labelled_synonyms, counts, checks)
 
 
 def build(
@@ -232,9 +259,14 @@ def label_list(
 ) -> DataFrame:
     """Label a list of (family, species), on request also under accepted names.
 
-    Without corrected names there are no synonyms, and no columns for them.
+    With ``correct_synonyms`` there are always columns for the accepted names;
+    without corrected names in the build they are NULL.
     """
     labelled = impute(species_list, built.species, built.genus, built.family)
-    if not correct_synonyms or built.labelled_synonyms is None:
+    if not correct_synonyms:
         return labelled
+    if built.labelled_synonyms is None:
+        labelled = labelled.drop("name_updated", *ACCEPTED)
+        nothing = {c: F.lit(None).cast("string") for c in ACCEPTED}
+        return labelled.withColumns(nothing | {"name_updated": F.lit(None).cast("int")})
     return relabel_synonyms(labelled, built.labelled_synonyms)

@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import itertools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the session shares for checkpoints, however it was set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root or spark.sparkContext.getCheckpointDir()
+
+
 class Stages:
     """Parquet tables in the folder the cluster shares for checkpoints.
 
@@ -20,20 +28,41 @@ class Stages:
     there, a lost executor costs no recomputation before it, and Spark knows
     its exact size when it chooses between a broadcast and a shuffle.
 
-    The folder is ``spark.checkpoint.dir``. Without that setting a local
-    session gets a temporary folder; a cluster has to name one.
+    The folder is ``root``, or what ``spark.checkpoint.dir`` or
+    ``setCheckpointDir`` names. Without any, a local session gets a temporary
+    folder that goes when Python ends; a cluster has to name one, and every
+    executor has to see it. ``delete`` removes the tables of these stages, as
+    does the end of a ``with`` block; what was read from them is then gone.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
-        root = root or spark.conf.get("spark.checkpoint.dir", None)
+        root = root or shared_folder(spark)
         if root is None:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             root = tempfile.mkdtemp(prefix="traitvote-")
             atexit.register(shutil.rmtree, root, ignore_errors=True)
         self._spark = spark
+        self._numbers = itertools.count()
         self.path = f"{root.rstrip('/')}/traitvote-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.delete()
+
+    def delete(self) -> None:
+        """Remove all tables written here, if there are any."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        configuration = self._spark.sparkContext._jsc.hadoopConfiguration()
+        with suppress(FileNotFoundError):
+            path.getFileSystem(configuration).delete(path, True)
+
+    def keep(self, name: str) -> Callable[[DataFrame], DataFrame]:
+        """A function that writes what it gets under a name of its own."""
+        return lambda df: self.write(f"{name}_{next(self._numbers)}", df)
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the written table."""
         path = f"{self.path}/{name}"

@@ -31,21 +31,33 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return scan_observations(spark.read.schema(OBSERVATIONS).parquet(path))
 
 
+#: Quotes in a field are doubled, as spreadsheets and databases do; blanks and
+#: line breaks in a field are kept, and an empty text differs from a NULL.
+_CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""'}
+_WRITE = _CSV | {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_READ = {
+    "header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": True,
+    "enforceSchema": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_vocab(vocab: DataFrame, path: str) -> None:
     """Write a vocabulary as CSV with a header, sorted, to be edited.
 
     A list short enough to work through lands in one file; a longer one in
     several that follow each other, so no task ever holds all of it.
     """
-    vocab.orderBy("gf_verbatim").write.csv(path, header=True)
+    vocab.orderBy("gf_verbatim").write.options(**_WRITE).csv(path)
 
 
 def read_curated(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a table kept by hand as CSV with a header, e.g. name rules.
 
-    An empty field is NULL; a row that does not fit the schema fails.
+    An empty field is NULL; a row that does not fit the schema fails, and so
+    does a header whose names differ from the schema's or stand in another
+    order. Quotes in a field are doubled; a quoted field may hold line breaks.
     """
-    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
+    return spark.read.schema(schema).options(**_READ).csv(path)
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -55,4 +67,4 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 def write_list(df: DataFrame, path: str) -> None:
     """Write a labelled list as CSV with a header, one file per partition."""
-    df.write.csv(path, header=True)
+    df.write.options(**_WRITE).csv(path)

@@ -2,13 +2,15 @@
 
 A customer is a species, its nation the genus, its region the family. An
 order attributes its priority to the customer's species and a line item its
-return flag and status. Remainders of the order key blank out names, dirty
-labels and misplace names in the family ``Unknown``.
+return flag and status. Remainders of the order key blank out names and labels,
+dirty labels and misplace names in the family ``Unknown``. A supplier is a
+species without records: some have a genus of their own, some also a family.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -54,6 +56,7 @@ COLUMNS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_linenumber int, l_returnflag string, l_linestatus string",
 }
@@ -91,23 +94,53 @@ def _taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def taxon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All species, as schema ``TAXON``."""
-    return _taxa(spark, sf_dir).selectExpr(
-        "c_custkey AS taxon_id", "family", "genus", "species", "'species' AS taxon_rank"
+def _unrecorded_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Species without records, to be labelled by genus, by family, or not at all."""
+    supplier = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "c_nationkey")
+    placed = _with_places(supplier, spark, sf_dir).selectExpr(
+        "s_suppkey",
+        "s_name",
+        "CASE WHEN s_suppkey % 3 = 2 THEN concat(r_name, ' PROVINCE') ELSE r_name END AS family",
+        "CASE WHEN s_suppkey % 3 = 0 THEN n_name ELSE concat('Supplied', n_nationkey) END AS genus",
     )
+    return placed.selectExpr("s_suppkey", "family", "genus", "concat(genus, ' ', s_name) AS species")
 
 
-def _of_visible_taxa(records: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records by ``o_custkey`` with the places of the taxa that have any.
-
-    Species left out here can only be imputed.
-    """
-    customer = table(spark, sf_dir, "customer")
-    joined = records.join(customer, F.expr("o_custkey = c_custkey"))
-    return _with_places(joined, spark, sf_dir).filter(
-        "c_custkey % 3 != 0 AND c_nationkey % 7 != 0 AND r_name != 'AFRICA'"
+def taxon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All species, and the genera and families of customers, as schema ``TAXON``."""
+    places = _with_places(
+        table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey"), spark, sf_dir
     )
+    region = table(spark, sf_dir, "region")
+    parts = [
+        _taxa(spark, sf_dir).selectExpr(
+            "c_custkey AS taxon_id", "family", "genus", "species", "'species' AS taxon_rank"
+        ),
+        _unrecorded_taxa(spark, sf_dir).selectExpr(
+            "500000000 + s_suppkey", "family", "genus", "species", "'species'"
+        ),
+        places.selectExpr(
+            "CAST(1000000000 + n_nationkey AS BIGINT)",
+            "r_name",
+            "n_name",
+            "CAST(NULL AS STRING)",
+            "'genus'",
+        ),
+        region.selectExpr(
+            "CAST(2000000000 + r_regionkey AS BIGINT)",
+            "r_name",
+            "CAST(NULL AS STRING)",
+            "CAST(NULL AS STRING)",
+            "'family'",
+        ),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _of_customers(records: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by ``o_custkey`` with the places of their customer."""
+    joined = records.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    return _with_places(joined, spark, sf_dir)
 
 
 def _scrubbed(key: str) -> list[str]:
@@ -120,11 +153,11 @@ def _scrubbed(key: str) -> list[str]:
 
 
 def trait_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trait table: per order one growth form and one other trait."""
-    orders = _of_visible_taxa(table(spark, sf_dir, "orders"), spark, sf_dir)
+    """A trait table: per order a growth form, for some another trait as well."""
+    orders = _of_customers(table(spark, sf_dir, "orders"), spark, sf_dir)
 
-    def trait(name: str, value: str) -> DataFrame:
-        return orders.selectExpr(
+    def trait(rows: DataFrame, name: str, value: str) -> DataFrame:
+        return rows.selectExpr(
             "o_orderkey AS id",
             f"CASE WHEN o_orderkey % 97 = 0 THEN '{UNKNOWN}' ELSE r_name END AS scrubbed_family",
             *_scrubbed("o_orderkey"),
@@ -142,21 +175,23 @@ def trait_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     dirty = """CASE o_orderkey % 7 WHEN 0 THEN concat('* ', o_orderpriority)
         WHEN 1 THEN concat(lower(o_orderpriority), ' ') ELSE o_orderpriority END"""
-    return trait(GROWTH_FORM_TRAITS[0], dirty).unionByName(trait("plant status", "o_orderstatus"))
+    growth_forms = trait(orders, GROWTH_FORM_TRAITS[0], dirty)
+    some = orders.filter("o_orderkey % 10 = 0")
+    return growth_forms.unionByName(trait(some, "plant status", "o_orderstatus"))
 
 
 def observation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An occurrence table: one row per line item, labelled for some species."""
+    """An occurrence table: one row per line item, some without a label."""
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
     )
-    return _of_visible_taxa(lines, spark, sf_dir).selectExpr(
+    return _of_customers(lines, spark, sf_dir).selectExpr(
         "l_orderkey * 10 + l_linenumber AS taxonobservation_id",
         "CASE WHEN l_linestatus = 'O' THEN 'plot' ELSE 'specimen' END AS observation_type",
         "c_mktsegment AS datasource",
-        "r_name AS scrubbed_family",
+        f"CASE WHEN l_orderkey % 89 = 0 THEN '{UNKNOWN}' ELSE r_name END AS scrubbed_family",
         *_scrubbed("l_orderkey"),
-        "CASE WHEN c_custkey % 3 = 1 THEN concat(l_returnflag, l_linestatus) END AS growth_form",
+        "CASE WHEN l_orderkey % 25 != 0 THEN concat(l_returnflag, l_linestatus) END AS growth_form",
     )
 
 
@@ -276,13 +311,28 @@ def taxon_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def observation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of the observations; for some names they differ from the traits'."""
+    return _rules(
+        _places(spark, sf_dir).filter("n_nationkey % 2 = 0"),
+        "genus_family",
+        genus="genus",
+        family=f"'{UNKNOWN}'",
+        acc_family="family",
+        acc_genus="CASE WHEN n_nationkey % 4 = 0 THEN concat('A_', genus) ELSE genus END",
+        copy_species="true",
+        track="true",
+        **{f"set_{rank}": "true" for rank in RANKS},
+    )
+
+
 def overrides(spark: SparkSession) -> DataFrame:
     note = "corrected by hand"
     return lookup(
         spark,
         [
             ("ASIA", "vine", "vine", None, None, None, note),
-            ("EUROPE", "hemiepiphyte", None, 522, Decimal("0.30"), None, note),
+            ("EUROPE", "hemiepiphyte", None, 25, Decimal("0.20"), None, note),
             ("MIDDLE EAST", "liana", "liana", None, Decimal("1.00"), True, note),
         ],
         OVERRIDES,

@@ -3,15 +3,24 @@
 from __future__ import annotations
 
 _INPUTS = """
-taxon AS (
-  SELECT c_custkey AS taxon_id, r_name AS family, n_name AS genus,
-         n_name || ' ' || c_name AS species, 'species' AS taxon_rank,
-         c_custkey, c_nationkey, c_name, c_mktsegment
+known AS (
+  SELECT r_name AS family, n_name AS genus, n_name || ' ' || c_name AS species,
+         c_custkey, c_name, c_mktsegment
   FROM customer JOIN nation ON c_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey),
-visible AS (
-  SELECT * FROM taxon
-  WHERE c_custkey % 3 <> 0 AND c_nationkey % 7 <> 0 AND family <> 'AFRICA'),
+unrecorded AS (
+  SELECT s_suppkey, s_name,
+    CASE WHEN s_suppkey % 3 = 2 THEN r_name || ' PROVINCE' ELSE r_name END AS family,
+    CASE WHEN s_suppkey % 3 = 0 THEN n_name ELSE 'Supplied' || n_nationkey END AS genus
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                JOIN region ON n_regionkey = r_regionkey),
+taxon AS (
+  SELECT c_custkey AS taxon_id, family, genus, species, 'species' AS taxon_rank FROM known
+  UNION ALL SELECT 500000000 + s_suppkey, family, genus, genus || ' ' || s_name, 'species'
+    FROM unrecorded
+  UNION ALL SELECT 1000000000 + n_nationkey, r_name, n_name, NULL, 'genus'
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT 2000000000 + r_regionkey, r_name, NULL, NULL, 'family' FROM region),
 trait_rows AS (
   SELECT o_orderkey AS id,
     CASE WHEN o_orderkey % 97 = 0 THEN 'Unknown' ELSE family END AS family,
@@ -21,19 +30,20 @@ trait_rows AS (
                         WHEN 1 THEN lower(o_orderpriority) || ' '
                         ELSE o_orderpriority END AS label,
     family AS country, genus AS state_province, c_name, c_mktsegment, o_orderstatus
-  FROM orders JOIN visible ON o_custkey = c_custkey),
+  FROM orders JOIN known ON o_custkey = c_custkey),
 traits AS (SELECT id, family, genus, species, label FROM trait_rows),
 sparse AS (
   SELECT id, CASE WHEN id % 4 <> 0 THEN family END AS family, genus, species, label FROM traits),
 observation_rows AS (
   SELECT l_orderkey * 10 + l_linenumber AS id,
     CASE WHEN l_linestatus = 'O' THEN 'plot' ELSE 'specimen' END AS observation_type,
-    c_mktsegment AS datasource, family,
+    c_mktsegment AS datasource,
+    CASE WHEN l_orderkey % 89 = 0 THEN 'Unknown' ELSE family END AS family,
     CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE genus END AS genus,
     CASE WHEN l_orderkey % 20 = 0 OR l_orderkey % 50 = 0 THEN NULL ELSE species END AS species,
     l_returnflag || l_linestatus AS label
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN visible ON o_custkey = c_custkey
-  WHERE c_custkey % 3 = 1),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN known ON o_custkey = c_custkey
+  WHERE l_orderkey % 25 <> 0),
 observations AS (SELECT id, family, genus, species, label FROM observation_rows),
 trait_vocab(gf_verbatim, gf, is_woody, substrate, other, is_useless) AS (VALUES
   ('1-urgent', 'tree', 1, 'terrestrial', NULL, 0),
@@ -71,7 +81,7 @@ accepted AS (
     CASE WHEN c_custkey % 40 = 5 THEN r.species || ' renamed'
          WHEN n_nationkey % 2 = 0 THEN r.species END AS acc_species
   FROM review r JOIN places p ON p.genus = r.genus
-  LEFT JOIN taxon x ON x.species = r.species),
+  LEFT JOIN known x ON x.species = r.species),
 corrected AS (
   SELECT t.id, t.label, t.family AS family_orig, t.genus AS genus_orig, t.species AS species_orig,
     CASE WHEN g.genus IS NOT NULL THEN g.acc_family
@@ -94,19 +104,71 @@ one_synonym AS (
            family NULLS LAST, genus NULLS LAST, species NULLS LAST),
 """
 
+# The observations: some names fixed first, then corrected by rules of their own.
+_CORRECTED_OBSERVATIONS = """
+fixed AS (
+  SELECT o.id, o.label, o.family AS family_orig, o.genus, o.species,
+    CASE WHEN o.family = 'Unknown' AND x.c_custkey % 5 = 0 THEN x.family ELSE o.family END
+      AS family,
+    coalesce(o.family = 'Unknown' AND x.c_custkey % 35 = 0, false) AS tracked
+  FROM observations o LEFT JOIN known x ON x.species = o.species),
+obs_homonyms AS (
+  SELECT DISTINCT genus, family FROM fixed WHERE genus IN (
+    SELECT genus FROM fixed GROUP BY genus HAVING count(DISTINCT family) > 1)),
+obs_accepted AS (
+  SELECT DISTINCT h.genus, h.family, o.species,
+    CASE WHEN n_nationkey % 2 = 0 THEN p.family END AS acc_family,
+    CASE WHEN n_nationkey % 4 = 0 THEN 'A_' || p.genus
+         WHEN n_nationkey % 2 = 0 THEN p.genus END AS acc_genus,
+    CASE WHEN n_nationkey % 2 = 0 THEN o.species END AS acc_species
+  FROM obs_homonyms h
+  JOIN flags f ON f.genus = h.genus AND f.family IS NOT DISTINCT FROM h.family
+  JOIN places p ON p.genus = h.genus
+  LEFT JOIN fixed o ON o.genus = h.genus AND o.family = h.family),
+obs_corrected AS (
+  SELECT o.id, o.label, o.family_orig, o.genus AS genus_orig, o.species AS species_orig,
+    CASE WHEN g.genus IS NOT NULL THEN g.acc_family
+         WHEN s.genus IS NOT NULL THEN s.acc_family ELSE o.family END AS family,
+    CASE WHEN g.genus IS NOT NULL THEN g.acc_genus
+         WHEN s.genus IS NOT NULL THEN s.acc_genus ELSE o.genus END AS genus,
+    CASE WHEN g.genus IS NOT NULL THEN NULL
+         WHEN s.genus IS NOT NULL THEN s.acc_species ELSE o.species END AS species,
+    tracked OR g.genus IS NOT NULL OR s.genus IS NOT NULL AS updated
+  FROM fixed o
+  LEFT JOIN obs_accepted s ON s.family = o.family_orig AND s.genus = o.genus
+    AND s.species = o.species
+  LEFT JOIN obs_accepted g ON g.family = o.family_orig AND g.genus = o.genus
+    AND g.species IS NULL),
+kept_traits AS (
+  SELECT * FROM corrected c
+  WHERE NOT EXISTS (
+    SELECT 1 FROM places p WHERE n_nationkey % 5 = 2 AND p.family = c.family
+      AND p.genus = c.genus AND c.species IS NULL)),
+build_synonyms AS (
+  SELECT family, genus, species, family_orig, genus_orig, species_orig
+  FROM kept_traits WHERE name_updated = 1
+  UNION
+  SELECT family, genus, species, family_orig, genus_orig, species_orig
+  FROM obs_corrected WHERE updated),
+one_build_synonym AS (
+  SELECT DISTINCT ON (family_orig, genus_orig, species_orig) *
+  FROM build_synonyms
+  ORDER BY family_orig, genus_orig, species_orig, species IS NULL,
+           family NULLS LAST, genus NULLS LAST, species NULLS LAST),
+"""
+
 # Where the votes of the traits come from: the rows as they are, or corrected
 # and without the excluded genus records.
 _PLAIN_TRAITS = "SELECT family, genus, species, label FROM traits"
-_CORRECTED_TRAITS = """
-  SELECT family, genus, species, label FROM corrected c
-  WHERE NOT EXISTS (
-    SELECT 1 FROM places p WHERE n_nationkey % 5 = 2 AND p.family = c.family
-      AND p.genus = c.genus AND c.species IS NULL)"""
+_PLAIN_OBSERVATIONS = "SELECT family, genus, species, label FROM observations"
+_CORRECTED_TRAITS = "SELECT family, genus, species, label FROM kept_traits"
+_KEPT_OBSERVATIONS = "SELECT family, genus, species, label FROM obs_corrected"
 
 
-def _build(trait_rows: str, curated: bool) -> str:
-    """Votes, consensus and scores over the given trait rows."""
+def _build(trait_rows: str, observation_rows: str, curated: bool) -> str:
+    """Votes, consensus and scores over the given rows."""
     kept = "WHERE family NOT IN ('ASIA', 'MIDDLE EAST')" if curated else ""
+    kept_genera = "WHERE family <> 'MIDDLE EAST'" if curated else ""
     size = """CASE gf WHEN 'tree' THEN 7 WHEN 'shrub' THEN 6 WHEN 'liana' THEN 5
       WHEN 'bambusoid' THEN 4 WHEN 'subshrub' THEN 3 WHEN 'vine' THEN 2 WHEN 'herb' THEN 1
       ELSE 0 END"""
@@ -115,9 +177,9 @@ def _build(trait_rows: str, curated: bool) -> str:
   SELECT family,
     CASE family WHEN 'ASIA' THEN 'vine' WHEN 'EUROPE' THEN 'hemiepiphyte'
                 WHEN 'MIDDLE EAST' THEN 'liana' ELSE gf_cons END AS gf_cons,
-    CASE family WHEN 'EUROPE' THEN 522 ELSE gf_cons_obs END AS gf_cons_obs,
+    CASE family WHEN 'EUROPE' THEN 25 ELSE gf_cons_obs END AS gf_cons_obs,
     total_obs,
-    CAST(CASE family WHEN 'EUROPE' THEN 0.30 WHEN 'MIDDLE EAST' THEN 1.00
+    CAST(CASE family WHEN 'EUROPE' THEN 0.20 WHEN 'MIDDLE EAST' THEN 1.00
          ELSE gf_cons_prop END AS DECIMAL(5,2)) AS gf_cons_prop,
     CASE family WHEN 'ASIA' THEN 'vine' WHEN 'MIDDLE EAST' THEN 'liana' ELSE gf_all END AS gf_all,
     CASE WHEN family <> 'MIDDLE EAST' THEN inferred_from_ranks END AS inferred_from_ranks,
@@ -157,13 +219,15 @@ def _build(trait_rows: str, curated: bool) -> str:
 
     return f"""
 voted_traits AS ({trait_rows}),
+voted_observations AS ({observation_rows}),
 std AS (
   SELECT t.family, t.genus, t.species, v.gf, 'traits' AS source
   FROM voted_traits t JOIN trait_vocab v ON v.gf_verbatim = trim(replace(lower(t.label), '*', ''))
   WHERE v.is_useless = 0 AND v.gf IS NOT NULL
   UNION ALL
   SELECT o.family, o.genus, o.species, v.gf, 'observations'
-  FROM observations o JOIN observation_vocab v ON v.gf_verbatim = trim(lower(o.label))),
+  FROM voted_observations o
+  JOIN observation_vocab v ON v.gf_verbatim = trim(lower(o.label))),
 species_counts AS (
   SELECT family, genus, species, gf, count(*) AS obs,
          string_agg(DISTINCT source, ',' ORDER BY source) AS obs_sources
@@ -223,7 +287,7 @@ family_vote AS (
   JOIN (SELECT family, string_agg(DISTINCT r, ',' ORDER BY r) AS inferred_from_ranks
         FROM family_ranked GROUP BY family) USING (family)),
 species_final AS (SELECT *, CAST(NULL AS VARCHAR) AS notes FROM species_vote {kept}),
-genus_final AS (SELECT *, CAST(NULL AS VARCHAR) AS notes FROM genus_vote {kept}),
+genus_final AS (SELECT *, CAST(NULL AS VARCHAR) AS notes FROM genus_vote {kept_genera}),
 family_final AS ({family_final}),
 species_scored AS (
   SELECT *, {flag} AS gf_conf_flag FROM (
@@ -232,7 +296,8 @@ species_scored AS (
     FROM (SELECT *, {low_n} AS penalty_gf_low_n FROM species_final))),
 genus_scored AS ({group_scores("genus")}),
 family_scored AS ({group_scores("family")}),
-user_list AS (SELECT taxon_id, family, species, split_part(species, ' ', 1) AS genus FROM taxon),
+user_list AS (SELECT taxon_id, family, species, split_part(species, ' ', 1) AS genus FROM taxon
+  WHERE taxon_rank = 'species'),
 old_list AS (
   SELECT * FROM user_list
   UNION ALL SELECT taxon_id, 'Unknown', species, genus FROM user_list),
@@ -271,15 +336,30 @@ _SYNONYM_LABELS = f"""
   LEFT JOIN ({_label("named_synonyms", "acc_")}) r
     ON r.family_orig = i.family AND r.genus_orig = i.genus AND r.species_orig = i.species"""
 
-_NAMED_SYNONYMS = """
+
+
+def _named(synonyms: str) -> str:
+    return f"""
 named_synonyms AS (
   SELECT family_orig, genus_orig, species_orig, 1 AS name_updated, family AS acc_family,
          genus AS acc_genus, species AS acc_species
-  FROM one_synonym),
+  FROM {synonyms}),
 """
 
-_PLAIN = _INPUTS + _CORRECTED + _NAMED_SYNONYMS + _build(_PLAIN_TRAITS, curated=False)
-_CURATED = _INPUTS + _CORRECTED + _NAMED_SYNONYMS + _build(_CORRECTED_TRAITS, curated=True)
+
+_PLAIN = (
+    _INPUTS
+    + _CORRECTED
+    + _named("one_synonym")
+    + _build(_PLAIN_TRAITS, _PLAIN_OBSERVATIONS, curated=False)
+)
+_CURATED = (
+    _INPUTS
+    + _CORRECTED
+    + _CORRECTED_OBSERVATIONS
+    + _named("one_build_synonym")
+    + _build(_CORRECTED_TRAITS, _KEPT_OBSERVATIONS, curated=True)
+)
 
 
 def _with(ctes: str, select: str) -> str:
@@ -330,7 +410,8 @@ _PLAIN_QUERIES = {
   SELECT id AS taxonobservation_id, observation_type, datasource, family AS scrubbed_family,
     genus AS scrubbed_genus, species AS scrubbed_species_binomial, label AS growth_form
   FROM observation_rows""",
-    "target_species": "SELECT taxon_id, family, genus, species FROM taxon",
+    "target_species": """
+  SELECT taxon_id, family, genus, species FROM taxon WHERE taxon_rank = 'species'""",
     "drop_unplaced": """
   SELECT * FROM sparse WHERE family IS NOT NULL OR genus IS NOT NULL OR species IS NOT NULL""",
     "rank_of": f"SELECT *, {_RANK} FROM sparse",
@@ -380,7 +461,7 @@ _PLAIN_QUERIES = {
     t.family AS family_orig, t.genus AS genus_orig, t.species AS species_orig,
     CAST(coalesce(t.family = 'Unknown' AND x.c_custkey % 35 = 0, false) AS SMALLINT)
       AS name_updated
-  FROM traits t LEFT JOIN taxon x ON x.species = t.species""",
+  FROM traits t LEFT JOIN known x ON x.species = t.species""",
     "correct_names": "SELECT * FROM corrected",
     "exclude_taxa": """
   SELECT t.* FROM traits t WHERE NOT EXISTS (
@@ -454,10 +535,25 @@ _CURATED_QUERIES = {
     "build_and_label": _SYNONYM_LABELS,
     "build_genus": "SELECT * FROM genus_scored",
     "build_family": "SELECT * FROM family_scored",
+    "build_species": "SELECT * FROM species_scored",
+    "build_synonyms": "SELECT * FROM build_synonyms",
+    "build_counts": f"""
+  SELECT family, genus, species, gf, count(*) AS obs,
+    string_agg(DISTINCT source, ',' ORDER BY source) AS obs_sources
+  FROM std WHERE family IS NOT NULL GROUP BY family, genus, species, gf""",
+    "check_counts": f"""
+  SELECT * FROM (SELECT {_homonym_check("species", "std")}),
+    (SELECT {_homonym_check("genus", "std")})""",
+    "standardize_corrected": f"""
+  SELECT c.id, c.family, c.genus, c.species, family_orig, genus_orig, species_orig,
+    c.name_updated, {_CLEAN.replace("label", "c.label")} AS gf_verbatim, {_VOCAB_COLUMNS}
+  FROM kept_traits c
+  JOIN trait_vocab v ON v.gf_verbatim = {_CLEAN.replace("label", "c.label")}
+  WHERE v.is_useless = 0""",
 }
 
 # Overrides alone, on an otherwise plain build.
-_OVERRIDDEN = _INPUTS + _CORRECTED + _build(_PLAIN_TRAITS, curated=True)
+_OVERRIDDEN = _INPUTS + _CORRECTED + _build(_PLAIN_TRAITS, _PLAIN_OBSERVATIONS, curated=True)
 
 ORACLES = (
     {name: _with(_PLAIN, select) for name, select in _PLAIN_QUERIES.items()}

@@ -89,7 +89,7 @@ def _review(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
 def _corrected_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapter.traits(spark, sf_dir)
     review = _review(spark, sf_dir, rows)
-    return op.correct_names(op.with_original_names(rows), review)
+    return op.correct_names(op.with_original_names(rows), review, write=Stages(spark).keep("lines"))
 
 
 def _union(**parts: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def _union(**parts: DataFrame) -> DataFrame:
 
 @query
 def q_scan_traits(spark, sf_dir):
-    return scan_traits(adapter.trait_records(spark, sf_dir))
+    return scan_traits(Stages(spark).write("traits", adapter.trait_records(spark, sf_dir)))
 
 
 @query
@@ -221,7 +221,7 @@ def q_review_accepted_names(spark, sf_dir):
 @query
 def q_fix_names(spark, sf_dir):
     rows = op.with_original_names(adapter.traits(spark, sf_dir))
-    return op.fix_names(rows, adapter.name_fixes(spark, sf_dir))
+    return op.fix_names(rows, adapter.name_fixes(spark, sf_dir), Stages(spark).keep("fixes"))
 
 
 @query
@@ -259,7 +259,7 @@ def q_verbatim_vocab(spark, sf_dir):
 @query
 def q_apply_vocab(spark, sf_dir):
     partial = adapter.trait_vocab(spark).filter("gf_verbatim != '5-low'")
-    return op.apply_vocab(_clean_traits(spark, sf_dir), partial)
+    return op.apply_vocab(_clean_traits(spark, sf_dir), partial, write=Stages(spark).keep("vocab"))
 
 
 @query
@@ -446,7 +446,9 @@ def _written_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_resolve_synonyms(spark, sf_dir):
     rows = op.with_genus(adapter.species_list_with_old_names(spark, sf_dir))
-    return op.resolve_synonyms(rows, _written_synonyms(spark, sf_dir))
+    return op.resolve_synonyms(
+        rows, _written_synonyms(spark, sf_dir), Stages(spark).keep("one_name")
+    )
 
 
 @query
@@ -457,22 +459,37 @@ def q_impute_synonyms(spark, sf_dir):
     return op.impute_synonyms(imputed, synonyms, built.species, built.genus, built.family)
 
 
+def corrected_sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
+    """Both sources with every kind of curation."""
+    flags = adapter.homonym_flags(spark, sf_dir)
+    return {
+        "traits": Source(
+            adapter.traits(spark, sf_dir),
+            adapter.trait_vocab(spark),
+            flags=flags,
+            rules=adapter.name_rules(spark, sf_dir),
+            exclusions=adapter.taxon_exclusions(spark, sf_dir),
+        ),
+        "observations": Source(
+            adapter.observations(spark, sf_dir),
+            adapter.observation_vocab(spark),
+            strip=(),
+            fixes=adapter.name_fixes(spark, sf_dir),
+            flags=flags,
+            rules=adapter.observation_rules(spark, sf_dir),
+        ),
+    }
+
+
 def corrected_build(spark: SparkSession, sf_dir: str) -> Consensus:
     """The whole build with every kind of curation."""
-    traits = Source(
-        adapter.traits(spark, sf_dir),
-        adapter.trait_vocab(spark),
-        flags=adapter.homonym_flags(spark, sf_dir),
-        rules=adapter.name_rules(spark, sf_dir),
-        exclusions=adapter.taxon_exclusions(spark, sf_dir),
-    )
-    observations = _sources(spark, sf_dir)["observations"]
+    excluded = adapter.group_exclusions(spark)
     return build(
-        {"traits": traits, "observations": observations},
+        corrected_sources(spark, sf_dir),
         adapter.taxon(spark, sf_dir),
         Stages(spark),
         overrides=adapter.overrides(spark),
-        exclusions=adapter.group_exclusions(spark),
+        exclusions={SPECIES: excluded, GENUS: excluded.filter("family != 'ASIA'")},
     )
 
 
@@ -490,3 +507,35 @@ def q_build_genus(spark, sf_dir):
 @query
 def q_build_family(spark, sf_dir):
     return corrected_build(spark, sf_dir).family
+
+
+@query
+def q_build_species(spark, sf_dir):
+    return corrected_build(spark, sf_dir).species
+
+
+@query
+def q_build_counts(spark, sf_dir):
+    return corrected_build(spark, sf_dir).counts
+
+
+@query
+def q_build_synonyms(spark, sf_dir):
+    return corrected_build(spark, sf_dir).synonyms
+
+
+@query
+def q_check_counts(spark, sf_dir):
+    counts = corrected_build(spark, sf_dir).counts
+    return op.check_parent(counts, SPECIES).join(op.check_parent(counts, GENUS), F.lit(True))
+
+
+@query
+def q_standardize_corrected(spark, sf_dir):
+    """The record-level table after correction and exclusion."""
+    rows = op.exclude_taxa(
+        _corrected_traits(spark, sf_dir), adapter.taxon_exclusions(spark, sf_dir)
+    )
+    cleaned = op.clean_labels(rows).filter("label IS NOT NULL")
+    write = Stages(spark).keep("vocab")
+    return op.standardize(cleaned, adapter.trait_vocab(spark), write=write)
