@@ -139,12 +139,12 @@ def test_overrides_and_exclusions_before_scoring(table):
 
 def test_override_clears_ranks_and_sets_numbers(table):
     merged = op.merge_counts(fixtures.counts(table))
-    overrides = table(OVERRIDES, ("F", None, None, 522, Decimal("0.30"), True, None))
+    overrides = table(OVERRIDES, ("F", None, None, 9, Decimal("0.40"), True, None))
     family = op.apply_overrides(op.consensus(op.family_obs(merged), "family"), overrides)
     expect(
         family,
         "gf_cons gf_cons_obs total_obs gf_cons_prop notes inferred_from_ranks",
-        ("herb", 522, 21, Decimal("0.30"), None, None),
+        ("herb", 9, 21, Decimal("0.40"), None, None),
     )
 
 

@@ -10,7 +10,7 @@ from conftest import rows
 from traitvote import Source, impute
 from traitvote import operators as op
 from traitvote.plans import counted_rows, labelled_rows, review_names, votes_of
-from traitvote.schemas import HOMONYM_FLAGS, NAME_RULES
+from traitvote.schemas import HOMONYM_FLAGS, NAME_RULES, SYNONYMS, VOCABULARY
 from traitvote.starschema import adapter
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -93,3 +93,45 @@ def test_hot_species_in_a_list(spark, table, stages, broadcast):
             done = impute(given, species)
             done.collect()
             assert "SortMergeJoin(skew=true)" in plan(done)
+
+
+def _skewed(spark, table, stages, name):
+    """A table with a third of its rows on one key, joined by the named operator."""
+    given = spark.range(300_000).selectExpr(
+        "'Unknown' AS family",
+        "'G' AS genus",
+        "CASE WHEN id % 3 = 0 THEN 'G a' ELSE concat('G ', id) END AS species",
+        "CASE WHEN id % 3 = 0 THEN 'tree' ELSE concat('tree ', id) END AS label",
+        "md5(string(id)) AS note",
+    )
+    write = stages.keep(name)
+    if name == "apply_vocab":
+        words = table(VOCABULARY, ("tree", "tree", 1, None, None, 0), ("herb", "herb", 0, None, None, 0))
+        return op.apply_vocab(given, words, write=write).filter("gf_std = 'tree'")
+    if name == "resolve_synonyms":
+        known = table(SYNONYMS, ("F", "G", "G z", "Unknown", "G", "G a"))
+        return op.resolve_synonyms(given, known, write).filter("acc_species = 'G z'")
+    rows_ = op.with_original_names(given)
+    if name == "correct_names":
+        review = table(
+            "genus string, family string, species string, acc_family string, acc_genus string, acc_species string",
+            ("G", "Unknown", "G a", "F", "G", "G z"),
+        )
+        return op.correct_names(rows_, review, write=write).filter("species = 'G z'")
+    rule = ("species", None, None, "G a", None, None, "G z", False, False, True, False, True)
+    return op.fix_names(rows_, table(NAME_RULES, rule), write).filter("species = 'G z'")
+
+
+@pytest.mark.parametrize("name", ["apply_vocab", "correct_names", "fix_names", "resolve_synonyms"])
+def test_hot_keys_are_split(spark, table, stages, name):
+    with settings(
+        spark,
+        shuffle__partitions="16",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        autoBroadcastJoinThreshold="-1",
+    ):
+        done = _skewed(spark, table, stages, name)
+        assert len(done.collect()) == 100_000
+        assert "SortMergeJoin(skew=true)" in plan(done)

@@ -1,3 +1,4 @@
+import csv
 import re
 from pathlib import Path
 from types import SimpleNamespace
@@ -6,8 +7,14 @@ import pytest
 from conftest import expect, rows
 
 from traitvote import Stages
-from traitvote.schemas import NAME_RULES, OBSERVATIONS, TRAITS
-from traitvote.sources import read_curated, read_observations, read_traits
+from traitvote.schemas import NAME_RULES, OBSERVATIONS, TRAITS, VOCABULARY
+from traitvote.sources import (
+    read_curated,
+    read_observations,
+    read_traits,
+    read_vocab,
+    write_vocab,
+)
 
 
 def plan(df) -> str:
@@ -64,15 +71,27 @@ def test_stages_use_the_shared_folder_of_the_session(spark):
     assert shared is None or path.startswith(shared)
 
 
-def without_shared_folder(master: str):
+def without_shared_folder(master: str, checkpoints: str | None = None):
     conf = SimpleNamespace(get=lambda key, default=None: default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoints)
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_a_cluster_has_to_name_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         Stages(without_shared_folder("yarn"))
     assert Path(Stages(without_shared_folder("local[2]")).path).parent.is_dir()
+    set_later = Stages(without_shared_folder("yarn", "hdfs:/shared"))
+    assert set_later.path.startswith("hdfs:/shared/")
+
+
+def test_stages_can_be_deleted(spark, table, tmp_path):
+    with Stages(spark, str(tmp_path)) as stages:
+        stages.write("one", table("a int", (1,)))
+        stages.keep("many")(table("a int", (1,)))
+        assert Path(stages.path, "many_0").is_dir()
+    assert not Path(stages.path).exists()
+    Stages(spark, str(tmp_path)).delete()
 
 
 def test_stages_write_once(table, stages):
@@ -96,3 +115,32 @@ def test_curated_tables_are_csv(spark, tmp_path):
         " ".join(NAME_RULES.names),
         ("species", None, None, "A b", "F", "A", "A c", True, True, True, False, True),
     )
+
+
+AWKWARD = ["\ttree", 'a "b" c', 'say "x", y', "two\nlines", " leading", "trailing ", "back\\slash"]
+
+
+def test_labels_survive_our_own_file(spark, table, tmp_path):
+    vocab = table(VOCABULARY, *((w, None, None, None, None, 0) for w in AWKWARD))
+    write_vocab(vocab, str(tmp_path / "vocab"))
+    assert rows(read_vocab(spark, str(tmp_path / "vocab"))) == rows(vocab)
+
+
+def test_labels_survive_a_standard_file(spark, tmp_path):
+    file = tmp_path / "vocab.csv"
+    with file.open("w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(VOCABULARY.names)
+        writer.writerows([(w, "tree", 1, "", "", 0) for w in AWKWARD])
+    expect(
+        read_vocab(spark, str(file)),
+        " ".join(VOCABULARY.names),
+        *((w, "tree", 1, None, None, 0) for w in AWKWARD),
+    )
+
+
+def test_columns_in_another_order_are_refused(spark, tmp_path):
+    file = tmp_path / "vocab.csv"
+    file.write_text("gf,gf_verbatim,is_woody,substrate,other,is_useless\ntree,tree,1,,,0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_vocab(spark, str(file)).collect()

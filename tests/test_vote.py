@@ -172,10 +172,18 @@ def test_rescoring_replaces_scores(table):
     assert len(again.columns) == len(genus.columns)
 
 
-def test_too_many_sources(table):
-    one = fixtures.counts(table)["traits"]
-    with pytest.raises(ValueError, match="63"):
-        op.merge_counts({str(i): one for i in range(64)})
+def test_many_sources_are_merged(table):
+    """More sources than one number has bits."""
+    counts = {
+        f"s{k:02}": table(
+            "family string, genus string, species string, gf string, obs bigint",
+            ("F", "G", "G a", "tree", 1),
+            *([("F", "G", "G b", "herb", 2)] if k in (0, 62, 63, 69) else []),
+        )
+        for k in range(70)
+    }
+    merged = {r.species: (r.obs, r.obs_sources) for r in op.merge_counts(counts).collect()}
+    assert merged == {"G a": (70, ",".join(counts)), "G b": (8, "s00,s62,s63,s69")}
 
 
 def test_votes_against_brute_force(spark, table):

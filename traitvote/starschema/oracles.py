@@ -476,6 +476,13 @@ _PLAIN_QUERIES = {
     CAST(NULL AS SMALLINT) AS is_woody, CAST(NULL AS VARCHAR) AS substrate,
     CAST(NULL AS VARCHAR) AS other, CAST(0 AS SMALLINT) AS is_useless
   FROM clean""",
+    "vocab_roundtrip": """
+  SELECT unnest([label, chr(9) || label, ' ' || label, 'a "' || label || '" b',
+                 'say "' || label || '", y', label || chr(10) || 'next']) AS gf_verbatim,
+    CAST(NULL AS VARCHAR) AS gf, CAST(NULL AS SMALLINT) AS is_woody,
+    CAST(NULL AS VARCHAR) AS substrate, CAST(NULL AS VARCHAR) AS other,
+    CAST(0 AS SMALLINT) AS is_useless
+  FROM (SELECT DISTINCT label FROM clean)""",
     "apply_vocab": f"""
   SELECT id, family, genus, species, label AS gf_verbatim, {_RANK}, {_VOCAB_COLUMNS}
   FROM clean c LEFT JOIN trait_vocab v ON v.gf_verbatim = c.label AND c.label <> '5-low'""",
@@ -522,6 +529,10 @@ _PLAIN_QUERIES = {
     "impute_direct": """
   SELECT l.*, s.gf_cons AS gf, s.gf_conf, s.gf_conf_flag,
     CASE WHEN s.species IS NOT NULL THEN 'direct from species' END AS gf_method
+  FROM user_list l LEFT JOIN species_scored s ON s.species = l.species""",
+    "list_roundtrip": """
+  SELECT l.*, s.gf_cons AS gf, s.gf_conf, s.gf_conf_flag,
+    CASE WHEN s.species IS NOT NULL THEN 'direct from species' END AS gf_method
   FROM user_list l LEFT JOIN species_scored s ON s.species = l.species""",
     "impute_cascade": _label("user_list"),
     "resolve_synonyms": """

@@ -11,7 +11,15 @@ from .. import operators as op
 from ..constants import FAMILY, GENUS, RANKS, SPECIES
 from ..functions import confidence_flag, coverage_penalty, coverage_ratio, low_n_penalty
 from ..plans import Consensus, Source, build, counted_rows, label_list, labelled_rows, votes_of
-from ..sources import Stages, scan_observations, scan_traits
+from ..sources import (
+    Stages,
+    read_curated,
+    read_vocab,
+    scan_observations,
+    scan_traits,
+    write_list,
+    write_vocab,
+)
 from . import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +264,37 @@ def q_verbatim_vocab(spark, sf_dir):
     return op.verbatim_vocab(_clean_traits(spark, sf_dir))
 
 
+@query
+def q_vocab_roundtrip(spark, sf_dir):
+    """The vocabulary through its file, with labels that CSV makes awkward."""
+    labels = _clean_traits(spark, sf_dir).select("label").distinct()
+    label = F.col("label")
+    awkward = labels.select(
+        F.explode(
+            F.array(
+                label,
+                F.concat(F.lit("\t"), label),
+                F.concat(F.lit(" "), label),
+                F.concat(F.lit('a "'), label, F.lit('" b')),
+                F.concat(F.lit('say "'), label, F.lit('", y')),
+                F.concat(label, F.lit("\nnext")),
+            )
+        ).alias("label")
+    )
+    path = f"{Stages(spark).path}/vocab.csv"
+    write_vocab(op.verbatim_vocab(awkward), path)
+    return read_vocab(spark, path)
+
+
+@query
+def q_list_roundtrip(spark, sf_dir):
+    """A labelled list through its file."""
+    labelled = q_impute_direct(spark, sf_dir)
+    path = f"{Stages(spark).path}/list.csv"
+    write_list(labelled, path)
+    return read_curated(spark, path, labelled.schema)
+
+
 @query
 def q_apply_vocab(spark, sf_dir):
     partial = adapter.trait_vocab(spark).filter("gf_verbatim != '5-low'")
