@@ -161,7 +161,8 @@ def word_frequency(docs: DataFrame, templates: tuple[Template, ...], text_column
         for batch in batches:
             for text in batch["text"]:
                 total.update(filter(wanted.__contains__, words_of(text)))
-        yield pd.DataFrame({"word": [w.decode() for w in total], "n": list(total.values())})
+        if total:
+            yield pd.DataFrame({"word": [w.decode() for w in total], "n": list(total.values())})
 
     counted = (
         docs.select(F.col(text_column).alias("text"))
