@@ -3,8 +3,8 @@
 One pass over the texts makes a key of each text's words, a MinHash signature
 and its band keys. Texts with equal words are one class from there on. Classes
 that share a band are candidates; a bucket's classes are compared with the
-bucket's first class only, and further with each other only where the bucket
-then still spans several components. Signatures are compared batch by batch:
+bucket's first class only. Where a bucket then still spans several components,
+the classes outside its largest one are compared with all others. Signatures are compared batch by batch:
 after each batch a pair is given up if the posterior chance that its similarity
 reaches the threshold is below the chosen miss probability. Survivors are
 verified on the whole shingle sets.
@@ -32,6 +32,9 @@ MISS = 1e-6
 #: these with all others; one with more is divided by a second band first.
 OUTSIDE = 100
 MAX_DEPTH = 2
+#: Classes whose rows are looked up by broadcast (some 50 bytes each); beyond
+#: that the texts are shuffled.
+BROADCAST_CLASSES = 300_000
 #: Shingles hashed at a time, so that a long text needs no more memory.
 CHUNK = 512
 CACHE_WORDS = 500_000
@@ -161,7 +164,33 @@ def _prune(percent: int, miss: float):
                 matches = matches + (left[alive, start:end] == right[alive, start:end]).sum(axis=1)
                 going = matches >= least
                 alive, matches, start = alive[going], matches[going], end
-            yield batch.iloc[alive][["u", "v"]].assign(matches=matches)
+            yield batch.iloc[alive][["u", "v"]]
+
+    return prune
+
+
+def _prune_outer(percent: int, miss: float):
+    """The same for one class against the few of its bucket's other components."""
+    batches_of = fewest_matches(percent, miss)
+
+    def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["node", "component", "signature", "nodes", "components", "signatures"]
+        for batch in batches:
+            found = []
+            for node, component, own, nodes, others, signatures in batch[columns].itertuples(index=False):
+                at = np.flatnonzero(np.asarray(others) != component)
+                if not len(at):
+                    continue
+                size = len(own)
+                block = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, size)[at]
+                same, alive, start = block == np.frombuffer(own, np.uint8), np.arange(len(at)), 0
+                matches = np.zeros(len(at), np.int64)
+                for end, least in batches_of:
+                    matches = matches + same[alive, start:end].sum(axis=1)
+                    going = matches >= least
+                    alive, matches, start = alive[going], matches[going], end
+                found += [(min(node, o), max(node, o)) for o in np.asarray(nodes)[at[alive]].tolist()]
+            yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return prune
 
@@ -182,31 +211,40 @@ def _verify(percent: int):
     return verify
 
 
+#: Rounds after which labels also jump to the label of their label.
+SPREAD_ROUNDS = 4
+
+
 def components(edges: DataFrame, stages: Stages, tag: str) -> DataFrame:
     """``node, component``: the smallest node each node is connected with.
 
-    Labels spread along the links and jump to the label of their label, so
+    Each round a node takes the smallest label around it. Groups of copies are
+    stars and settle at once; if some do not, labels jump as well, so that
     rounds grow with the logarithm of a chain. Each round is written.
     """
-    both = edges.select("u", "v").union(edges.select("v", "u")).distinct()
-    both = stages.write(f"edges_{tag}", both)
-    labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
-    labels = labels.select("node", F.least("node", "least").alias("component"))
-    labels = stages.write(f"labels_{tag}_0", labels)
+    u, v = edges.select("u", "v"), edges.select("v", "u")
+    around = u.union(v).union(edges.select("u", "u")).union(edges.select("v", "v"))
+
+    def smallest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+
+    def total(labels: DataFrame):
+        return labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
+
+    labels = stages.write(f"labels_{tag}_0", smallest(around))
+    before = total(labels)
     for k in range(1, 1000):
-        near = both.join(labels.toDF("v", "label"), "v").groupBy("u").agg(F.min("label").alias("label"))
-        near = near.withColumnRenamed("u", "node")
-        spread = labels.join(near, "node").select(
-            "node", F.least("component", "label").alias("component")
-        )
-        spread = stages.write(f"spread_{tag}_{k}", spread)
-        jump = spread.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        new = spread.join(jump, "component").select("node", F.col("next").alias("component"))
-        new = stages.write(f"labels_{tag}_{k}", new)
-        moved = new.join(labels.withColumnRenamed("component", "old"), "node")
-        labels = new
-        if moved.filter("component != old").isEmpty():
+        spread = around.join(labels.toDF("v", "label"), "v").select("u", F.col("label").alias("v"))
+        new = smallest(spread)
+        if k > SPREAD_ROUNDS:
+            new = stages.write(f"spread_{tag}_{k}", new)
+            jump = new.toDF("component", "next")
+            new = new.join(jump, "component").select("node", F.col("next").alias("component"))
+        labels = stages.write(f"labels_{tag}_{k}", new)
+        now = total(labels)  # labels only ever fall
+        if now == before:
             return labels
+        before = now
     raise RuntimeError("components did not settle")
 
 
@@ -232,20 +270,45 @@ class _Search:
         both = pairs.join(signatures.withColumnRenamed("node", "u"), "u").join(
             signatures.toDF("v", "other"), "v"
         )
-        kept = both.mapInPandas(_prune(self.percent, self.miss), "u bigint, v bigint, matches bigint")
-        kept = self.write("survivors", kept)
+        self.confirm(both.mapInPandas(_prune(self.percent, self.miss), "u bigint, v bigint"))
+
+    def compare_outer(self, few: DataFrame) -> None:
+        """Add the links between the main component of a bucket and its others.
+
+        The signatures of the others come in portions to every class of the
+        bucket, so pairs exist only inside a task until they are pruned.
+        """
+        signed = few.join(self.classes.select("node", "signature"), "node")
+        portion = F.expr(f"pmod(xxhash64(node), CAST(ceil(outside / {OUTSIDE}) AS BIGINT))")
+        signed = self.write("signed_rest", signed.withColumn("portion", portion))
+        lists = {"nodes": "node", "components": "component", "signatures": "signature"}
+        outer = signed.filter("component != main").groupBy("bucket", "portion")
+        packed = outer.agg(*(F.collect_list(c).alias(name) for name, c in lists.items()))
+        packed = self.write("outer", packed.drop("portion"))
+        both = signed.select("bucket", "node", "component", "signature").join(packed, "bucket")
+        prune = _prune_outer(self.percent, self.miss)
+        self.confirm(both.drop("bucket").mapInPandas(prune, "u bigint, v bigint").distinct())
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Add the pairs that are similar by their whole shingle sets."""
+        kept = self.write("survivors", pairs)
         if kept.isEmpty():
             return
         nodes = kept.select(F.col("u").alias("node")).union(kept.select("v")).distinct()
         reps = self.classes.select("node", *ROW_KEY).join(nodes, "node")
         reps = self.write("involved", reps.withColumnsRenamed({c: f"{c}_rep" for c in ROW_KEY}))
+        if reps.count() <= BROADCAST_CLASSES:  # so that the texts need no shuffle
+            reps = F.broadcast(reps)
         on = [self.texts[c].eqNullSafe(reps[f"{c}_rep"]) for c in ROW_KEY]
         texts = self.texts.join(reps, on).select("node", "__text").dropDuplicates(["node"])
         texts = self.write("texts", texts)
-        # the most similar partner of each class first: most others are then connected
-        best = kept.groupBy("v").agg(F.max_by("u", F.struct("matches", -F.col("u"))).alias("u"))
-        self._exact(best.select("u", "v"), texts)
-        self._exact(self._across(kept.select("u", "v")), texts)
+        joined = kept.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
+        links = self.write("links", joined.mapInPandas(_verify(self.percent), "u bigint, v bigint"))
+        if not links.isEmpty():
+            self.found.append(links)
+            edges = reduce(DataFrame.unionByName, self.found)
+            self._count += 1
+            self.labels = components(edges, self.stages, str(self._count))
 
     def _across(self, pairs: DataFrame) -> DataFrame:
         """Pairs of different components."""
@@ -255,18 +318,6 @@ class _Search:
         joined = pairs.join(labels.toDF("u", "cu"), "u", "left").join(labels.toDF("v", "cv"), "v", "left")
         return joined.filter("coalesce(cu, u) != coalesce(cv, v)").select("u", "v")
 
-    def _exact(self, pairs: DataFrame, texts: DataFrame) -> None:
-        pairs = self.write("to_verify", pairs)
-        if pairs.isEmpty():
-            return
-        joined = pairs.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
-        links = self.write("links", joined.mapInPandas(_verify(self.percent), "u bigint, v bigint"))
-        if not links.isEmpty():
-            self.found.append(links)
-            edges = reduce(DataFrame.unionByName, self.found)
-            self._count += 1
-            self.labels = components(edges, self.stages, str(self._count))
-
     def search(self, buckets: DataFrame, depth: int = 0) -> None:
         """Link the classes of ``bucket, node`` that share a bucket."""
         leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
@@ -292,11 +343,8 @@ class _Search:
         mixed = self.write("mixed", mixed)
         rest = self.write("rest", labelled.drop("size").join(mixed, "bucket"))
         few = rest if depth == MAX_DEPTH else rest.filter(F.col("outside") <= OUTSIDE)
-        outer = few.filter("component != main").select("bucket", "node", "component")
-        inner = few.select("bucket", F.col("node").alias("other"), F.col("component").alias("of_other"))
-        pairs = outer.join(inner, "bucket").filter("component != of_other")
-        pairs = pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
-        self.compare(pairs.distinct())
+        if not few.isEmpty():
+            self.compare_outer(few)
         if depth == MAX_DEPTH:
             return
         large = rest.filter(F.col("outside") > OUTSIDE).select("bucket", "node")
