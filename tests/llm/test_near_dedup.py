@@ -65,6 +65,7 @@ def test_planted_copies_against_brute_force(docs, stages):
 
 def test_many_mixed_buckets_are_divided(docs, stages, monkeypatch):
     monkeypatch.setattr(near_dedup, "OUTSIDE", 2)
+    monkeypatch.setattr(near_dedup, "DIVIDE", 4)
     rng, texts = random.Random(5), {}
     shared = [f"s{k}" for k in range(60)]
     for i in range(120):  # half of each text is shared: many candidates, few links

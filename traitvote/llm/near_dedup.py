@@ -4,7 +4,8 @@ One pass over the texts makes a key of each text's words, a MinHash signature
 and its band keys. Texts with equal words are one class from there on. Classes
 that share a band are candidates; a bucket's classes are compared with the
 bucket's first class only. Where a bucket then still spans several components,
-the classes outside its largest one are compared with all others. Signatures are compared batch by batch:
+the classes outside its largest one are compared with all others; most of these
+pairs are ruled out by what either shares with the bucket's first class. Signatures are compared batch by batch:
 after each batch a pair is given up if the posterior chance that its similarity
 reaches the threshold is below the chosen miss probability. Survivors are
 verified on the whole shingle sets.
@@ -28,9 +29,10 @@ SHINGLE = 5
 BANDS, ROWS = 43, 5
 #: Chance of giving up a pair that reaches the threshold, for each batch.
 MISS = 1e-6
-#: A bucket with at most so many classes outside its largest component compares
-#: these with all others; one with more is divided by a second band first.
-OUTSIDE = 100
+#: Classes outside a bucket's largest component that are compared at a time with
+#: the others. A bucket with very many is divided by a second band first.
+OUTSIDE = 200
+DIVIDE = 2000
 MAX_DEPTH = 2
 #: Classes whose rows are looked up by broadcast (some 50 bytes each); beyond
 #: that the texts are shuffled.
@@ -170,31 +172,66 @@ def _prune(percent: int, miss: float):
 
 
 def _prune_outer(percent: int, miss: float):
-    """The same for one class against the few of its bucket's other components."""
+    """The same for one class against the few of its bucket's other components.
+
+    What is left has to be able to reach the threshold by its profile, too.
+    """
     batches_of = fewest_matches(percent, miss)
 
     def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["node", "component", "signature", "nodes", "components", "signatures"]
         for batch in batches:
             found = []
-            for node, component, own, nodes, others, signatures in batch[columns].itertuples(index=False):
-                at = np.flatnonzero(np.asarray(others) != component)
+            for row in batch.itertuples(index=False):
+                at = np.flatnonzero(np.asarray(row.component_list) != row.component)
                 if not len(at):
                     continue
-                size = len(own)
-                block = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, size)[at]
-                same, alive, start = block == np.frombuffer(own, np.uint8), np.arange(len(at)), 0
-                matches = np.zeros(len(at), np.int64)
+                block = np.frombuffer(b"".join(row.signature_list), np.uint8)
+                block = block.reshape(-1, len(row.signature))[at]
+                same = block == np.frombuffer(row.signature, np.uint8)
+                alive, start, matches = np.arange(len(at)), 0, np.zeros(len(at), np.int64)
                 for end, least in batches_of:
                     matches = matches + same[alive, start:end].sum(axis=1)
                     going = matches >= least
                     alive, matches, start = alive[going], matches[going], end
-                found += [(min(node, o), max(node, o)) for o in np.asarray(nodes)[at[alive]].tolist()]
+                at = at[alive]
+                if not len(at):
+                    continue
+                bits = np.frombuffer(b"".join(row.bits_list), np.uint8)
+                bits = bits.reshape(-1, len(row.bits))[at] & np.frombuffer(row.bits, np.uint8)
+                most = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+                most += np.minimum(np.asarray(row.others_list)[at], row.others)
+                sizes = np.asarray(row.n_shingles_list)[at] + row.n_shingles
+                at = at[100 * most >= percent * (sizes - most)]
+                others = np.asarray(row.node_list)[at].tolist()
+                found += [(min(row.node, o), max(row.node, o)) for o in others]
             yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return prune
 
 
+def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shingler = Shingler()
+    for batch in batches:
+        for node, text in zip(batch["node"], batch["__text"], strict=True):
+            yield pd.DataFrame({"node": node, "shingle": shingler(words_of(text)).view(np.int64)})
+
+
+def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Which shingles of its leader each class has, and how many further ones."""
+    shingler, last, left = Shingler(), None, None
+    for batch in batches:
+        rows = []
+        for leader, node, one, other in batch[["leader", "node", "text_u", "text_v"]].itertuples(
+            index=False
+        ):
+            if leader != last:
+                last, left = leader, shingler(words_of(one))
+            right = shingler(words_of(other))
+            has = np.isin(left, right, assume_unique=True)
+            rows.append((leader, node, np.packbits(has).tobytes(), len(right) - int(has.sum())))
+        yield pd.DataFrame(rows, columns=["leader", "node", "bits", "further"])
+
+
 def _verify(percent: int):
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, last, left = Shingler(), None, None
@@ -275,33 +312,63 @@ class _Search:
     def compare_outer(self, few: DataFrame) -> None:
         """Add the links between the main component of a bucket and its others.
 
-        The signatures of the others come in portions to every class of the
-        bucket, so pairs exist only inside a task until they are pruned.
+        Signatures and profiles of the others come in portions to every class
+        of the bucket, so pairs exist only inside a task until they are pruned.
         """
-        signed = few.join(self.classes.select("node", "signature"), "node")
+        few = few.join(self.classes.select("node", "signature", "n_shingles"), "node")
+        few = few.join(self.profiles(few), ["leader", "node"])
         portion = F.expr(f"pmod(xxhash64(node), CAST(ceil(outside / {OUTSIDE}) AS BIGINT))")
-        signed = self.write("signed_rest", signed.withColumn("portion", portion))
-        lists = {"nodes": "node", "components": "component", "signatures": "signature"}
+        signed = self.write("signed_rest", few.withColumn("portion", portion))
+        own = ["node", "component", "signature", "n_shingles", "bits", "others"]
         outer = signed.filter("component != main").groupBy("bucket", "portion")
-        packed = outer.agg(*(F.collect_list(c).alias(name) for name, c in lists.items()))
+        packed = outer.agg(*(F.collect_list(c).alias(f"{c}_list") for c in own))
         packed = self.write("outer", packed.drop("portion"))
-        both = signed.select("bucket", "node", "component", "signature").join(packed, "bucket")
+        both = signed.select("bucket", *own).join(packed, "bucket").drop("bucket")
         prune = _prune_outer(self.percent, self.miss)
-        self.confirm(both.drop("bucket").mapInPandas(prune, "u bigint, v bigint").distinct())
+        self.confirm(both.mapInPandas(prune, "u bigint, v bigint").distinct())
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Add the pairs that are similar by their whole shingle sets."""
-        kept = self.write("survivors", pairs)
-        if kept.isEmpty():
-            return
-        nodes = kept.select(F.col("u").alias("node")).union(kept.select("v")).distinct()
+    def profiles(self, few: DataFrame) -> DataFrame:
+        """``leader, node, bits, others`` of classes, as a bound for their pairs.
+
+        ``bits`` tells which of the leader's shingles a class has; ``others``
+        counts those of its further shingles that any other of these classes
+        has. Two classes share at most the bits they have in common and the
+        smaller number of others.
+        """
+        pairs = self.write("family", few.select("leader", "node").distinct())
+        nodes = pairs.select("node").union(pairs.select("leader")).distinct()
+        texts = self.texts_of(nodes)
+        sets = texts.mapInPandas(_shingle_rows, "node bigint, shingle bigint")
+        single = sets.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        alone = single.filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+        alone = self.write("alone", alone)
+        joined = pairs.join(texts.toDF("leader", "text_u"), "leader").join(
+            texts.toDF("node", "text_v"), "node"
+        )
+        profiled = joined.mapInPandas(
+            _profile, "leader bigint, node bigint, bits binary, further bigint"
+        )
+        others = F.greatest(F.col("further") - F.coalesce("alone", F.lit(0)), F.lit(0))
+        found = profiled.join(alone, "node", "left")
+        return self.write("profiles", found.select("leader", "node", "bits", others.alias("others")))
+
+    def texts_of(self, nodes: DataFrame) -> DataFrame:
+        """``node, __text`` of classes, written."""
         reps = self.classes.select("node", *ROW_KEY).join(nodes, "node")
         reps = self.write("involved", reps.withColumnsRenamed({c: f"{c}_rep" for c in ROW_KEY}))
         if reps.count() <= BROADCAST_CLASSES:  # so that the texts need no shuffle
             reps = F.broadcast(reps)
         on = [self.texts[c].eqNullSafe(reps[f"{c}_rep"]) for c in ROW_KEY]
         texts = self.texts.join(reps, on).select("node", "__text").dropDuplicates(["node"])
-        texts = self.write("texts", texts)
+        return self.write("texts", texts)
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Add the pairs that are similar by their whole shingle sets."""
+        kept = self.write("survivors", pairs)
+        if kept.isEmpty():
+            return
+        nodes = kept.select(F.col("u").alias("node")).union(kept.select("v")).distinct()
+        texts = self.texts_of(nodes)
         joined = kept.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
         links = self.write("links", joined.mapInPandas(_verify(self.percent), "u bigint, v bigint"))
         if not links.isEmpty():
@@ -331,7 +398,8 @@ class _Search:
             labelled = shared.join(self.labels, "node", "left")
         else:
             labelled = shared.withColumn("component", F.lit(None).cast("bigint"))
-        labelled = labelled.select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
+        component = F.coalesce("component", "node").alias("component")
+        labelled = labelled.select("bucket", "leader", "node", "size", component)
         labelled = self.write("labelled", labelled)
         # two classes have been compared already, as one of them leads
         parts = labelled.filter("size > 2").groupBy("bucket", "component").agg(F.count("*").alias("n"))
@@ -342,12 +410,12 @@ class _Search:
         )
         mixed = self.write("mixed", mixed)
         rest = self.write("rest", labelled.drop("size").join(mixed, "bucket"))
-        few = rest if depth == MAX_DEPTH else rest.filter(F.col("outside") <= OUTSIDE)
+        few = rest if depth == MAX_DEPTH else rest.filter(F.col("outside") <= DIVIDE)
         if not few.isEmpty():
             self.compare_outer(few)
         if depth == MAX_DEPTH:
             return
-        large = rest.filter(F.col("outside") > OUTSIDE).select("bucket", "node")
+        large = rest.filter(F.col("outside") > DIVIDE).select("bucket", "node")
         if not large.isEmpty():
             bands = self.classes.select("node", "bands")
             finer = large.join(bands, "node").select("node", "bucket", F.explode("bands").alias("band"))
