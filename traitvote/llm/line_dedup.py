@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources import Stages
-from .common import ROW_KEY, WHITE, hash128, lower_ascii, row_key, same_row
+from .common import ROW_KEY, WHITE, hash128, lower_ascii, row_key
 
 
 def line_key(line: Column) -> Column:
@@ -77,6 +77,3 @@ def dedup_lines(
     )
     names = dict.fromkeys([*docs.columns, "n_lines", "n_dropped"])
     return counted.select(*names)
-
-
-__all__ = ["dedup_lines", "line_key", "same_row"]
