@@ -553,8 +553,11 @@ _CURATED_QUERIES = {
     string_agg(DISTINCT source, ',' ORDER BY source) AS obs_sources
   FROM std WHERE family IS NOT NULL GROUP BY family, genus, species, gf""",
     "check_counts": f"""
-  SELECT * FROM (SELECT {_homonym_check("species", "std")}),
-    (SELECT {_homonym_check("genus", "std")})""",
+  SELECT 'applies_to_rank_not_null' AS "check", true AS "value"
+  UNION ALL SELECT 'has_homonym_species', has_homonym_species
+    FROM (SELECT {_homonym_check("species", "std")})
+  UNION ALL SELECT 'has_homonym_genus', has_homonym_genus
+    FROM (SELECT {_homonym_check("genus", "std")})""",
     "standardize_corrected": f"""
   SELECT c.id, c.family, c.genus, c.species, family_orig, genus_orig, species_orig,
     c.name_updated, {_CLEAN.replace("label", "c.label")} AS gf_verbatim, {_VOCAB_COLUMNS}
