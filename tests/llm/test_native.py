@@ -216,3 +216,43 @@ def test_decontamination_hard_cases(hard, nothing, table, stages):
     again = fresh(stages)
     assert leaks.find_items(nothing, bench, again).count() == 0
     assert leaks.find_items(hard(), bench.limit(0), fresh(stages)).count() == 0
+
+
+def best_windows(docs, items, percent=75):
+    """Similarity of the best of all windows of each item's size, by brute force."""
+
+    def runs(words):
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+    found = {}
+    for d, words in docs:
+        hs = runs(words)
+        for k, item in items:
+            own = Counter(runs(item))
+            m = sum(own.values())
+            for start in range(max(1, len(hs) - m + 1)):
+                window = Counter(hs[start : start + m])
+                common = sum((window & own).values())
+                union = sum(window.values()) + m - common
+                if 100 * common >= percent * union:
+                    found[d, k] = max(found.get((d, k), 0.0), common / union)
+    return found
+
+
+def test_items_in_another_order_are_found(table, stages):
+    rng = random.Random(4)
+    items = [(k, invent(rng, 60)) for k in range(30)]
+    docs = []
+    for k, item in items:
+        cut = 30 if k < 10 else rng.randrange(1, 60)  # halves swapped, or turned anywhere
+        docs.append((k, invent(rng, 80) + item[cut:] + item[:cut] + invent(rng, 80)))
+    wanted = best_windows(docs, items)
+    assert {(k, k) for k in range(10)} <= set(wanted)
+    found = leaks.find_items(
+        table("doc_id bigint, text string", *((d, " ".join(w)) for d, w in docs)),
+        table("item_id bigint, text string", *((k, " ".join(w)) for k, w in items)),
+        stages,
+    )
+    got = {(r[ROW_KEY[0]], r.item_id): r.similarity for r in found.collect()}
+    assert got == pytest.approx(wanted)
+    assert python_free(found)

@@ -1,8 +1,10 @@
 """Find benchmark items in documents by SimHash windows.
 
-A window has as many five-word shingles as a benchmark item and begins where a
-shingle it shares with the benchmark puts that item's start; a window that
-shares none has similarity zero. Each window and each item gets a 60-bit
+A window has as many five-word shingles as a benchmark item. Windows are drawn
+where a shingle shared with the benchmark puts that item's start, and where such
+a shingle comes last. The best of all windows is among the latter: a window
+whose last shingle is not shared loses nothing when it moves back by one, until
+it ends with a shared one or begins with the text. Each window and each item gets a 60-bit
 SimHash. The 60 bits are cut into one block more than the radius, so two
 fingerprints within the radius agree in a block at least (pigeonhole); equal
 blocks make candidates, the whole distance is checked, and the exact weighted
@@ -127,9 +129,11 @@ def find_items(
 
     One row for each document row and item with a similar window: the columns
     of ``common.row_key`` (they identify the row), ``item_id``, ``start`` (the
-    word the best window begins at; the first of equals), ``n_common,
+    word the best window begins at; of equals the first that is aligned, with a
+    shared shingle in its own place of an item, or else the first), ``n_common,
     n_union`` (weights shared and in all), and ``similarity``, their quotient,
-    of at least ``percent`` / 100. A window at the end of a document is
+    of at least ``percent`` / 100; no window of the item's size is more similar.
+    A window at the end of a document is
     shortened to it. Texts or items without words, and empty tables, give no
     rows; repeated rows have one result between them; NULL ids are ids.
     """
@@ -145,7 +149,13 @@ def find_items(
     # the outer form, as the other adds a filter that computes the shingles again
     at = hashed.select(*ROW_KEY, "n", F.posexplode_outer("hs").alias("position", "h"))
     start = F.greatest(F.lit(0), F.least(F.col("position") - F.col("offset"), F.col("n") - F.col("m")))
-    starts = at.join(anchors, "h").select(*ROW_KEY, "m", start.alias("start")).distinct()
+    last = F.greatest(F.lit(0), F.col("position") - F.col("m") + 1)
+    both = F.array(
+        F.struct(start.alias("start"), F.lit(True).alias("aligned")),
+        F.struct(last.alias("start"), F.lit(False).alias("aligned")),
+    )
+    starts = at.join(anchors, "h").select(*ROW_KEY, "m", F.inline(both))
+    starts = starts.groupBy(*ROW_KEY, "m", "start").agg(F.max("aligned").alias("aligned"))
     starts = stages.write("starts", starts)
 
     hit = stages.write("hit", starts.select(*ROW_KEY).distinct())
@@ -156,7 +166,7 @@ def find_items(
     touched = touched.withColumnsRenamed({c: f"{c}_touched" for c in ROW_KEY})
     on = [starts[c].eqNullSafe(touched[f"{c}_touched"]) for c in ROW_KEY]
     windows = starts.join(touched, on).select(
-        *ROW_KEY, "m", "start", F.slice("hs", F.col("start") + 1, F.col("m")).alias("hs")
+        *ROW_KEY, "m", "start", "aligned", F.slice("hs", F.col("start") + 1, F.col("m")).alias("hs")
     )
     windows = stages.write("windows", windows.withColumn("fp", simhash(F.col("hs"))))
 
@@ -184,12 +194,12 @@ def find_items(
     )
     common = common_weight("hs", "item_hs").cast("bigint")
     total = (F.size("hs") + F.size("item_hs")).cast("bigint")
-    scored = found.select(*ROW_KEY, "item_id", "start", common.alias("n_common"), total.alias("__sizes"))
+    scored = found.select(*ROW_KEY, "item_id", "start", "aligned", common.alias("n_common"), total.alias("__sizes"))
     scored = scored.withColumn("n_union", F.col("__sizes") - F.col("n_common")).filter(
         F.col("n_common") * 100 >= F.col("n_union") * percent
     )
     scored = scored.withColumn("similarity", F.col("n_common") / F.col("n_union"))
-    best = F.struct("similarity", (-F.col("start")).alias("back"), "n_common", "n_union")
+    best = F.struct("similarity", "aligned", (-F.col("start")).alias("back"), "n_common", "n_union")
     return (
         scored.groupBy(*ROW_KEY, "item_id")
         .agg(F.max(best).alias("best"))
