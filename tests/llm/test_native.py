@@ -256,3 +256,14 @@ def test_items_in_another_order_are_found(table, stages):
     got = {(r[ROW_KEY[0]], r.item_id): r.similarity for r in found.collect()}
     assert got == pytest.approx(wanted)
     assert python_free(found)
+
+
+def test_only_items_with_shared_shingles_are_candidates(spark, table, stages):
+    rng = random.Random(5)
+    items = [" ".join(invent(rng, 40)) for _ in range(40)]  # one size, so one key before
+    words = [" ".join(invent(rng, 20)) for _ in items]
+    docs = table("doc_id bigint, text string", *((k, f"{w} {i}") for k, (w, i) in enumerate(zip(words, items))))
+    found = leaks.find_items(docs, table("item_id bigint, text string", *enumerate(items)), stages)
+    assert {(r[ROW_KEY[0]], r.item_id) for r in found.collect()} == {(k, k) for k in range(40)}
+    candidates = spark.read.parquet(f"{stages.path}/candidates")
+    assert candidates.filter(f"{ROW_KEY[0]}_near != item_id").count() == 0

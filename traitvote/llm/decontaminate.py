@@ -4,11 +4,11 @@ A window has as many five-word shingles as a benchmark item. Windows are drawn
 where a shingle shared with the benchmark puts that item's start, and where such
 a shingle comes last. The best of all windows is among the latter: a window
 whose last shingle is not shared loses nothing when it moves back by one, until
-it ends with a shared one or begins with the text. Each window and each item gets a 60-bit
-SimHash. The 60 bits are cut into one block more than the radius, so two
-fingerprints within the radius agree in a block at least (pigeonhole); equal
-blocks make candidates, the whole distance is checked, and the exact weighted
-similarity of the shingles decides.
+it ends with a shared one or begins with the text. A document and an item stay
+together from the shingle they share, and windows are cut out only where such
+shingles stand close enough for the similarity asked for. Each window and each
+item gets a 60-bit SimHash; where their distance is within the radius, the exact
+weighted similarity of the shingles decides.
 
 The similarity is that of multisets: sum of the smaller over sum of the larger
 count of each shingle.
@@ -114,6 +114,26 @@ def common_weight(a: str, b: str) -> Column:
     return F.when(repeated, counts).otherwise(F.size(shared))
 
 
+def dense_ends(percent: int) -> Column:
+    """Those of ``positions`` at which a window can end that is similar enough.
+
+    ``positions`` are the places of a text's ``n`` shingles that an item of
+    ``m`` has, in order. A window has to hold so many of them that they would
+    do if each counted in full, which it does at the most.
+    """
+    size = F.least("n", "m") + F.col("m")
+    least = F.greatest(F.lit(1), F.ceil(size * percent / (100 + percent))).cast("int")
+
+    def dense(end: Column, k: Column) -> Column:
+        return (k >= least - 1) & (end - F.get("positions", k - least + 1) < F.col("m"))
+
+    return F.filter("positions", dense)
+
+
+def _broadcast(df: DataFrame, most: int) -> DataFrame:
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def find_items(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -140,29 +160,36 @@ def find_items(
     items = with_shingles(benchmark, item_text, F.col(item_column).alias("item_id"))
     items = items.select("item_id", "hs", F.col("n").alias("m"), simhash(F.col("hs")).alias("fp"))
     items = stages.write("items", items)  # a filter before this would inline the shingles
-    anchors = items.select("m", F.posexplode("hs").alias("offset", "h")).distinct()
-    anchors = stages.write("anchors", anchors)
-    if anchors.count() <= BROADCAST_ROWS:
-        anchors = F.broadcast(anchors)
+    shared = items.select("item_id", "m", F.explode("hs").alias("h")).distinct()
+    shared = _broadcast(stages.write("shared", shared), BROADCAST_ROWS)
 
     hashed = with_shingles(docs, text_column, *row_key(id_column, text_column))
     # the outer form, as the other adds a filter that computes the shingles again
     at = hashed.select(*ROW_KEY, "n", F.posexplode_outer("hs").alias("position", "h"))
-    start = F.greatest(F.lit(0), F.least(F.col("position") - F.col("offset"), F.col("n") - F.col("m")))
-    last = F.greatest(F.lit(0), F.col("position") - F.col("m") + 1)
-    both = F.array(
-        F.struct(start.alias("start"), F.lit(True).alias("aligned")),
-        F.struct(last.alias("start"), F.lit(False).alias("aligned")),
-    )
-    starts = at.join(anchors, "h").select(*ROW_KEY, "m", F.inline(both))
-    starts = starts.groupBy(*ROW_KEY, "m", "start").agg(F.max("aligned").alias("aligned"))
-    starts = stages.write("starts", starts)
+    met = at.join(shared, "h").groupBy(*ROW_KEY, "n", "item_id", "m")
+    met = met.agg(F.array_sort(F.collect_set("position")).alias("positions"))
+    pairs = met.withColumn("ends", dense_ends(percent)).filter("size(ends) > 0")
+    pairs = stages.write("pairs", pairs.select(*ROW_KEY, "item_id", "m", "ends"))
 
-    hit = stages.write("hit", starts.select(*ROW_KEY).distinct())
+    hit = _broadcast(stages.write("hit", pairs.select(*ROW_KEY).distinct()), BROADCAST_DOCS)
     keyed = docs.select(*row_key(id_column, text_column), F.col(text_column).alias("__text"))
-    few = F.broadcast(hit) if hit.count() <= BROADCAST_DOCS else hit
-    touched = keyed.join(few, same_row(keyed, few), "left_semi").dropDuplicates(list(ROW_KEY))
-    touched = with_shingles(touched, "__text", *ROW_KEY)
+    touched = keyed.join(hit, same_row(keyed, hit), "left_semi").dropDuplicates(list(ROW_KEY))
+    touched = stages.write("touched", with_shingles(touched, "__text", *ROW_KEY))
+
+    anchors = items.select("m", F.posexplode("hs").alias("offset", "h")).distinct()
+    anchors = _broadcast(stages.write("anchors", anchors), BROADCAST_ROWS)
+    start = F.greatest(F.lit(0), F.least(F.col("position") - F.col("offset"), F.col("n") - F.col("m")))
+    inside = touched.select(*ROW_KEY, "n", F.posexplode("hs").alias("position", "h"))
+    aligned = inside.join(anchors, "h").select(*ROW_KEY, "m", start.alias("start"), F.lit(True).alias("aligned"))
+    last = F.greatest(F.lit(0), F.col("end") - F.col("m") + 1)
+    ending = pairs.select(*ROW_KEY, "m", F.explode("ends").alias("end"))
+    ending = ending.select(*ROW_KEY, "m", last.alias("start"), F.lit(False).alias("aligned"))
+    starts = aligned.union(ending).groupBy(*ROW_KEY, "m", "start").agg(F.max("aligned").alias("aligned"))
+
+    # sizes of windows that no pair of their document has go before they are cut out
+    wanted = pairs.select(*ROW_KEY, "m").distinct().withColumnsRenamed({c: f"{c}_of" for c in (*ROW_KEY, "m")})
+    of_row = [starts[c].eqNullSafe(F.col(f"{c}_of")) for c in (*ROW_KEY, "m")]
+    starts = stages.write("starts", starts.join(wanted, of_row, "left_semi"))
     touched = touched.withColumnsRenamed({c: f"{c}_touched" for c in ROW_KEY})
     on = [starts[c].eqNullSafe(touched[f"{c}_touched"]) for c in ROW_KEY]
     windows = starts.join(touched, on).select(
@@ -170,13 +197,15 @@ def find_items(
     )
     windows = stages.write("windows", windows.withColumn("fp", simhash(F.col("hs"))))
 
-    def in_blocks(df: DataFrame, *columns: str) -> DataFrame:
-        return df.select(*columns, F.explode(blocks("fp", radius)).alias("block"))
-
-    of_item = in_blocks(items.withColumnRenamed("fp", "item_fp").withColumn("fp", F.col("item_fp")), "m", "item_id", "item_fp")
+    of_item = items.selectExpr("item_id AS __item", "m AS __m", "fp AS item_fp")
+    with_fp = pairs.select(*ROW_KEY, "item_id", "m").join(
+        of_item, F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("m") == F.col("__m"))
+    )
+    with_fp = with_fp.select(*(F.col(c).alias(f"{c}_near") for c in (*ROW_KEY, "m")), "item_id", "item_fp")
+    of_window = [windows[c].eqNullSafe(F.col(f"{c}_near")) for c in (*ROW_KEY, "m")]
     near = (
-        in_blocks(windows, *ROW_KEY, "m", "start", "fp")
-        .join(of_item, ["m", "block"])
+        windows.select(*ROW_KEY, "m", "start", "fp")
+        .join(with_fp, of_window)
         .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
         .select(*ROW_KEY, "m", "start", "item_id")
         .distinct()
@@ -189,8 +218,11 @@ def find_items(
             [windows[c].eqNullSafe(F.col(f"{c}_near")) for c in ROW_KEY]
             + [F.col("m") == F.col("m_near"), F.col("start") == F.col("start_near")],
         )
-        .drop("m", "m_near", "fp")
-        .join(items.selectExpr("item_id AS __item", "hs AS item_hs"), F.col("item_id").eqNullSafe(F.col("__item")))
+        .drop("m_near", "fp")
+        .join(
+            items.selectExpr("item_id AS __item", "m AS __m", "hs AS item_hs"),
+            F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("m") == F.col("__m")),
+        )
     )
     common = common_weight("hs", "item_hs").cast("bigint")
     total = (F.size("hs") + F.size("item_hs")).cast("bigint")
