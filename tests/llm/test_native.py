@@ -118,6 +118,28 @@ def test_marginals_meet_their_targets(table, stages):
     assert sums == pytest.approx(wanted, abs=1e-6)
 
 
+def two_targets(table, *of_b):
+    even = table("value string, target double", ("x", 1.0), ("y", 1.0))
+    return {"a": even, "b": table("value string, target double", *of_b)}
+
+
+def test_marginals_of_dimensions_that_go_together_meet_their_targets(table, stages):
+    rows = [("x", "p", 1000), ("x", "q", 150), ("y", "p", 150), ("y", "q", 1000)]
+    targets = two_targets(table, ("p", 0.6), ("q", 0.4))
+    sums = defaultdict(float)
+    for r in mixing.rake(cells(table, *rows), targets, stages).collect():
+        sums[r.a] += r.weight
+        sums[r.b] += r.weight
+    assert sums == pytest.approx({"x": 0.5, "y": 0.5, "p": 0.6, "q": 0.4}, rel=1e-6)
+
+
+def test_targets_that_contradict_each_other_are_reported(table, stages, monkeypatch):
+    monkeypatch.setattr(mixing, "STALL_ROUNDS", 2)
+    targets = two_targets(table, ("p", 0.75), ("q", 0.25))
+    with pytest.warns(UserWarning, match="cannot be met"):
+        mixing.rake(cells(table, ("x", "p", 10), ("y", "q", 10)), targets, stages)
+
+
 def test_probabilities_meet_the_budget(table):
     rows = table(
         "a string, tokens bigint, weight double", ("x", 100, 0.9), ("y", 1000, 0.05), ("z", 500, 0.05)

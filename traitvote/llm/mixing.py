@@ -9,6 +9,7 @@ number of tokens meets a budget. Everything after the count works on cells.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from functools import reduce
 
@@ -19,6 +20,9 @@ from .common import WORD
 
 #: Rounds in which capped probabilities are made up for by the others.
 CALIBRATION_ROUNDS = 20
+#: Targets count as contradictory when the largest error of the marginals falls
+#: by less than this share of itself in so many rounds.
+STALL, STALL_ROUNDS = 0.01, 20
 
 
 def tokens_of(text_column: str) -> Column:
@@ -76,12 +80,17 @@ def _weigh(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
     return cells.select(*columns, weight.alias("weight"))
 
 
-def _change(new: DataFrame, old: DataFrame) -> DataFrame:
-    """The largest relative change ``e`` of factors between two rounds."""
-    named = old.toDF("__value", "__factor")
-    both = new.join(named, new["value"].eqNullSafe(named["__value"]))
-    ratio = F.when(F.col("__factor") > 0, F.col("factor") / F.col("__factor")).otherwise(1.0)
-    return both.agg(F.max(F.abs(ratio - 1)).alias("e"))
+def _error(
+    cells: DataFrame, factors: Mapping[str, DataFrame], shares: Mapping[str, DataFrame]
+) -> float:
+    """By how much of its target the worst marginal misses it."""
+    weighted, missed = _weigh(cells, factors), []
+    for dimension, target in shares.items():
+        sums = weighted.groupBy(F.col(dimension).alias("__value")).agg(F.sum("weight").alias("__sum"))
+        joined = target.join(sums, target["value"].eqNullSafe(sums["__value"]), "left")
+        share = F.coalesce("__sum", F.lit(0.0)) / F.col("target")
+        missed.append(joined.select(F.abs(share - 1).alias("e")))
+    return reduce(DataFrame.unionByName, missed).agg(F.max("e")).first()[0] or 0.0
 
 
 def rake(
@@ -89,28 +98,38 @@ def rake(
     targets: Mapping[str, DataFrame],
     stages: Stages,
     tolerance: float = 1e-7,
-    max_rounds: int = 12,
 ) -> DataFrame:
     """Cells with ``weight``: shares of one whose marginals meet the targets.
 
     ``cells`` has the dimensions and ``tokens``; ``targets`` has for each
     dimension a table ``value, target``. Values without a target get no
     weight; targets of values that do not occur are left out, the others are
-    scaled to one. A NULL value is a value like any other. Rounds end when no
-    factor changes by more than ``tolerance`` of itself.
+    scaled to one. A NULL value is a value like any other. Rounds go on, however
+    many it takes, until every marginal is within ``tolerance`` of its target,
+    as a share of it. Targets that contradict each other cannot be met: where
+    the largest error has all but stopped falling, a warning gives it, and the
+    weights are those of the last round.
     """
-    shares = stages.write_all({f"target_{d}": _shares(t, cells, d) for d, t in targets.items()})
+    shares = {d: _shares(t, cells, d) for d, t in targets.items()}
+    written = stages.write_all({f"target_{d}": share for d, share in shares.items()})
+    shares = {d: written[f"target_{d}"] for d in targets}
     factors: dict[str, DataFrame] = {}
-    for done in range(max_rounds):
-        before = dict(factors)
+    errors: list[float] = []
+    while targets:
         for dimension in targets:
-            step = _step(cells, dimension, shares[f"target_{dimension}"], factors)
-            factors[dimension] = stages.write(f"factors_{dimension}_{done}", step)
-        if before:
-            changes = [_change(factors[d], before[d]) for d in targets]
-            largest = reduce(DataFrame.unionByName, changes).agg(F.max("e")).first()[0]
-            if (largest or 0.0) < tolerance:
-                break
+            step = _step(cells, dimension, shares[dimension], factors)
+            factors[dimension] = stages.write(f"factors_{dimension}_{len(errors)}", step)
+        errors.append(_error(cells, factors, shares))
+        if errors[-1] <= tolerance:
+            break
+        earlier = errors[:-STALL_ROUNDS]
+        if earlier and min(errors) > min(earlier) * (1 - STALL):
+            warnings.warn(
+                f"targets cannot be met: after {len(errors)} rounds a marginal misses its target "
+                f"by {errors[-1]:.2g} of it",
+                stacklevel=2,
+            )
+            break
     return _weigh(cells, factors)
 
 
