@@ -126,6 +126,19 @@ def test_viterbi_finds_the_likeliest_chain(field):
     assert score(field.decode(blocks)) == pytest.approx(score(best))
 
 
+def test_a_head_ends_where_the_body_begins():
+    for page in (
+        "<head><title>t</title><body><article><p>Hello</p></article></body>",
+        "<head><title>t</title><meta charset=utf-8><article><p>Hello</p></article>",
+        "<head><title>t<body><p>Hello</p>",
+        "<head><title>t</title><img src=x/><p>Hello</p>",
+        "<head><title>t</title>Hello",
+        "<head><noscript><style>x</style></noscript><template><p>no</p></template><body><p>Hello</p>",
+        "<head><title>t</title></head><body><p>Hello</p></body>",
+    ):
+        assert [block.text for block in blocks_of(page)] == ["Hello"], page
+
+
 def test_html_hard_cases(spark, field):
     given = [
         (1, "u", None, "x"), (2, None, "", "x"), (2, None, "", "x"), (None, "u", "<<<p>&am", "x"),

@@ -11,6 +11,10 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 SILENT = frozenset("script style template noscript head title svg iframe object canvas".split())
+#: What can stand in a head; anything else begins the body, with or without ``</head>``.
+IN_HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
     "small span strike strong sub sup time tt u var".split()
@@ -58,7 +62,17 @@ class _Parser(HTMLParser):
     def _close(self, at: int) -> None:
         del self._stack[at:]
 
+    def _end_head(self, tag: str) -> None:
+        """Close an open head, and a title left open in it, where the body begins."""
+        names = [name for name, _ in self._stack]
+        if tag in IN_HEAD or "head" not in names:
+            return
+        at = names.index("head")
+        if tag == "body" or all(name not in SILENT or name == "title" for name in names[at + 1 :]):
+            self._close(at)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._end_head(tag)
         if tag not in INLINE:
             self.flush()
         if tag in VOID:
@@ -74,6 +88,7 @@ class _Parser(HTMLParser):
         self._stack.append((tag, said.lower()))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._end_head(tag)
         if tag not in INLINE:
             self.flush()
 
@@ -88,6 +103,8 @@ class _Parser(HTMLParser):
                 self._close(at)
 
     def handle_data(self, data: str) -> None:
+        if data.strip() and self._stack and self._stack[-1][0] == "head":
+            self._close(len(self._stack) - 1)
         if any(name in SILENT for name, _ in self._stack):
             return
         if data.strip():
