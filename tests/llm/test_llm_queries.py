@@ -16,7 +16,7 @@ SF_DIR = TESTDATA / "sf0.001"
 def test_all_are_registered():
     queries = entry_point.queries()
     assert set(QUERIES) | {"pipeline"} <= set(queries)
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in queries) == 1
     assert set(ORACLES) <= set(entry_point.oracle_sql())
 

@@ -208,3 +208,95 @@ SELECT DISTINCT ON (doc_id, item_id) doc_id, item_id, CAST(start AS BIGINT) AS s
 FROM scored WHERE 100 * n_common >= 75 * n_union
 ORDER BY doc_id, item_id, n_common / n_union DESC, start
 """
+
+_FIELDS = " || ".join(
+    f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("doc_id", "source", "lang", "n_chars{more}", "text")
+)
+
+
+def _tree(level: str) -> str:
+    """The levels above the lists of ``level (tree, level, nodes)``, one row each."""
+    return f"""SELECT tree, CAST(0 AS BIGINT) AS level, nodes FROM {level}
+  UNION ALL
+  SELECT tree, level + 1, list_transform(range(1, len(nodes) + 1, 2),
+    lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))
+  FROM {level}s WHERE len(nodes) > 1"""
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+  SELECT doc_id, lang, sha256({_FIELDS.format(more="")}) AS leaf,
+    sha256({_FIELDS.format(more=" + 1")}) AS changed FROM documents),
+crcs(k, c) AS (
+  SELECT k, CAST(k AS UBIGINT) FROM range(256) t(k)),
+bytes AS MATERIALIZED (
+  SELECT k, list_reduce(list_prepend(c, range(8)), lambda x, _:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END) AS c FROM crcs),
+codes AS MATERIALIZED (SELECT list(c ORDER BY k) AS codes FROM bytes),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree,
+    xor(list_reduce(list_prepend(4294967295::UBIGINT,
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS UBIGINT))),
+      lambda x, b: xor(x >> 8, codes[CAST(xor(x & 255, b) + 1 AS BIGINT)])), 4294967295::UBIGINT) AS crc
+  FROM hashed, codes),
+low AS MATERIALIZED (SELECT tree, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY tree),
+lows AS ({_tree("low")}),
+levels AS MATERIALIZED (SELECT * FROM lows),
+subroots AS MATERIALIZED (SELECT tree, nodes[1] AS subroot FROM levels WHERE len(nodes) = 1),
+top AS MATERIALIZED (SELECT 0 AS tree, list(subroot ORDER BY tree) AS nodes FROM subroots),
+tops AS ({_tree("top")}),
+above AS MATERIALIZED (SELECT * FROM tops),
+steps AS MATERIALIZED (
+  SELECT leaf_of.tree, leaf_of.pos, level AS step, (leaf_of.pos >> level) & 1 AS side,
+    nodes[xor(leaf_of.pos >> level, 1) + 1] AS sibling
+  FROM placed leaf_of JOIN levels USING (tree) WHERE len(nodes) > 1
+  UNION ALL
+  SELECT p.tree, p.pos, 64 + level, (p.tree >> level) & 1, nodes[xor(p.tree >> level, 1) + 1]
+  FROM placed p, above WHERE len(nodes) > 1),
+ways AS MATERIALIZED (
+  SELECT tree, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256,
+    list({{'side': side, 'sibling': sibling}} ORDER BY step) AS way
+  FROM placed LEFT JOIN steps USING (tree, pos) GROUP BY tree, pos),
+folds(tree, pos, k, digest) AS (
+  SELECT tree, pos, 1, CASE WHEN coalesce(crc % 7 = 0, false) THEN changed ELSE leaf END FROM placed
+  UNION ALL
+  SELECT f.tree, f.pos, k + 1, CASE WHEN way[k].side = 1
+      THEN sha256(coalesce(way[k].sibling, '') || digest)
+      ELSE sha256(digest || coalesce(way[k].sibling, '')) END
+  FROM folds f JOIN ways USING (tree, pos) WHERE k <= len(way) AND way[k].side IS NOT NULL),
+folded AS (SELECT tree, pos, arg_max(digest, k) AS folded_root FROM folds GROUP BY tree, pos)
+SELECT doc_id, leaf, subroot, r.nodes[1] AS root, proof_sha256, folded_root,
+  folded_root = r.nodes[1] AS verified
+FROM placed JOIN subroots USING (tree) JOIN ways USING (tree, pos) JOIN folded USING (tree, pos),
+  (SELECT nodes FROM above WHERE len(nodes) = 1) r
+"""
+
+ORACLES["op13_lexical_search"] = rf"""
+WITH words AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+items AS MATERIALIZED (
+  SELECT DISTINCT item_id,
+    unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+lengths AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS MATERIALIZED (
+  SELECT count(*) AS n_docs, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_all FROM lengths),
+times AS MATERIALIZED (
+  SELECT doc_id, term, count(*) AS tf FROM words
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS MATERIALIZED (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM times, whole GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf)
+    // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM items JOIN times USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), whole
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import Stages
 from . import decontaminate as leaks
-from . import html_extract, language_id, license_scan, line_dedup, mixing, near_dedup, quality_gam, quality_rules, sharding
+from . import (
+    html_extract,
+    language_id,
+    lexical_search,
+    license_scan,
+    line_dedup,
+    merkle,
+    mixing,
+    near_dedup,
+    quality_gam,
+    quality_rules,
+    sharding,
+    simhash,
+)
 from .common import ROW_KEY, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +117,29 @@ def op10_decontamination(spark, sf_dir):
     return found.select(
         F.col(ROW_KEY[0]).alias("doc_id"), "item_id", "start", "n_common", "n_union", "similarity"
     )
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    rows = merkle.verified(merkle.manifest(table(spark, sf_dir, "documents"), Stages(spark)))
+    proof = merkle.proof_digest(F.concat("segment", "top_segment")).alias("proof_sha256")
+    text = {c: F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")}
+    folded = F.lower(F.hex("folded")).alias("folded_root")
+    verified = (F.col("folded") == F.col("root")).alias("verified")
+    return rows.select("doc_id", *text.values(), proof, folded, verified)
+
+
+@query
+def op12_simhash_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Stages(spark))
+    return found.select(
+        F.col(ROW_KEY[0]).alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, Stages(spark))
