@@ -1,5 +1,6 @@
 """Inputs, outputs and stage tables."""
 
+from .ordered import Ordered, write_ordered
 from .stages import Stages
 from .tables import (
     read_curated,
@@ -13,6 +14,7 @@ from .tables import (
 )
 
 __all__ = [
+    "Ordered",
     "Stages",
     "read_curated",
     "read_observations",
@@ -21,5 +23,6 @@ __all__ = [
     "scan_observations",
     "scan_traits",
     "write_list",
+    "write_ordered",
     "write_vocab",
 ]

@@ -63,10 +63,14 @@ class Stages:
         """A function that writes what it gets under a name of its own."""
         return lambda df: self.write(f"{name}_{next(self._numbers)}", df)
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` and return the written table."""
+    def write(self, name: str, df: DataFrame, *folders: str) -> DataFrame:
+        """Write ``df`` and return the written table.
+
+        ``folders`` are columns whose values get a folder of their own, so that
+        a filter on them decides which files are read.
+        """
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        df.write.partitionBy(*folders).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def write_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
