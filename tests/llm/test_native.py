@@ -133,18 +133,65 @@ def test_marginals_of_dimensions_that_go_together_meet_their_targets(table, stag
     assert sums == pytest.approx({"x": 0.5, "y": 0.5, "p": 0.6, "q": 0.4}, rel=1e-6)
 
 
-def test_targets_that_contradict_each_other_are_reported(table, stages, monkeypatch):
-    monkeypatch.setattr(mixing, "STALL_ROUNDS", 2)
+def test_targets_that_contradict_each_other_settle(table, stages, monkeypatch):
+    rows = cells(table, ("x", "p", 10), ("y", "q", 10))
     targets = two_targets(table, ("p", 0.75), ("q", 0.25))
-    with pytest.warns(UserWarning, match="cannot be met"):
-        mixing.rake(cells(table, ("x", "p", 10), ("y", "q", 10)), targets, stages)
-
-
-def test_probabilities_meet_the_budget(table):
+    for most in (mixing.FOLD_CELLS, 0):  # the last dimension's targets are met
+        monkeypatch.setattr(mixing, "FOLD_CELLS", most)
+        with pytest.warns(UserWarning, match="cannot be met"):
+            raked = mixing.rake(rows, targets, fresh(stages)).collect()
+        assert {r.a: r.weight for r in raked} == pytest.approx({"x": 0.75, "y": 0.25})
+
+
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    result = action()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("other", "other")
+    return result, len(jobs)
+
+
+def test_many_rounds_are_few_jobs(spark, table, stages, monkeypatch):
+    rng = random.Random(3)  # each source is almost all in one language
+    rows = [
+        (f"s{i}", f"l{j}", rng.randrange(1, 9) * (1000 if i % 4 == j else 1))
+        for i in range(20) for j in range(4)
+    ]
+    even = [(f"s{i}", float(i + 1)) for i in range(20)], [(f"l{j}", float(j + 1)) for j in range(4)]
+    targets = {n: table("value string, target double", *t) for n, t in zip("ab", even, strict=True)}
+    got, jobs = jobs_of(spark, "fold", lambda: mixing.rake(cells(table, *rows), targets, stages).collect())
+    assert jobs < 60
+    by_a, by_b = defaultdict(float), defaultdict(float)
+    for r in got:
+        by_a[r.a] += r.weight
+        by_b[r.b] += r.weight
+    assert by_a == pytest.approx({f"s{i}": (i + 1) / 210 for i in range(20)}, rel=1e-6)
+    assert by_b == pytest.approx({f"l{j}": (j + 1) / 10 for j in range(4)}, rel=1e-6)
+    monkeypatch.setattr(mixing, "FOLD_ROUNDS", 3)  # a run in several jobs goes on where it stopped
+    few = cells(table, *((a, b, n % 10 + 5) for a, b, n in rows[:8]))
+    again = mixing.rake(few, targets, fresh(stages), 1e-4).collect()
+    monkeypatch.setattr(mixing, "FOLD_CELLS", 0)  # nor do tables that Spark joins change anything
+    tables = mixing.rake(few, targets, fresh(stages), 1e-4).collect()
+    whole = {(r.a, r.b): r.weight for r in again}
+    assert {(r.a, r.b): r.weight for r in tables} == pytest.approx(whole, rel=1e-6)
+
+
+def test_many_capped_cells_meet_the_budget(table, stages):
+    rows = [(f"v{k:03}", "b", 1000) for k in range(200)]
+    weights = {f"v{k:03}": 0.8**k for k in range(200)}
+    given = cells(table, *rows).join(table("a string, weight double", *weights.items()), "a")
+    found = mixing.calibrate(given, 0.9 * 200_000, stages).collect()
+    assert sum(r.probability * r.tokens for r in found) == pytest.approx(0.9 * 200_000)
+    loose = [r.probability / r.weight for r in found if r.probability < 1]
+    assert loose and loose == pytest.approx([loose[0]] * len(loose))
+    assert all(r.probability == 1 for r in mixing.calibrate(given, 1e9, fresh(stages)).collect())
+
+
+def test_probabilities_meet_the_budget(table, stages):
     rows = table(
         "a string, tokens bigint, weight double", ("x", 100, 0.9), ("y", 1000, 0.05), ("z", 500, 0.05)
     )
-    found = {r.a: r for r in mixing.calibrate(rows, 400.0).collect()}
+    found = {r.a: r for r in mixing.calibrate(rows, 400.0, stages).collect()}
     assert found["x"].probability == 1.0
     assert sum(r.probability * r.tokens for r in found.values()) == pytest.approx(400)
 

@@ -9,20 +9,23 @@ number of tokens meets a budget. Everything after the count works on cells.
 
 from __future__ import annotations
 
+import itertools
 import warnings
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources import Stages
+from ..sources import Stages, write_ordered
 from .common import WORD
 
-#: Rounds in which capped probabilities are made up for by the others.
-CALIBRATION_ROUNDS = 20
-#: Targets count as contradictory when the largest error of the marginals falls
-#: by less than this share of itself in so many rounds.
-STALL, STALL_ROUNDS = 0.01, 20
+#: Marginals count as settled when none moves by more than this share of the
+#: tolerance in a round; targets they then miss contradict each other.
+SETTLED = 1e-3
+#: Cells that one task can rake by itself (some 100 bytes each).
+FOLD_CELLS = 20_000
+#: Rounds of a job that rakes in one task; it ends early and is started again.
+FOLD_ROUNDS = 2_000
 
 
 def tokens_of(text_column: str) -> Column:
@@ -54,19 +57,32 @@ def _shares(targets: DataFrame, cells: DataFrame, dimension: str) -> DataFrame:
 
 
 def _step(
-    cells: DataFrame, dimension: str, target: DataFrame, factors: Mapping[str, DataFrame]
+    cells: DataFrame,
+    dimension: str,
+    target: DataFrame,
+    factors: Mapping[str, DataFrame],
 ) -> DataFrame:
-    """The factors ``value, factor`` that meet one dimension's targets.
+    """The factors that meet one dimension's targets, and what they had met before.
 
-    Cells keep their tokens; the factors of the other dimensions are joined to
-    them, so a step reads each table once however many came before it.
+    Returns ``value, factor, target, marginal``. Cells keep their tokens; the
+    factors of all dimensions are joined to them, so a step reads each table
+    once however many came before it.
     """
-    weighted = _weigh(cells, {d: f for d, f in factors.items() if d != dimension})
+    others = {d: f for d, f in factors.items() if d != dimension}
+    weighted = _weigh(cells, others)
     sums = weighted.groupBy(F.col(dimension).alias("__value")).agg(F.sum("weight").alias("__sum"))
-    joined = sums.join(target, sums["__value"].eqNullSafe(target["value"]), "left")
+    joined = sums.join(target, sums["__value"].eqNullSafe(target["value"]), "left").drop("value")
+    last = F.lit(None).cast("double")
+    if dimension in factors:
+        old = factors[dimension].select(F.col("value").alias("__same"), F.col("factor").alias("__old"))
+        joined = joined.join(old, joined["__value"].eqNullSafe(old["__same"]), "left")
+        last = F.col("__sum") * F.col("__old")
     factor = F.when(F.col("__sum") > 0, F.col("target") / F.col("__sum"))
     return joined.select(
-        F.col("__value").alias("value"), F.coalesce(factor, F.lit(0.0)).alias("factor")
+        F.col("__value").alias("value"),
+        F.coalesce(factor, F.lit(0.0)).alias("factor"),
+        "target",
+        last.alias("marginal"),
     )
 
 
@@ -74,23 +90,160 @@ def _weigh(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
     """Cells with ``weight``: tokens times the factor of each dimension."""
     columns, weight = cells.columns, F.col("tokens").cast("double")
     for k, (dimension, table) in enumerate(factors.items()):
-        named = table.toDF(f"__value{k}", f"__factor{k}")
+        named = table.select(F.col("value").alias(f"__value{k}"), F.col("factor").alias(f"__factor{k}"))
         on = cells[dimension].eqNullSafe(named[f"__value{k}"])
         cells, weight = cells.join(named, on), weight * F.col(f"__factor{k}")
     return cells.select(*columns, weight.alias("weight"))
 
 
-def _error(
-    cells: DataFrame, factors: Mapping[str, DataFrame], shares: Mapping[str, DataFrame]
-) -> float:
-    """By how much of its target the worst marginal misses it."""
-    weighted, missed = _weigh(cells, factors), []
-    for dimension, target in shares.items():
-        sums = weighted.groupBy(F.col(dimension).alias("__value")).agg(F.sum("weight").alias("__sum"))
-        joined = target.join(sums, target["value"].eqNullSafe(sums["__value"]), "left")
-        share = F.coalesce("__sum", F.lit(0.0)) / F.col("target")
-        missed.append(joined.select(F.abs(share - 1).alias("e")))
-    return reduce(DataFrame.unionByName, missed).agg(F.max("e")).first()[0] or 0.0
+def _rounds(
+    cells: DataFrame, shares: Mapping[str, DataFrame], stages: Stages, tolerance: float
+) -> tuple[dict[str, DataFrame], float]:
+    """Factors of each dimension, by tables that Spark joins, and the largest error."""
+    factors: dict[str, DataFrame] = {}
+    for k in itertools.count():
+        earlier, missed = dict(factors), []
+        for dimension, share in shares.items():
+            step = _step(cells, dimension, share, factors)
+            new = factors[dimension] = stages.write(f"factors_{dimension}_{k}", step)
+            if k:
+                old = earlier[dimension].select(F.col("value").alias("__same"), F.col("marginal").alias("__was"))
+                both = new.join(old, new["value"].eqNullSafe(old["__same"]))
+                both = both.filter("target > 0")
+                now = F.coalesce("marginal", F.lit(0.0))
+                missed.append(
+                    both.select(
+                        F.abs(now / F.col("target") - 1).alias("error"),
+                        F.abs((now - F.coalesce("__was", F.lit(0.0))) / F.col("target")).alias("change"),
+                    )
+                )
+        if k:
+            worst = reduce(DataFrame.unionByName, missed).agg(F.max("error"), F.max("change")).first()
+            error, change = worst[0] or 0.0, worst[1] or 0.0
+            if error <= tolerance or change <= tolerance * SETTLED:
+                return factors, error
+    raise AssertionError
+
+
+def _grouped(cells: DataFrame, shares: Mapping[str, DataFrame]) -> DataFrame:
+    """One row ``dims``: for each dimension its values, with target and cells.
+
+    A cell has its tokens and, in ``at``, the number of its value in each
+    dimension; values are numbered in their order.
+    """
+    numbered = cells.coalesce(1)
+    for k, dimension in enumerate(shares):
+        place = F.dense_rank().over(Window.orderBy(F.col(dimension).asc_nulls_first())) - 1
+        numbered = numbered.withColumn(f"__at{k}", place)
+    at = F.array(*(F.col(f"__at{k}") for k in range(len(shares))))
+    cell = F.struct(F.col("tokens").cast("double").alias("tokens"), at.alias("at"))
+    made = []
+    for k, (dimension, share) in enumerate(shares.items()):
+        joined = numbered.join(share, numbered[dimension].eqNullSafe(share["value"]), "left")
+        values = joined.groupBy(F.col(f"__at{k}").alias("number")).agg(
+            F.coalesce(F.max("target"), F.lit(0.0)).alias("target"), F.collect_list(cell).alias("cells")
+        )
+        listed = F.sort_array(F.collect_list(F.struct("number", "target", "cells")))
+        made.append(values.agg(F.lit(k).alias("k"), listed.alias("values")))
+    rows = reduce(DataFrame.unionByName, made).agg(F.sort_array(F.collect_list(F.struct("k", "values"))).alias("dims"))
+    return rows
+
+
+def _turn(state: Column, dims: Column, number: Column, n_dims: int, tolerance: float) -> Column:
+    """The state after one dimension's factors have been fitted to its targets."""
+    d = number % n_dims
+    values = F.get(dims, d)["values"]
+
+    def weight(cell: Column) -> Column:
+        product = cell["tokens"]
+        for e in range(n_dims):
+            factor = F.get(F.get(state["factors"], F.lit(e)), F.get(cell["at"], F.lit(e)))
+            product = product * F.when(d == e, 1.0).otherwise(factor)
+        return product
+
+    def fitted(sums: Column) -> Column:
+        factors = F.zip_with(
+            values, sums, lambda v, s: F.when(s > 0, v["target"] / s).otherwise(0.0)
+        )
+        marginals = F.zip_with(sums, F.get(state["factors"], d), lambda s, f: s * f)
+        return F.struct(factors.alias("factors"), marginals.alias("marginals"))
+
+    def largest(now: Column, then: Column | None) -> Column:
+        ratios = F.zip_with(
+            values, now, lambda v, m: F.when(v["target"] > 0, m / v["target"]).otherwise(1.0)
+        )
+        if then is None:
+            return F.array_max(F.transform(ratios, lambda r: F.abs(r - 1)))
+        before = F.zip_with(
+            values, then, lambda v, m: F.when(v["target"] > 0, m / v["target"]).otherwise(1.0)
+        )
+        return F.array_max(F.zip_with(ratios, before, lambda r, b: F.abs(r - b)))
+
+    def put(lists: Column, new: Column) -> Column:
+        return F.transform(lists, lambda old, e: F.when(e == d, new).otherwise(old))
+
+    def moved(made: Column) -> Column:
+        begins, now = d == 0, made["marginals"]
+        error = F.greatest(F.when(begins, 0.0).otherwise(state["error"]), largest(now, None))
+        change = F.greatest(
+            F.when(begins, 0.0).otherwise(state["change"]),
+            largest(now, F.get(state["marginals"], d)),
+        )
+        return F.struct(
+            put(state["factors"], made["factors"]).alias("factors"),
+            put(state["marginals"], now).alias("marginals"),
+            error.alias("error"),
+            change.alias("change"),
+            F.lit(False).alias("done"),
+        )
+
+    def judged(new: Column) -> Column:
+        settled = (new["error"] <= tolerance) | (new["change"] <= tolerance * SETTLED)
+        return new.withField("done", (d == n_dims - 1) & settled)
+
+    sums = F.transform(
+        values, lambda v: F.aggregate(v["cells"], F.lit(0.0), lambda total, c: total + weight(c))
+    )
+    # one-element arrays give what is used twice a name
+    made = F.transform(F.array(sums), fitted)
+    next_state = F.get(F.transform(F.transform(made, moved), judged), F.lit(0))
+    return F.when(state["done"], state).otherwise(next_state)
+
+
+def _fold(
+    cells: DataFrame, shares: Mapping[str, DataFrame], stages: Stages, tolerance: float
+) -> tuple[dict[str, DataFrame], float]:
+    """The same for cells few enough for one task: whole runs of rounds in one job."""
+    n_dims = len(shares)
+    dims = stages.write("rake_cells", _grouped(cells, shares))
+
+    def lists(value: float) -> Column:
+        return F.transform("dims", lambda d: F.transform(d["values"], lambda _: F.lit(value)))
+
+    state = F.struct(
+        lists(1.0).alias("factors"),
+        lists(0.0).alias("marginals"),
+        F.lit(0.0).alias("error"),
+        F.lit(0.0).alias("change"),
+        F.lit(False).alias("done"),
+    )
+    rows = dims.withColumn("state", state)
+    turns = F.sequence(F.lit(0), F.lit(FOLD_ROUNDS * n_dims - 1))
+    for k in itertools.count():
+        folded = F.aggregate(
+            turns, F.col("state"), lambda s, i: _turn(s, F.col("dims"), i, n_dims, tolerance)
+        )
+        rows = stages.write(f"raked_{k}", rows.withColumn("state", folded))
+        done = rows.select("state.done", "state.error").first()
+        if done["done"]:
+            break
+    factors = {}
+    for k, dimension in enumerate(shares):
+        found = rows.select(F.posexplode(F.get("state.factors", F.lit(k))).alias("__number", "factor"))
+        place = F.dense_rank().over(Window.orderBy(F.col("value").asc_nulls_first())) - 1
+        values = cells.select(F.col(dimension).alias("value")).distinct().coalesce(1).withColumn("__number", place)
+        factors[dimension] = values.join(found, "__number").select("value", "factor")
+    return stages.write_all({f"factors_{d}": f for d, f in factors.items()}), done["error"]
 
 
 def rake(
@@ -104,56 +257,55 @@ def rake(
     ``cells`` has the dimensions and ``tokens``; ``targets`` has for each
     dimension a table ``value, target``. Values without a target get no
     weight; targets of values that do not occur are left out, the others are
-    scaled to one. A NULL value is a value like any other. Rounds go on, however
-    many it takes, until every marginal is within ``tolerance`` of its target,
-    as a share of it. Targets that contradict each other cannot be met: where
-    the largest error has all but stopped falling, a warning gives it, and the
-    weights are those of the last round.
+    scaled to one. A NULL value is a value like any other.
+
+    Rounds go on until every marginal is within ``tolerance`` of its target, as
+    a share of it. Targets that contradict each other cannot be met: their
+    weights are the ones the rounds settle on, when no marginal moves by more
+    than a thousandth of ``tolerance`` any more, so they follow from the data; the
+    last dimension's targets are then met, and a warning tells by how much
+    others are missed. Up to ``FOLD_CELLS`` cells, many rounds are one job.
     """
     shares = {d: _shares(t, cells, d) for d, t in targets.items()}
     written = stages.write_all({f"target_{d}": share for d, share in shares.items()})
     shares = {d: written[f"target_{d}"] for d in targets}
-    factors: dict[str, DataFrame] = {}
-    errors: list[float] = []
-    while targets:
-        for dimension in targets:
-            step = _step(cells, dimension, shares[dimension], factors)
-            factors[dimension] = stages.write(f"factors_{dimension}_{len(errors)}", step)
-        errors.append(_error(cells, factors, shares))
-        if errors[-1] <= tolerance:
-            break
-        earlier = errors[:-STALL_ROUNDS]
-        if earlier and min(errors) > min(earlier) * (1 - STALL):
-            warnings.warn(
-                f"targets cannot be met: after {len(errors)} rounds a marginal misses its target "
-                f"by {errors[-1]:.2g} of it",
-                stacklevel=2,
-            )
-            break
+    if not shares or cells.isEmpty():
+        return cells.withColumn("weight", F.col("tokens").cast("double"))
+    if cells.count() <= FOLD_CELLS:
+        found, error = _fold(cells, shares, stages, tolerance)
+        factors = {d: found[f"factors_{d}"] for d in shares}
+    else:
+        factors, error = _rounds(cells, shares, stages, tolerance)
+    if error > tolerance:
+        warnings.warn(
+            f"targets cannot be met: a marginal misses its target by {error:.2g} of it", stacklevel=2
+        )
     return _weigh(cells, factors)
 
 
-def calibrate(cells: DataFrame, budget: float) -> DataFrame:
+def calibrate(cells: DataFrame, budget: float, stages: Stages) -> DataFrame:
     """Add ``probability``: the share of a cell's documents to keep.
 
     Proportional to weight over tokens, at most one. What capped cells cannot
     give is made up for by the others, so the expected tokens meet ``budget``
-    or, at the most, all there are.
+    or, at the most, all there are in cells with a weight. Cells are ordered by
+    their ratio; running sums tell for each of them the scale at which it and
+    all below it use up what those above, kept whole, leave of the budget. The
+    highest cell that its own scale does not cap decides.
     """
-    ratio, scale = F.col("weight") / F.col("tokens"), float(budget)
-    for _ in range(CALIBRATION_ROUNDS):
-        capped = ratio * F.lit(scale) >= 1
-        full, share = cells.agg(
-            F.sum(F.when(capped, F.col("tokens")).otherwise(0)),
-            F.sum(F.when(capped, F.lit(0.0)).otherwise(F.col("weight"))),
-        ).first()
-        if not share:
-            break
-        new = (budget - (full or 0)) / share
-        if new <= scale * (1 + 1e-15):
-            break
-        scale = new
-    return cells.withColumn("probability", F.least(F.lit(1.0), ratio * F.lit(scale)))
+    ratio = F.coalesce(F.col("weight") / F.col("tokens"), F.lit(0.0))
+    ordered = write_ordered(
+        cells.withColumn("__ratio", ratio), "__ratio", stages=stages, name="by_ratio"
+    )
+    sums = ordered.running(__below="tokens", __share="weight")
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    scale = (F.lit(float(budget)) - (F.lit(total) - F.col("__below"))) / F.col("__share")
+    free = sums.filter("__share > 0").withColumn("__scale", scale).filter("__ratio * __scale < 1")
+    chosen = free.agg(F.max(F.struct("__ratio", "__below", "__scale"))["__scale"]).first()[0]
+    probability = F.when(ratio > 0, 1.0).otherwise(0.0)
+    if chosen is not None:
+        probability = F.least(F.lit(1.0), F.greatest(F.lit(0.0), ratio * F.lit(chosen)))
+    return cells.withColumn("probability", probability)
 
 
 def mix(
@@ -185,7 +337,7 @@ def mix(
     }
     raked = stages.write("raked", rake(cells, wanted, stages))
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    chosen = stages.write("probabilities", calibrate(raked, keep * total))
+    chosen = stages.write("probabilities", calibrate(raked, keep * total, stages))
     on = [rows[d].eqNullSafe(chosen[d]) for d in own]
     joined = rows.join(chosen.select(*own, F.col("probability").alias("__probability")), on, "left")
     found = F.coalesce(F.col("__probability"), F.lit(0.0))

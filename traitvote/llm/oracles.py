@@ -122,7 +122,7 @@ SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), dep
 """
 
 
-def _mixing(rounds: int = 12, capped_rounds: int = 20) -> str:
+def _mixing() -> str:
     dims = ("source", "lang", "topic")
     ctes = [
         f"""docs AS MATERIALIZED (
@@ -134,46 +134,45 @@ def _mixing(rounds: int = 12, capped_rounds: int = 20) -> str:
     greatest(len(regexp_extract_all(x, {_WORD})), 1) AS n_tokens,
     CAST('0x' || left(md5('mix' || doc_id), 12) AS BIGINT) / CAST(1::BIGINT << 48 AS DOUBLE) AS u
   FROM (SELECT *, coalesce(text, '') AS x FROM documents))""",
-        "cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM docs GROUP BY ALL)",
+        """cells AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY source, lang, topic) AS i
+  FROM (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM docs GROUP BY ALL))""",
     ]
     for d in dims:
-        ctes.append(f"""target_{d} AS MATERIALIZED (
-  SELECT value, sqrt(n) / sum(sqrt(n)) OVER () AS target
+        ctes.append(f"""values_{d} AS MATERIALIZED (
+  SELECT value, row_number() OVER (ORDER BY value) AS v, sqrt(n) / sum(sqrt(n)) OVER () AS target
   FROM (SELECT {d} AS value, sum(tokens) AS n FROM cells GROUP BY 1))""")
-    last: dict[str, str] = {}
-
-    def weigh(names: dict[str, str]) -> tuple[str, str]:
-        joins = "".join(
-            f" JOIN {f} ON {f}.value IS NOT DISTINCT FROM cells.{d}" for d, f in names.items()
-        )
-        return joins, "".join(f" * {f}.factor" for f in names.values())
-
-    for k in range(rounds):
-        for d in dims:
-            joins, product = weigh({o: f for o, f in last.items() if o != d})
-            ctes.append(f"""{d}_{k} AS MATERIALIZED (
-  SELECT s.value, target / total AS factor
-  FROM (SELECT cells.{d} AS value, sum(CAST(tokens AS DOUBLE){product}) AS total
-        FROM cells{joins} GROUP BY 1) s
-  JOIN target_{d} t ON t.value IS NOT DISTINCT FROM s.value)""")
-            last[d] = f"{d}_{k}"
-    joins, product = weigh(last)
-    ctes.append(f"""raked AS MATERIALIZED (
-  SELECT source, lang, topic, tokens, CAST(tokens AS DOUBLE){product} AS weight
-  FROM cells{joins})""")
-    ctes.append("scale_0 AS MATERIALIZED (SELECT 0.5 * sum(tokens) AS budget, 0.5 * sum(tokens) AS c FROM cells)")
-    for k in range(capped_rounds):
-        ctes.append(f"""scale_{k + 1} AS MATERIALIZED (
-  SELECT budget, greatest(c, coalesce(
-    (budget - sum(CASE WHEN weight / tokens * c >= 1 THEN tokens ELSE 0 END))
-    / nullif(sum(CASE WHEN weight / tokens * c >= 1 THEN 0 ELSE weight END), 0), c)) AS c
-  FROM raked, scale_{k} GROUP BY budget, c)""")
+    joins = "".join(f" JOIN values_{d} v{d} ON v{d}.value IS NOT DISTINCT FROM {d}" for d in dims)
+    at = "".join(f", list(v{d}.v ORDER BY i) AS at_{d}" for d in dims)
+    goals = "".join(f", (SELECT list(target ORDER BY v) FROM values_{d}) AS to_{d}" for d in dims)
+    ctes.append(f"""base AS MATERIALIZED (
+  SELECT list(CAST(tokens AS DOUBLE) ORDER BY i) AS w{at}{goals} FROM cells{joins})""")
+    source, errors = "raking CROSS JOIN (SELECT * EXCLUDE (w) FROM base)", []
+    for d in dims:
+        source = f"""(SELECT *, list_transform(range(1, len(to_{d}) + 1), lambda v: list_sum(list_transform(
+      w, lambda x, i: CASE WHEN at_{d}[i] = v THEN x ELSE 0 END))) AS sum_{d} FROM {source})"""
+        source = f"""(SELECT * REPLACE (
+      list_transform(w, lambda x, i: x * to_{d}[at_{d}[i]] / sum_{d}[at_{d}[i]]) AS w) FROM {source})"""
+        errors.append(f"list_max(list_transform(sum_{d}, lambda s, v: abs(s / to_{d}[v] - 1)))")
+    ctes.append(f"""raking(k, error, w) AS (
+  SELECT 0, CAST(1 AS DOUBLE), w FROM base
+  UNION ALL SELECT k + 1, greatest({", ".join(errors)}), w FROM {source} WHERE error > 1e-7)""")
+    ctes.append("""raked AS MATERIALIZED (
+  SELECT source, lang, topic, tokens, w[i] AS weight, w[i] / tokens AS ratio
+  FROM cells, (SELECT arg_max(w, k) AS w FROM raking))""")
+    ctes.append("""scale AS (
+  SELECT arg_max(c, (ratio, below)) AS c FROM (
+    SELECT ratio, below, (0.5 * whole - (whole - below)) / share AS c FROM (
+      SELECT ratio, sum(tokens) OVER () AS whole,
+        sum(tokens) OVER (ORDER BY ratio ROWS UNBOUNDED PRECEDING) AS below,
+        sum(weight) OVER (ORDER BY ratio ROWS UNBOUNDED PRECEDING) AS share FROM raked))
+  WHERE ratio * c < 1)""")
     return f"""
-WITH {", ".join(ctes)}
+WITH RECURSIVE {", ".join(ctes)}
 SELECT doc_id, CAST(n_tokens AS BIGINT) AS n_tokens, round(p, 4) AS probability, u < p AS kept
-FROM (SELECT d.*, least(1.0, weight / tokens * c) AS p
+FROM (SELECT d.*, least(1.0, ratio * coalesce(c, 1e300)) AS p
       FROM docs d JOIN raked r ON r.source IS NOT DISTINCT FROM d.source
-        AND r.lang IS NOT DISTINCT FROM d.lang AND r.topic = d.topic, scale_{capped_rounds})
+        AND r.lang IS NOT DISTINCT FROM d.lang AND r.topic = d.topic, scale)
 """
 
 
