@@ -9,7 +9,8 @@ bit they differ by. Fingerprints that share a variant are verified.
 
 Texts with equal fingerprints are one node. A variant's nodes form a bucket. At
 first every node of a bucket is compared with one of them, drawn by a hash that
-changes from round to round, until that adds no links. Only pairs of nodes that
+changes from round to round, as long as that adds many links: a dense group of
+nodes becomes one component by about one link a node. Only pairs of nodes that
 are still in different components are left then; buckets that hold such are
 joined with themselves, and the join's condition is the verification, so a
 pair that is no link never becomes a row.
@@ -36,6 +37,8 @@ BITS = 64
 CHUNK = 4096
 #: Fingerprints outside a bucket's first component that the others meet at a time.
 PORTION = 4096
+#: A round that adds links for no more than this share of the nodes is the last.
+FEW = 0.02
 FINGERPRINTED = f"{ROW_KEY[0]} bigint, {ROW_KEY[1]} bigint, {ROW_KEY[2]} bigint, fingerprint bigint"
 
 
@@ -118,29 +121,31 @@ def _buckets(labelled: DataFrame, radius: int) -> DataFrame:
 def link(nodes: DataFrame, stages: Stages, radius: int = RADIUS) -> DataFrame:
     """``node, component`` of distinct fingerprints ``node``; see the module.
 
-    The rounds end when one adds no link; as each joins components, that is
-    after few: a dense group of fingerprints is linked through many buckets.
+    When the rounds of drawn nodes end decides only how much is left to the
+    join, which finds every link between different components.
     """
     edges, labels, k = None, None, 0
     labelled = stages.write("nodes_0", _labelled(nodes, labels))
+    few_links = labelled.count() * FEW
 
-    def add(found: DataFrame) -> bool:
-        """Take new links in; tell whether there are any."""
+    def add(found: DataFrame) -> int:
+        """Take new links in; tell how many there are."""
         nonlocal edges, labels, labelled, k
         found = stages.write(f"links_{k}", found.distinct())
         k += 1
-        if found.isEmpty():
-            return False
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges, stages, f"simhash_{k}")
-        labelled = stages.write(f"nodes_{k}", _labelled(nodes, labels))
-        return True
+        n_links = found.count()
+        if n_links:
+            edges = found if edges is None else edges.unionByName(found)
+            labels = components(edges, stages, f"simhash_{k}")
+            labelled = stages.write(f"nodes_{k}", _labelled(nodes, labels))
+        return n_links
 
     while True:
-        drawn = F.min(F.struct(F.xxhash64("node", F.lit(k)), "node")).over(Window.partitionBy("key"))
-        stars = _buckets(labelled, radius).withColumn("u", drawn["node"])
-        near = (F.col("u") != F.col("node")) & (_distance(F.col("u"), F.col("node")) <= radius)
-        if not add(stars.filter(near).select("u", F.col("node").alias("v"))):
+        drawn = F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "component"))
+        drawn = drawn.over(Window.partitionBy("key"))
+        stars = _buckets(labelled, radius).withColumns({"u": drawn["node"], "cu": drawn["component"]})
+        near = (F.col("cu") != F.col("component")) & (_distance(F.col("u"), F.col("node")) <= radius)
+        if add(stars.filter(near).select("u", F.col("node").alias("v"))) <= few_links:
             break
 
     mixed = stages.write("mixed", _buckets(labelled, radius))
