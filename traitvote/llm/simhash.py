@@ -118,6 +118,17 @@ def _buckets(labelled: DataFrame, radius: int) -> DataFrame:
     return ends.filter("__low != __high").drop("__low", "__high")
 
 
+def _verified(rows: DataFrame, few: DataFrame, keys: list[str], radius: int) -> DataFrame:
+    """Links ``u, v`` between ``rows`` and ``few`` with equal keys and other components."""
+    few = few.select(
+        *(F.col(k).alias(f"__{k}") for k in keys), F.col("node").alias("u"), F.col("component").alias("cu")
+    )
+    on = (F.col("cu") != F.col("component")) & (_distance(F.col("u"), F.col("node")) <= radius)
+    for key in keys:
+        on = on & (F.col(key) == F.col(f"__{key}"))
+    return rows.join(few, on).select("u", F.col("node").alias("v"))
+
+
 def link(nodes: DataFrame, stages: Stages, radius: int = RADIUS) -> DataFrame:
     """``node, component`` of distinct fingerprints ``node``; see the module.
 
@@ -148,26 +159,27 @@ def link(nodes: DataFrame, stages: Stages, radius: int = RADIUS) -> DataFrame:
         if add(stars.filter(near).select("u", F.col("node").alias("v"))) <= few_links:
             break
 
-    mixed = stages.write("mixed", _buckets(labelled, radius))
-    sizes = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "component"))["component"].alias("main"),
-        (F.sum("n") - F.max("n")).alias("outside"),
-    )
-    rest = stages.write("rest", mixed.join(largest, "key"))
-    portions = F.ceil(F.col("outside") / PORTION).cast("int")
-    few = rest.filter("component != main").select(
+    # in a bucket, all nodes meet those outside its largest component
+    of_key, of_part = Window.partitionBy("key"), Window.partitionBy("key", "component")
+    rest = _buckets(labelled, radius).withColumn("__n", F.count(F.lit(1)).over(of_part))
+    largest = F.max(F.struct("__n", "component")).over(of_key)
+    rest = rest.withColumns({"__largest": largest, "__all": F.count(F.lit(1)).over(of_key)})
+    rest = rest.select(
         "key",
-        F.pmod(F.xxhash64("node"), portions).cast("int").alias("portion"),
-        F.col("node").alias("u"),
-        F.col("component").alias("cu"),
+        "node",
+        "component",
+        (F.col("component") == F.col("__largest.component")).alias("inside"),
+        (F.col("__all") - F.col("__largest.__n")).alias("outside"),
     )
-    every = F.explode(F.sequence(F.lit(0), portions - 1))
-    all_of = rest.select("key", every.alias("portion"), F.col("node").alias("v"), F.col("component").alias("cv"))
-    new = (F.col("cu") != F.col("cv")) & (_distance(F.col("u"), F.col("v")) <= radius)
-    on = (F.col("key") == F.col("__key")) & (F.col("portion") == F.col("__portion")) & new
-    few = few.withColumnsRenamed({"key": "__key", "portion": "__portion"})
-    add(all_of.join(few, on).select("u", "v"))
+    rest = stages.write("rest", rest)
+    small = F.col("outside") <= PORTION
+    found = _verified(rest.filter(small), rest.filter(small & ~F.col("inside")), ["key"], radius)
+    portions = F.ceil(F.col("outside") / PORTION).cast("int")
+    large = rest.filter(~small)
+    every = large.withColumn("portion", F.explode(F.sequence(F.lit(0), portions - 1)))
+    own = F.pmod(F.xxhash64("node"), portions).cast("int")
+    few = large.filter(~F.col("inside")).withColumn("portion", own)
+    add(found.unionByName(_verified(every, few, ["key", "portion"], radius)))
     return labelled
 
 
