@@ -1,6 +1,6 @@
 """DataFrame operators; each takes and returns DataFrames and runs no job."""
 
-from .checks import assert_ok, check_all, check_parent, check_rank_assigned
+from .checks import assert_ok, check_all, check_parent, check_rank_assigned, row_metrics
 from .clean import (
     as_attributions,
     clean_attributions,
@@ -24,13 +24,24 @@ from .counts import (
     at_rank,
     count_attributions,
     family_obs,
+    family_votes,
     genus_obs,
+    genus_votes,
     merge_counts,
+    roll_up,
     stack_counts,
 )
-from .homonyms import flag_homonyms, homonym_pairs, homonym_review, homonym_summary
+from .coverage import count_species, merge_bitmaps, number_species, species_bitmaps
+from .homonyms import (
+    flag_homonyms,
+    homonym_names,
+    homonym_pairs,
+    homonym_review,
+    homonym_summary,
+)
 from .impute import (
     impute,
+    impute_keyed,
     impute_synonyms,
     label_synonyms,
     relabel_synonyms,
@@ -69,30 +80,40 @@ __all__ = [
     "consensus",
     "correct_names",
     "count_attributions",
+    "count_species",
     "drop_unplaced",
     "drop_useless",
     "epithet",
     "exclude_groups",
     "exclude_taxa",
     "family_obs",
+    "family_votes",
     "fix_names",
     "flag_homonyms",
     "genus_obs",
+    "genus_votes",
     "group_confidence",
+    "homonym_names",
     "homonym_pairs",
     "homonym_review",
     "homonym_summary",
     "impute",
+    "impute_keyed",
     "impute_synonyms",
     "inspect_page",
     "label_synonyms",
     "listed_species",
+    "merge_bitmaps",
     "merge_counts",
     "name_changes",
+    "number_species",
     "one_name_per_synonym",
     "rank_of",
     "relabel_synonyms",
     "resolve_synonyms",
+    "roll_up",
+    "row_metrics",
+    "species_bitmaps",
     "species_confidence",
     "stack_counts",
     "standardize",

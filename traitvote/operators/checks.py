@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import GENUS, SPECIES
-from .clean import with_rank
-from .homonyms import homonym_pairs
+from .clean import rank_of, with_rank
+from .homonyms import homonym_names
 
 
 def check_rank_assigned(df: DataFrame) -> DataFrame:
@@ -17,10 +17,23 @@ def check_rank_assigned(df: DataFrame) -> DataFrame:
     return with_rank(df).agg((missing == 0).alias("applies_to_rank_not_null"))
 
 
+def row_metrics() -> dict[str, Column]:
+    """What is to be observed of counted rows while they are written.
+
+    ``rows`` and the ``records`` they stand for, and ``unplaced``: rows that name
+    no taxon, of which there should be none.
+    """
+    return {
+        "rows": F.count(F.lit(1)),
+        "records": F.coalesce(F.sum("n"), F.lit(0)),
+        "unplaced": F.count_if(rank_of().isNull()),
+    }
+
+
 def check_parent(df: DataFrame, child: str, parent: str = "family") -> DataFrame:
     """True if some ``child`` has more than one ``parent`` (it should not)."""
-    pairs = homonym_pairs(df, child, parent)
-    return pairs.agg((F.count(F.lit(1)) > 0).alias(f"has_homonym_{child}"))
+    names = homonym_names(df, child, parent)
+    return names.agg((F.count(F.lit(1)) > 0).alias(f"has_homonym_{child}"))
 
 
 def check_all(df: DataFrame) -> DataFrame:

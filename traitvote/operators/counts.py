@@ -139,3 +139,75 @@ def family_obs(counts: DataFrame, double_count: bool = True) -> DataFrame:
         .agg(F.sum(votes).alias("obs"), F.bit_or(tags).alias("__tags"))
         .select(FAMILY, "gf", _in_ranks(F.col("__tags")), "obs")
     )
+
+
+def roll_up(counts: DataFrame, double_count: bool = True) -> DataFrame:
+    """The votes of genera and families from one pass over the counts of all ranks.
+
+    Every row is expanded to the keys it votes under, which are summed before
+    and after one shuffle: (family, genus, label), (genus, label) over all
+    families, (family, label). ``genus_votes`` and ``family_votes`` read the
+    result, which is short; write it to have it computed once.
+    """
+    of_species, has_genus = F.col(SPECIES).isNotNull(), F.col(GENUS).isNotNull()
+    twice = of_species & has_genus & F.lit(double_count)
+    in_genus = F.when(of_species, _rank_bit(SPECIES)).otherwise(_rank_bit(GENUS))
+    in_family = (
+        F.when(twice, _rank_bit(SPECIES).bitwiseOR(_rank_bit(GENUS)))
+        .when(of_species, _rank_bit(SPECIES))
+        .when(has_genus, _rank_bit(GENUS))
+        .otherwise(_rank_bit(FAMILY))
+    )
+    # hashes, as a hash aggregate keeps numbers but no texts
+    parents = {f"__parent{k}": F.xxhash64(F.lit(k), FAMILY) for k in range(2)}
+    rows = counts.filter(F.col(FAMILY).isNotNull()).select(
+        *keys_of(GENUS),
+        "gf",
+        "obs",
+        (F.col("obs") * F.when(twice, 2).otherwise(1)).alias("votes"),
+        in_genus.alias("in_genus"),
+        in_family.alias("in_family"),
+        *(column.alias(name) for name, column in parents.items()),
+    )
+    several = reduce(lambda a, b: a | b, (F.min(p) != F.max(p) for p in parents))
+    family, genus, gf = F.col(FAMILY), F.col(GENUS), F.col("gf")
+    return (
+        rows.groupingSets([[family, genus, gf], [genus, gf], [family, gf]], family, genus, gf)
+        .agg(
+            F.grouping_id().alias("level"),
+            F.sum("obs").alias("obs"),
+            F.sum("votes").alias("votes"),
+            F.bit_or("in_genus").alias("in_genus"),
+            F.bit_or("in_family").alias("in_family"),
+            several.alias("several"),
+        )
+        .filter((F.col("level") == _FAMILY_LEVEL) | F.col(GENUS).isNotNull())
+        .filter((F.col("level") != _ANY_LEVEL) | F.col("several"))
+        .drop("several")
+    )
+
+
+#: Bits of the names that a level of the roll-up leaves out: label, genus, family.
+_GENUS_LEVEL, _FAMILY_LEVEL, _ANY_LEVEL = 0b000, 0b010, 0b100
+
+
+def genus_votes(rolled: DataFrame) -> DataFrame:
+    """What :func:`genus_obs` gives, from a roll-up.
+
+    Only genera with several families, which are few, need a second look at
+    the ranks seen in all of them.
+    """
+    own = rolled.filter(F.col("level") == _GENUS_LEVEL).drop("level")
+    other = rolled.filter(F.col("level") == _ANY_LEVEL).select(
+        F.col(GENUS).alias("__genus"), F.col("gf").alias("__gf"), F.col("in_genus").alias("__tags")
+    )
+    same = (F.col(GENUS) == F.col("__genus")) & F.col("gf").eqNullSafe(F.col("__gf"))
+    joined = own.join(other, same, "left")
+    tags = F.coalesce("__tags", "in_genus")
+    return joined.select(FAMILY, GENUS, "gf", _in_ranks(tags), "obs")
+
+
+def family_votes(rolled: DataFrame) -> DataFrame:
+    """What :func:`family_obs` gives, from a roll-up."""
+    own = rolled.filter(F.col("level") == _FAMILY_LEVEL)
+    return own.select(FAMILY, "gf", _in_ranks(F.col("in_family")), F.col("votes").alias("obs"))

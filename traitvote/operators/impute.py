@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import FAMILY, GENUS, METHODS, RANKS, SPECIES
 from ..functions import first_word
+from ..sources import Keyed
 from .names import ACCEPTED, ORIGINAL
 from .synonyms import one_name_per_synonym
 
@@ -74,6 +76,26 @@ def impute(
     return joined.select(*rows.columns, *(found[c].alias(c) for c in LABEL_COLUMNS))
 
 
+def impute_keyed(
+    species_list: Keyed,
+    species: DataFrame,
+    genus: DataFrame | None = None,
+    family: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`impute` for a list so long that it should be shuffled only once.
+
+    ``species_list`` is keyed by ``species``, and ``species`` is a consensus in as many
+    buckets (``Stages.write_bucketed``), so the two are joined where they lie,
+    list after list. Rows of hot species meet a table of just these.
+    """
+    hot = species.join(species_list.hot, species[SPECIES] == F.col("__hot"), "left_semi")
+    parts = (
+        impute(rows, known, genus, family)
+        for rows, known in ((species_list.rows, species), (species_list.apart, hot))
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def resolve_synonyms(
     df: DataFrame, synonyms: DataFrame, write: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:

@@ -22,10 +22,10 @@ from ..operators import (
     drop_useless,
     exclude_groups,
     exclude_taxa,
-    family_obs,
+    family_votes,
     fix_names,
     flag_homonyms,
-    genus_obs,
+    genus_votes,
     group_confidence,
     homonym_pairs,
     homonym_review,
@@ -33,6 +33,8 @@ from ..operators import (
     label_synonyms,
     merge_counts,
     relabel_synonyms,
+    roll_up,
+    row_metrics,
     species_confidence,
     synonym_table,
     with_notes,
@@ -79,10 +81,15 @@ class Source:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Sources ready for the vote: counted rows by name, and changed names."""
+    """Sources ready for the vote: counted rows by name, and changed names.
+
+    ``observed`` has what ``row_metrics`` found of each source's counted rows
+    while they were written.
+    """
 
     rows: dict[str, DataFrame]
     synonyms: DataFrame | None
+    observed: dict[str, dict[str, object]]
 
 
 @dataclass(frozen=True)
@@ -112,9 +119,12 @@ def counted_rows(source: Source, stages: Stages | None = None) -> DataFrame:
     return fix_names(with_original_names(rows), source.fixes, write)
 
 
-def flagged_homonyms(source: Source, rows: DataFrame) -> DataFrame:
+def flagged_homonyms(
+    source: Source, rows: DataFrame, stages: Stages | None = None
+) -> DataFrame:
     """The genera with several families among the rows, flags beside them."""
-    return flag_homonyms(homonym_pairs(rows, GENUS), source.flags)
+    write = stages.keep("homonym_names") if stages else None
+    return flag_homonyms(homonym_pairs(rows, GENUS, write=write), source.flags)
 
 
 def review_names(source: Source, rows: DataFrame, flagged: DataFrame) -> DataFrame:
@@ -161,11 +171,12 @@ def prepare(sources: Mapping[str, Source], stages: Stages) -> Prepared:
     ``verbatim_vocab(prepared.rows[name])``.
     """
     rows = stages.write_all(
-        {f"{name}_rows": counted_rows(s, stages) for name, s in sources.items()}
+        {f"{name}_rows": counted_rows(s, stages) for name, s in sources.items()}, row_metrics()
     )
+    observed = {name: stages.observed[f"{name}_rows"] for name in sources}
     reviewed = {name: s for name, s in sources.items() if s.has_review}
     homonyms = stages.write_all(
-        {f"{n}_homonyms": flagged_homonyms(s, rows[f"{n}_rows"]) for n, s in reviewed.items()}
+        {f"{n}_homonyms": flagged_homonyms(s, rows[f"{n}_rows"], stages) for n, s in reviewed.items()}
     )
     reviews = stages.write_all(
         {
@@ -182,7 +193,7 @@ def prepare(sources: Mapping[str, Source], stages: Stages) -> Prepared:
     for name, written in stages.write_all(changed).items():
         labelled[name.removesuffix("_labelled")] = written
     corrected = [labelled[name] for name, source in sources.items() if source.is_corrected]
-    return Prepared(labelled, synonym_table(*corrected) if corrected else None)
+    return Prepared(labelled, synonym_table(*corrected) if corrected else None, observed)
 
 
 def vote(
@@ -211,9 +222,10 @@ def vote(
     tables = stages.write_all(tables)
     counts, synonyms = tables["counts"], tables.get("synonyms")
 
+    rolled = stages.write("rolled", roll_up(counts, double_count))
     species = with_notes(consensus(counts, SPECIES, priority))
-    genus = with_notes(consensus(genus_obs(counts), GENUS, priority))
-    family = with_notes(consensus(family_obs(counts, double_count), FAMILY, priority))
+    genus = with_notes(consensus(genus_votes(rolled), GENUS, priority))
+    family = with_notes(consensus(family_votes(rolled), FAMILY, priority))
 
     if overrides is not None:
         family = apply_overrides(family, overrides)

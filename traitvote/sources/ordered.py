@@ -69,6 +69,7 @@ def write_ordered(df: DataFrame, *order: Column | str, stages: Stages, name: str
     The rows are written before they are sorted, so that what deals them out
     sees the same rows each time. Many rows with equal keys still spread.
     """
+    name = stages.fresh(name)
     tied = stages.write(f"{name}_unordered", df).withColumn("__tie", F.monotonically_increasing_id())
     dealt = tied.repartitionByRange(*order, "__tie").sortWithinPartitions(*order, "__tie").drop("__tie")
     own = F.monotonically_increasing_id()

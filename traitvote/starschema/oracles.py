@@ -405,6 +405,14 @@ _PLAIN_QUERIES = {
     c_mktsegment AS authorship_contact, o_orderstatus AS citation_bibtex,
     c_mktsegment AS project_pi, CAST(id % 2 AS SMALLINT) AS is_individual_trait,
     CAST(1 - id % 2 AS SMALLINT) AS is_species_trait
+  FROM trait_rows""",
+    "scan_traits_by_name": """
+  SELECT id, family AS scrubbed_family, genus AS scrubbed_genus,
+    species AS scrubbed_species_binomial, 'whole plant growth form' AS trait_name,
+    label AS trait_value, country, state_province, c_name AS authorship,
+    c_mktsegment AS authorship_contact, o_orderstatus AS citation_bibtex,
+    c_mktsegment AS project_pi, CAST(id % 2 AS SMALLINT) AS is_individual_trait,
+    CAST(1 - id % 2 AS SMALLINT) AS is_species_trait
   FROM trait_rows""",
     "scan_observations": """
   SELECT id AS taxonobservation_id, observation_type, datasource, family AS scrubbed_family,
@@ -507,6 +515,31 @@ _PLAIN_QUERIES = {
     ELSE 'family' END, ',' ORDER BY CASE WHEN species IS NOT NULL THEN 'species'
     WHEN genus IS NOT NULL THEN 'genus' ELSE 'family' END) AS inferred_from_ranks
   FROM std WHERE family IS NOT NULL GROUP BY family, gf""",
+    "row_metrics": f"""
+  SELECT source, count(*) AS rows, CAST(sum(n) AS BIGINT) AS records, CAST(0 AS BIGINT) AS unplaced
+  FROM (SELECT 'traits' AS source, family, genus, species, {_CLEAN} AS label, count(*) AS n
+        FROM traits WHERE coalesce(family, genus, species) IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT 'observations', family, genus, species, trim(lower(label)), count(*)
+        FROM observations WHERE coalesce(family, genus, species) IS NOT NULL GROUP BY ALL)
+  GROUP BY source""",
+    "homonym_genera_by_names": _pairs("genus", "sparse"),
+    "import_vocab": """
+  SELECT DISTINCT label AS gf_verbatim, 'tree' AS gf, CAST(1 AS SMALLINT) AS is_woody,
+    'terrestrial' AS substrate, CAST(NULL AS VARCHAR) AS other, CAST(0 AS SMALLINT) AS is_useless
+  FROM clean WHERE length(label) % 3 <> 0""",
+    "import_vocab_refused": """
+  SELECT CASE WHEN length(label) % 3 = 0 THEN 'conflict' ELSE 'malformed' END AS reason,
+    label AS start, CAST(CASE WHEN length(label) % 3 = 0 THEN 3 ELSE 1 END AS BIGINT) AS n
+  FROM (SELECT DISTINCT label FROM clean)
+  UNION ALL SELECT 'no key', '', count(DISTINCT label) FROM clean""",
+    "genus_votes": "SELECT * FROM genus_obs",
+    "family_votes_counted_once": """
+  SELECT family, gf, count(*) AS obs, string_agg(DISTINCT CASE
+    WHEN species IS NOT NULL THEN 'species' WHEN genus IS NOT NULL THEN 'genus'
+    ELSE 'family' END, ',' ORDER BY CASE WHEN species IS NOT NULL THEN 'species'
+    WHEN genus IS NOT NULL THEN 'genus' ELSE 'family' END) AS inferred_from_ranks
+  FROM std WHERE family IS NOT NULL GROUP BY family, gf""",
+    "family_votes": "SELECT * FROM family_obs",
     "label_priority": "SELECT DISTINCT gf, gf_size FROM family_obs",
     "all_labels": """
   SELECT species, string_agg(gf, ',' ORDER BY gf) AS gf_all FROM species_obs GROUP BY species""",
@@ -534,6 +567,26 @@ _PLAIN_QUERIES = {
   SELECT l.*, s.gf_cons AS gf, s.gf_conf, s.gf_conf_flag,
     CASE WHEN s.species IS NOT NULL THEN 'direct from species' END AS gf_method
   FROM user_list l LEFT JOIN species_scored s ON s.species = l.species""",
+    "inspect_deep_page": """
+  SELECT * FROM observations WHERE label IS NOT NULL
+  ORDER BY split_part(species, ' ', 2) NULLS FIRST, species NULLS FIRST, id, label LIMIT 25 OFFSET 4900""",
+    "merged_coverage": """
+  SELECT rank, taxon, spp, coalesce(spp_gf, 0) AS spp_gf
+  FROM (SELECT 'genus' AS rank, genus AS taxon, count(DISTINCT species) AS spp
+        FROM taxon WHERE taxon_rank = 'species' AND (taxon_id % 3 != 0 OR taxon_id % 2 = 0 OR taxon_id % 3 = 0)
+        GROUP BY genus
+        UNION ALL SELECT 'family', family, count(DISTINCT species)
+        FROM taxon WHERE taxon_rank = 'species' GROUP BY family) l
+  LEFT JOIN (
+    SELECT 'genus' AS rank, genus AS taxon, count(DISTINCT species) AS spp_gf
+    FROM species_vote WHERE gf_cons IS NOT NULL GROUP BY genus
+    UNION ALL SELECT 'family', family, count(DISTINCT species)
+    FROM species_vote WHERE gf_cons IS NOT NULL GROUP BY family) a USING (rank, taxon)""",
+    "impute_keyed": _label(
+        """(SELECT * FROM user_list
+    UNION ALL SELECT * REPLACE (NULL AS species, NULL AS genus) FROM user_list WHERE taxon_id % 10 = 0
+    UNION ALL SELECT k, family, species, genus FROM user_list, range(-50, 0) t(k) WHERE taxon_id = 1)"""
+    ),
     "impute_cascade": _label("user_list"),
     "resolve_synonyms": """
   SELECT l.*, n.name_updated, n.acc_family, n.acc_genus, n.acc_species
@@ -544,6 +597,7 @@ _PLAIN_QUERIES = {
 
 _CURATED_QUERIES = {
     "build_and_label": _SYNONYM_LABELS,
+    "build_resumed": _SYNONYM_LABELS,
     "build_genus": "SELECT * FROM genus_scored",
     "build_family": "SELECT * FROM family_scored",
     "build_species": "SELECT * FROM species_scored",

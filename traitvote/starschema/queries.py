@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,14 +11,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import operators as op
 from ..constants import FAMILY, GENUS, RANKS, SPECIES
 from ..functions import confidence_flag, coverage_penalty, coverage_ratio, low_n_penalty
-from ..plans import Consensus, Source, build, counted_rows, label_list, labelled_rows, votes_of
+from ..plans import (
+    Consensus,
+    Source,
+    build,
+    counted_rows,
+    label_list,
+    labelled_rows,
+    prepare,
+    votes_of,
+)
 from ..sources import (
+    ResumableStages,
     Stages,
+    import_vocab,
     read_curated,
+    read_traits,
     read_vocab,
     scan_observations,
     scan_traits,
+    write_keyed,
     write_list,
+    write_traits,
     write_vocab,
 )
 from . import adapter
@@ -113,6 +128,14 @@ def q_scan_traits(spark, sf_dir):
     return scan_traits(Stages(spark).write("traits", adapter.trait_records(spark, sf_dir)))
 
 
+@query
+def q_scan_traits_by_name(spark, sf_dir):
+    """The same from a source with a folder for each trait."""
+    path = f"{Stages(spark).path}/traits"
+    write_traits(adapter.trait_records(spark, sf_dir), path)
+    return read_traits(spark, path)
+
+
 @query
 def q_scan_observations(spark, sf_dir):
     return scan_observations(adapter.observation_records(spark, sf_dir))
@@ -190,6 +213,25 @@ def q_checks(spark, sf_dir):
     return op.check_all(Stages(spark).write("rows", counted))
 
 
+@query
+def q_row_metrics(spark, sf_dir):
+    """What the jobs that make the counted rows of both sources find on their way."""
+    prepared = prepare(_sources(spark, sf_dir), Stages(spark))
+    found = [
+        (name, metrics["rows"], metrics["records"], metrics["unplaced"])
+        for name, metrics in prepared.observed.items()
+    ]
+    columns = "source string, rows bigint, records bigint, unplaced bigint"
+    return spark.createDataFrame(found, columns)
+
+
+@query
+def q_homonym_genera_by_names(spark, sf_dir):
+    """The names are found first, then only their pairs."""
+    rows = adapter.sparse_traits(spark, sf_dir)
+    return op.homonym_pairs(rows, GENUS, write=Stages(spark).keep("names"))
+
+
 @query
 def q_homonym_species(spark, sf_dir):
     return op.homonym_pairs(adapter.traits(spark, sf_dir), SPECIES)
@@ -286,6 +328,46 @@ def q_vocab_roundtrip(spark, sf_dir):
     return read_vocab(spark, path)
 
 
+def edited_vocab(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A vocabulary as CSV lines some of which are wrong, and where it is.
+
+    Each label has a good line twice. Of every third label there is also a line
+    with another meaning, of the others one with a word for a number, and one
+    without a label.
+    """
+    labels = _clean_traits(spark, sf_dir).select("label").distinct()
+    quoted = 'concat(\'"\', label, \'"\')'
+    good = f"concat({quoted}, ',tree,1,terrestrial,,0')"
+    other = (
+        f"CASE WHEN length(label) % 3 = 0 THEN concat({quoted}, ',herb,0,,,0')"
+        f" ELSE concat({quoted}, ',tree,many,,,0') END"
+    )
+    nameless = "concat(',', 'shrub,1,', label, ',,0')"
+    lines = labels.selectExpr(f"explode(array({good}, {good}, {other}, {nameless})) AS value")
+    path = f"{Stages(spark).path}/edited"
+    header = ",".join(adapter.VOCABULARY.names)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    headed = F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value"))
+    lines.repartition(2).select(headed.alias("value")).write.text(path)  # each part has a header
+    return labels, path
+
+
+@query
+def q_import_vocab(spark, sf_dir):
+    """The usable lines of a vocabulary with wrong ones."""
+    _, path = edited_vocab(spark, sf_dir)
+    return import_vocab(spark, path, Stages(spark)).rows
+
+
+@query
+def q_import_vocab_refused(spark, sf_dir):
+    """How many lines of it are refused, by reason and start of the line."""
+    _, path = edited_vocab(spark, sf_dir)
+    refused = import_vocab(spark, path, Stages(spark)).refused
+    start = F.regexp_replace(F.substring_index("line", ",", 1), '"', "").alias("start")
+    return refused.groupBy("reason", start).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def q_list_roundtrip(spark, sf_dir):
     """A labelled list through its file."""
@@ -350,6 +432,24 @@ def q_family_obs_counted_once(spark, sf_dir):
     return op.family_obs(_counts(spark, sf_dir), double_count=False)
 
 
+@query
+def q_genus_votes(spark, sf_dir):
+    rolled = Stages(spark).write("rolled", op.roll_up(_counts(spark, sf_dir)))
+    return op.with_priority(op.genus_votes(rolled))
+
+
+@query
+def q_family_votes(spark, sf_dir):
+    rolled = Stages(spark).write("rolled", op.roll_up(_counts(spark, sf_dir)))
+    return op.with_priority(op.family_votes(rolled))
+
+
+@query
+def q_family_votes_counted_once(spark, sf_dir):
+    rolled = op.roll_up(_counts(spark, sf_dir), double_count=False)
+    return op.family_votes(Stages(spark).write("rolled", rolled))
+
+
 # --- Vote ------------------------------------------------------------------------
 
 
@@ -414,6 +514,26 @@ def q_species_coverage_family(spark, sf_dir):
     return op.with_coverage(families, FAMILY, species, adapter.taxon(spark, sf_dir))
 
 
+@query
+def q_merged_coverage(spark, sf_dir):
+    """Listed and assessed species of each genus and family, from bitmaps.
+
+    The taxon table comes in two batches that overlap; the second one's new
+    species are numbered after the first one's, whose bitmaps stay as they are.
+    """
+    stages, taxon = Stages(spark), adapter.taxon(spark, sf_dir)
+    listed = taxon.filter(F.col("taxon_rank") == SPECIES).select(*RANKS, "taxon_id")
+    earlier, later = listed.filter("taxon_id % 3 != 0"), listed.filter("taxon_id % 2 = 0 OR taxon_id % 3 = 0")
+    numbers = op.number_species(earlier, stages)
+    first = stages.write("first", op.species_bitmaps(earlier, numbers))
+    numbers = op.number_species(later, stages, numbers)
+    second = stages.write("second", op.species_bitmaps(later, numbers))
+    assessed = op.consensus(_counts(spark, sf_dir), SPECIES).filter("gf_cons IS NOT NULL")
+    spp = op.count_species(op.merge_bitmaps(first, second))
+    spp_gf = op.count_species(op.species_bitmaps(assessed, numbers), "spp_gf")
+    return spp.join(spp_gf, ["rank", "taxon"], "left").fillna(0, ["spp_gf"])
+
+
 @query
 def q_penalty_coverage(spark, sf_dir):
     spp, spp_gf = F.col("spp"), F.col("spp_gf")
@@ -464,6 +584,15 @@ def q_inspect_page(spark, sf_dir):
     return op.inspect_page(scored, op.epithet(), "species", limit=25, offset=30)
 
 
+@query
+def q_inspect_deep_page(spark, sf_dir):
+    """A page far down the observations, read from the partition that holds it."""
+    rows = adapter.observations(spark, sf_dir)
+    return op.inspect_page(
+        rows, op.epithet(), "species", "id", "label", limit=25, offset=4900, stages=Stages(spark)
+    )
+
+
 # --- Imputation ----------------------------------------------------------------------
 
 
@@ -478,6 +607,25 @@ def q_impute_cascade(spark, sf_dir):
     return label_list(adapter.species_list(spark, sf_dir), _built(spark, sf_dir))
 
 
+def keyed_tables(spark: SparkSession, sf_dir: str, built: Consensus, buckets: int = 8):
+    """A list with hot species and the species consensus, dealt to equal buckets."""
+    stages = Stages(spark)
+    listed = adapter.species_list(spark, sf_dir)
+    nameless = listed.filter("taxon_id % 10 = 0").withColumn(SPECIES, F.lit(None).cast("string"))
+    again = listed.filter("taxon_id = 1").withColumn("taxon_id", F.explode(F.sequence(F.lit(-50), F.lit(-1))))
+    given = listed.unionByName(nameless).unionByName(again.withColumn("taxon_id", F.col("taxon_id").cast("bigint")))
+    keyed = write_keyed(given, SPECIES, buckets, stages, "list", hot_rows=20)
+    return keyed, stages.write_bucketed("species_by_name", built.species, SPECIES, buckets)
+
+
+@query
+def q_impute_keyed(spark, sf_dir):
+    """The cascade for a list that is joined where it lies."""
+    built = _built(spark, sf_dir)
+    keyed, species = keyed_tables(spark, sf_dir, built)
+    return op.impute_keyed(keyed, species, built.genus, built.family)
+
+
 def _written_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Stages(spark).write("synonyms", q_synonyms(spark, sf_dir))
 
@@ -520,13 +668,15 @@ def corrected_sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
     }
 
 
-def corrected_build(spark: SparkSession, sf_dir: str) -> Consensus:
+def corrected_build(
+    spark: SparkSession, sf_dir: str, stages: Stages | None = None
+) -> Consensus:
     """The whole build with every kind of curation."""
     excluded = adapter.group_exclusions(spark)
     return build(
         corrected_sources(spark, sf_dir),
         adapter.taxon(spark, sf_dir),
-        Stages(spark),
+        stages or Stages(spark),
         overrides=adapter.overrides(spark),
         exclusions={SPECIES: excluded, GENUS: excluded.filter("family != 'ASIA'")},
     )
@@ -538,6 +688,17 @@ def q_build_and_label(spark, sf_dir):
     return label_list(rows, corrected_build(spark, sf_dir), correct_synonyms=True)
 
 
+@query
+def q_build_resumed(spark, sf_dir):
+    """The same by a run that ended after its preparation and was started again."""
+    run = uuid.uuid4().hex
+    root = Stages(spark).path
+    prepare(corrected_sources(spark, sf_dir), ResumableStages(spark, run, root))
+    built = corrected_build(spark, sf_dir, ResumableStages(spark, run, root))
+    rows = adapter.species_list_with_old_names(spark, sf_dir)
+    return label_list(rows, built, correct_synonyms=True)
+
+
 @query
 def q_build_genus(spark, sf_dir):
     return corrected_build(spark, sf_dir).genus
