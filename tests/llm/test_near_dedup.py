@@ -63,9 +63,8 @@ def test_planted_copies_against_brute_force(docs, stages):
     assert got == brute_force(texts)
 
 
-def test_many_mixed_buckets_are_divided(docs, stages, monkeypatch):
+def test_many_mixed_buckets(docs, stages, monkeypatch):
     monkeypatch.setattr(near_dedup, "OUTSIDE", 2)
-    monkeypatch.setattr(near_dedup, "DIVIDE", 4)
     rng, texts = random.Random(5), {}
     shared = [f"s{k}" for k in range(60)]
     for i in range(120):  # half of each text is shared: many candidates, few links
@@ -74,6 +73,44 @@ def test_many_mixed_buckets_are_divided(docs, stages, monkeypatch):
     assert found(near_dedup.near_duplicates(docs(*texts.items()), stages)) == brute_force(texts)
 
 
+def test_a_bucket_of_thousands_loses_no_link(docs, stages, monkeypatch):
+    """Classes that share one band only are compared, however many are in it."""
+    band_keys = near_dedup.band_keys
+
+    def one_band(least):  # all texts meet in the first band and nowhere else
+        keys = band_keys(least)
+        keys[1:] ^= least[1:43].view("int64")
+        keys[0] = 7
+        return keys
+
+    monkeypatch.setattr(near_dedup, "band_keys", one_band)
+    rng, texts = random.Random(8), {}
+    for i in range(2_050):
+        words = [f"g{i // 2}_{k}" for k in range(40)]
+        if i % 2:  # a pair has 30 or 31 of 42 shingles in common: near the threshold
+            words = words[rng.choice([5, 6]) :] + [f"n{i}"]
+        texts[i] = " ".join(words)
+    assert found(near_dedup.near_duplicates(docs(*texts.items()), stages)) == brute_force(texts)
+
+
+def test_a_group_of_near_copies_takes_few_pairs(docs, stages, monkeypatch):
+    pairs, compare = [], near_dedup._Search.compare
+
+    def counted(self, rows):
+        pairs.append(rows.count())
+        return compare(self, rows)
+
+    monkeypatch.setattr(near_dedup._Search, "compare", counted)
+    rng, texts = random.Random(9), {}
+    words = [f"w{k}" for k in range(120)]
+    for i in range(300):
+        edited = list(words)
+        edited[rng.randrange(120)] = f"e{i}"
+        texts[i] = " ".join(edited)
+    assert found(near_dedup.near_duplicates(docs(*texts.items()), stages)) == brute_force(texts)
+    assert sum(pairs) < 2 * len(texts)
+
+
 def test_near_dedup_hard_cases(hard, nothing, stages):
     result = near_dedup.near_duplicates(hard((9, "NO id\tat all"), (10, "ONE")), stages)
     rows = [(r[ROW_KEY[0]], r.n_shingles, r.component_id, r.kept) for r in result.collect()]

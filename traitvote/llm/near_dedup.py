@@ -3,12 +3,14 @@
 One pass over the texts makes a key of each text's words, a MinHash signature
 and its band keys. Texts with equal words are one class from there on. Classes
 that share a band are candidates; a bucket's classes are compared with the
-bucket's first class only. Where a bucket then still spans several components,
-the classes outside its largest one are compared with all others; most of these
-pairs are ruled out by what either shares with the bucket's first class. Signatures are compared batch by batch:
-after each batch a pair is given up if the posterior chance that its similarity
-reaches the threshold is below the chosen miss probability. Survivors are
-verified on the whole shingle sets.
+bucket's first class only, each class with one of these at a time, as long as
+that links many: a group of near copies becomes one component by about one pair
+a class. Where a bucket then still spans several components, the classes outside
+its largest one are compared with all others; most of these pairs are ruled out
+by what either shares with the bucket's first class. Signatures are compared
+batch by batch: after each batch a pair is given up if the posterior chance that
+its similarity reaches the threshold is below the chosen miss probability.
+Survivors are verified on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -30,10 +32,10 @@ BANDS, ROWS = 43, 5
 #: Chance of giving up a pair that reaches the threshold, for each batch.
 MISS = 1e-6
 #: Classes outside a bucket's largest component that are compared at a time with
-#: the others. A bucket with very many is divided by a second band first.
+#: the others.
 OUTSIDE = 200
-DIVIDE = 2000
-MAX_DEPTH = 2
+#: Classes meet one leader at a time until fewer than this share of them is linked.
+FRUITFUL = 0.3
 #: Classes whose rows are looked up by broadcast (some 50 bytes each); beyond
 #: that the texts are shuffled.
 BROADCAST_CLASSES = 300_000
@@ -301,13 +303,13 @@ class _Search:
         self._count += 1
         return self.stages.write(f"{name}_{self._count}", df)
 
-    def compare(self, pairs: DataFrame) -> None:
-        """Add the links among pairs ``u < v`` of classes."""
+    def compare(self, pairs: DataFrame) -> int:
+        """Add the links among pairs ``u < v`` of classes; tell how many there are."""
         signatures = self.classes.select("node", "signature")
         both = pairs.join(signatures.withColumnRenamed("node", "u"), "u").join(
             signatures.toDF("v", "other"), "v"
         )
-        self.confirm(both.mapInPandas(_prune(self.percent, self.miss), "u bigint, v bigint"))
+        return self.confirm(both.mapInPandas(_prune(self.percent, self.miss), "u bigint, v bigint"))
 
     def compare_outer(self, few: DataFrame) -> None:
         """Add the links between the main component of a bucket and its others.
@@ -362,20 +364,22 @@ class _Search:
         texts = self.texts.join(reps, on).select("node", "__text").dropDuplicates(["node"])
         return self.write("texts", texts)
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Add the pairs that are similar by their whole shingle sets."""
+    def confirm(self, pairs: DataFrame) -> int:
+        """Add the pairs that are similar by their whole shingle sets; tell how many."""
         kept = self.write("survivors", pairs)
         if kept.isEmpty():
-            return
+            return 0
         nodes = kept.select(F.col("u").alias("node")).union(kept.select("v")).distinct()
         texts = self.texts_of(nodes)
         joined = kept.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
         links = self.write("links", joined.mapInPandas(_verify(self.percent), "u bigint, v bigint"))
-        if not links.isEmpty():
+        n_links = links.count()
+        if n_links:
             self.found.append(links)
             edges = reduce(DataFrame.unionByName, self.found)
             self._count += 1
             self.labels = components(edges, self.stages, str(self._count))
+        return n_links
 
     def _across(self, pairs: DataFrame) -> DataFrame:
         """Pairs of different components."""
@@ -385,13 +389,33 @@ class _Search:
         joined = pairs.join(labels.toDF("u", "cu"), "u", "left").join(labels.toDF("v", "cv"), "v", "left")
         return joined.filter("coalesce(cu, u) != coalesce(cv, v)").select("u", "v")
 
-    def search(self, buckets: DataFrame, depth: int = 0) -> None:
+    def compare_with_leaders(self, pairs: DataFrame) -> None:
+        """Compare classes ``v`` with the leaders ``u`` of their buckets.
+
+        A class is in many buckets with leaders of its own group, so it meets
+        the first of them; the next only if that left the two apart. Once a
+        round links few classes, what is left is compared at a time.
+        """
+        left = self.write("pairs", pairs)
+        while True:
+            chosen = left.groupBy("v").agg(F.min("u").alias("u"))
+            chosen = self.write("chosen", chosen)
+            n_pairs = chosen.count()
+            n_links = self.compare(chosen)
+            rest = left.join(chosen.toDF("v", "__met"), "v").filter("u > __met").drop("__met")
+            left = self.write("pairs", self._across(rest))
+            if n_links <= FRUITFUL * n_pairs:
+                break
+        if not left.isEmpty():
+            self.compare(left)
+
+    def search(self, buckets: DataFrame) -> None:
         """Link the classes of ``bucket, node`` that share a bucket."""
         leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
         leaders = self.write("leaders", leaders.filter("size > 1"))
         shared = self.write("shared", buckets.join(leaders, "bucket"))
         first = shared.filter("node != leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-        self.compare(self._across(first.distinct()))
+        self.compare_with_leaders(first.distinct())
 
         labelled = shared
         if self.labels is not None:
@@ -410,19 +434,8 @@ class _Search:
         )
         mixed = self.write("mixed", mixed)
         rest = self.write("rest", labelled.drop("size").join(mixed, "bucket"))
-        few = rest if depth == MAX_DEPTH else rest.filter(F.col("outside") <= DIVIDE)
-        if not few.isEmpty():
-            self.compare_outer(few)
-        if depth == MAX_DEPTH:
-            return
-        large = rest.filter(F.col("outside") > DIVIDE).select("bucket", "node")
-        if not large.isEmpty():
-            bands = self.classes.select("node", "bands")
-            finer = large.join(bands, "node").select("node", "bucket", F.explode("bands").alias("band"))
-            self.search(
-                finer.filter("band != bucket").select("node", F.xxhash64("bucket", "band").alias("bucket")),
-                depth + 1,
-            )
+        if not rest.isEmpty():
+            self.compare_outer(rest)
 
 
 def near_duplicates(
