@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .html_blocks import Block, blocks_of, features_of
+from .html_blocks import Block, Element, blocks_of, features_of
 from .labelled import bounded_sample
 
 #: Pages of the table, and made pages, the field is trained on at most.
@@ -38,19 +38,28 @@ OTHER_NAMES = (
 OTHER_TOKENS = frozenset({"ad", "ads", "nav", "side"})
 
 
-def label_of(block: Block) -> int:
-    """The label the elements above a block tell; main only inside an article."""
-    inside = False
-    for tag, names in block.path:
-        if tag in ("article", "main"):
-            inside = True
-        if tag in OTHER_ELEMENTS and not (tag == "header" and inside):
-            return OTHER
-        if any(name in names for name in OTHER_NAMES) or OTHER_TOKENS & set(
-            names.replace("-", " ").replace("_", " ").split()
-        ):
-            return OTHER
-    return MAIN if inside else OTHER
+def labels_of(blocks: list[Block]) -> list[int]:
+    """The labels the elements above the blocks tell; main only inside an article."""
+    known: dict[int, tuple[bool, bool]] = {id(None): (False, False)}
+
+    def judged(element: Element | None) -> tuple[bool, bool]:
+        """Whether it is inside an article, and whether it is something else."""
+        todo = []
+        while id(element) not in known:
+            todo.append(element)
+            element = element.parent
+        inside, other = known[id(element)]
+        for own in reversed(todo):
+            inside = inside or own.tag in ("article", "main")
+            named = any(name in own.said for name in OTHER_NAMES) or OTHER_TOKENS & set(
+                own.said.replace("-", " ").replace("_", " ").split()
+            )
+            tagged = own.tag in OTHER_ELEMENTS and not (own.tag == "header" and inside)
+            other = bool(other or named or tagged)
+            known[id(own)] = inside, other
+        return inside, other
+
+    return [MAIN if judged(block.inside) == (True, False) else OTHER for block in blocks]
 
 
 def labelled_page(rng: random.Random, texts: list[str]) -> tuple[list[Block], list[int]]:
@@ -251,7 +260,7 @@ def fit(
     """Train on at most ``sample`` rows of the table and ``made`` pages."""
     rows = bounded_sample(pages.select(F.col(order), F.col(html_column).alias("html")), sample, order)
     real = [blocks_of(row["html"]) for row in rows.collect()]
-    labelled = [(blocks, [label_of(b) for b in blocks]) for blocks in real]
+    labelled = [(blocks, labels_of(blocks)) for blocks in real]
     labelled = [(b, y) for b, y in labelled if MAIN in y]  # others tell nothing of an article
     texts = [b.text for blocks, y in labelled for b, m in zip(blocks, y, strict=True) if m == MAIN]
     rng = random.Random(17)
