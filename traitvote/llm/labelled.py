@@ -28,7 +28,11 @@ def quality_labels(labels: DataFrame) -> DataFrame:
 def labelled_texts(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     """``doc_id, text, quality`` of a sample of at most ``size`` labels.
 
-    The sample has a proven bound, so it is broadcast to the documents.
+    The sample has a proven bound, so it is broadcast to the documents. An id
+    with several rows gives one, the one whose text has the smallest hash.
     """
     sample = bounded_sample(quality_labels(labels), size, "doc_id")
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return rows.groupBy("doc_id", "quality").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")
+    ).select("doc_id", "text", "quality")
