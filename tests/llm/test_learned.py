@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import string
+import time
 from itertools import product
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from traitvote.llm import QUERIES, html_extract, language_id, license_scan, quality_gam, quality_rules
 from traitvote.llm.html_blocks import blocks_of, features_of
-from traitvote.llm.labelled import bounded_sample, quality_labels
+from traitvote.llm.labelled import bounded_sample, labelled_texts, quality_labels
 from traitvote.llm.text_stats import Words, covered_by_repeats, repeated_lines, word_chars
 
 SF = str(TESTDATA / "sf0.01")
@@ -281,3 +282,33 @@ def test_license_hard_cases(hard, nothing):
     assert (none.n_words, none.n_base, none.first_word, none.labels, none.score) == (0, 0, None, "", 0.0)
     assert len(rows) == 9
     assert license_scan.scan(nothing).count() == 0
+
+
+# --- Bounds of what is fitted on, and of what a page takes -----------------------------------
+
+
+def test_an_id_with_very_many_rows_is_one_label(spark, table):
+    many = spark.range(100_000).selectExpr("7 AS doc_id", "concat('text ', id % 3) AS text")
+    others = table("doc_id bigint, text string", (1, "one"), (2, None), (3, "three"))
+    labels = table("doc_id bigint, quality int, toxic int", (7, 1, 0), (1, 0, 0), (2, 1, 0), (9, 1, 0))
+    found = labelled_texts(others.unionByName(many), labels, 10).collect()
+    assert sorted((r.doc_id, r.quality) for r in found) == [(1, 0), (2, 1), (7, 1)]
+    assert len({r.text for r in found if r.doc_id == 7}) == 1
+
+
+def test_a_page_of_unclosed_elements_takes_time_in_proportion():
+    def seconds(n):
+        page = "<article>" + "".join(f"<div class=body>word {i}</b>" for i in range(n))
+        start = time.perf_counter()
+        blocks = blocks_of(page)
+        features_of(blocks)
+        assert html_extract.labels_of(blocks) == [1] * n
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    assert seconds(60_000) < 30
+
+
+def test_text_that_stands_in_for_an_object_is_text():
+    page = "<article><p>a</p><object><p>b</p></object><canvas>c</canvas><svg>d</svg></article>"
+    assert [b.text for b in blocks_of(page)] == ["a", "b", "c"]
