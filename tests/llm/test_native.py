@@ -336,3 +336,38 @@ def test_only_items_with_shared_shingles_are_candidates(spark, table, stages):
     assert {(r[ROW_KEY[0]], r.item_id) for r in found.collect()} == {(k, k) for k in range(40)}
     candidates = spark.read.parquet(f"{stages.path}/candidates")
     assert candidates.filter(f"{ROW_KEY[0]}_near != item_id").count() == 0
+
+
+def test_a_line_that_all_items_share_pairs_nothing(spark, table, stages):
+    """1,000 items and 200 documents begin alike; 20 documents hold an item."""
+    rng = random.Random(6)
+    opening = [f"instruction{k}" for k in range(9)]
+    items = [(k, opening + invent(rng, 45)) for k in range(1_000)]
+    docs = [(k, opening + invent(rng, 60) + (items[k * 5][1] if k % 10 == 0 else [])) for k in range(200)]
+    found = leaks.find_items(
+        table("doc_id bigint, text string", *((d, " ".join(w)) for d, w in docs)),
+        table("item_id bigint, text string", *((k, " ".join(w)) for k, w in items)),
+        stages,
+    )
+    got = {(r[ROW_KEY[0]], r.item_id): r.similarity for r in found.collect()}
+    assert got == {(k, k * 5): 1.0 for k in range(0, 200, 10)}
+    # the opening alone would make 200,000 pairs
+    assert spark.read.parquet(f"{stages.path}/paired").count() < 500
+    assert spark.read.parquet(f"{stages.path}/hits").count() < 5_000
+
+
+def test_rare_shingles_of_an_item_that_documents_hold_in_part(table, stages):
+    """Items of common shingles, repeated shingles, and windows cut short by the end."""
+    rng = random.Random(7)
+    common = invent(rng, 30)
+    items = [(0, common), (1, common[:20] + invent(rng, 6)), (2, ["a", "b", "c", "d", "e"] * 8), (3, invent(rng, 24))]
+    docs = [(k, invent(rng, 5) + common + invent(rng, k)) for k in range(12)]
+    docs += [(20, items[3][1][:22]), (21, items[3][1][4:]), (22, ["a", "b", "c", "d", "e"] * 7), (23, items[1][1])]
+    wanted = best_windows(docs, items)
+    found = leaks.find_items(
+        table("doc_id bigint, text string", *((d, " ".join(w)) for d, w in docs)),
+        table("item_id bigint, text string", *((k, " ".join(w)) for k, w in items)),
+        stages,
+    )
+    got = {(r[ROW_KEY[0]], r.item_id): r.similarity for r in found.collect()}
+    assert got == pytest.approx(wanted) and {(20, 3), (21, 3), (22, 2), (23, 1)} <= set(got)

@@ -1,14 +1,17 @@
 """Find benchmark items in documents by SimHash windows.
 
-A window has as many five-word shingles as a benchmark item. Windows are drawn
-where a shingle shared with the benchmark puts that item's start, and where such
-a shingle comes last. The best of all windows is among the latter: a window
+A window has as many five-word shingles as a benchmark item. A document and an
+item are paired if the document has one of the item's rarest shingles: of so
+many of them that the others alone cannot reach the similarity asked for. A
+line that many items and documents have in common is not among them. Windows
+are then drawn where a shingle shared with the item puts its start, and where
+such a shingle comes last. The best of all windows is among the latter: a window
 whose last shingle is not shared loses nothing when it moves back by one, until
-it ends with a shared one or begins with the text. A document and an item stay
-together from the shingle they share, and windows are cut out only where such
-shingles stand close enough for the similarity asked for. Each window and each
-item gets a 60-bit SimHash; where their distance is within the radius, the exact
-weighted similarity of the shingles decides.
+it ends with a shared one or begins with the text. They are cut out only where
+such shingles stand close enough. Each window and each item gets a 60-bit
+SimHash, cut into one block more than the radius: fingerprints within the radius
+are equal in a block at least, so only those that share one are candidates; for
+these the exact weighted similarity of the shingles decides.
 
 The similarity is that of multisets: sum of the smaller over sum of the larger
 count of each shingle.
@@ -16,7 +19,7 @@ count of each shingle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources import Stages
 from .common import ROW_KEY, lower_ascii, row_key, same_row, words
@@ -130,6 +133,21 @@ def dense_ends(percent: int) -> Column:
     return F.filter("positions", dense)
 
 
+def rarest(held: DataFrame, hits: DataFrame, percent: int) -> DataFrame:
+    """``item_id, m, h``: shingles of which a similar window has one at least.
+
+    An item's shingles are ordered by how often documents have them. A similar
+    window shares ``percent`` / 100 of the item's weight ``m`` or more, whatever its own
+    size; shingles after which less than that is left cannot be all it shares.
+    """
+    known = hits.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
+    counted = held.join(known, "h", "left").fillna(0, ["often"])
+    rest = Window.partitionBy("item_id", "m").orderBy("often", "h")
+    rest = rest.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = counted.withColumn("left", F.sum("times").over(rest))
+    return left.filter(F.col("left") * 100 >= F.col("m") * percent).select("item_id", "m", "h")
+
+
 def _broadcast(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
@@ -160,13 +178,21 @@ def find_items(
     items = with_shingles(benchmark, item_text, F.col(item_column).alias("item_id"))
     items = items.select("item_id", "hs", F.col("n").alias("m"), simhash(F.col("hs")).alias("fp"))
     items = stages.write("items", items)  # a filter before this would inline the shingles
-    shared = items.select("item_id", "m", F.explode("hs").alias("h")).distinct()
-    shared = _broadcast(stages.write("shared", shared), BROADCAST_ROWS)
+    held = items.select("item_id", "m", F.explode("hs").alias("h")).groupBy("item_id", "m", "h")
+    held = stages.write("held", held.agg(F.count(F.lit(1)).alias("times")))
+    shared = _broadcast(stages.write("shared", held.select("h").distinct()), BROADCAST_ROWS)
 
     hashed = with_shingles(docs, text_column, *row_key(id_column, text_column))
     # the outer form, as the other adds a filter that computes the shingles again
     at = hashed.select(*ROW_KEY, "n", F.posexplode_outer("hs").alias("position", "h"))
-    met = at.join(shared, "h").groupBy(*ROW_KEY, "n", "item_id", "m")
+    hits = stages.write("hits", at.join(shared, "h"))
+    rare = _broadcast(stages.write("rare", rarest(held, hits, percent)), BROADCAST_ROWS)
+    near = stages.write("paired", hits.join(rare, "h").select(*ROW_KEY, "item_id", "m").distinct())
+    near = near.withColumnsRenamed({c: f"{c}_paired" for c in ROW_KEY})
+    of_row = [hits[c].eqNullSafe(near[f"{c}_paired"]) for c in ROW_KEY]
+    own = _broadcast(held.select(F.col("item_id").alias("__item"), F.col("m").alias("__m"), F.col("h").alias("__h")), BROADCAST_ROWS)
+    of_item = (F.col("h") == F.col("__h")) & (F.col("m") == F.col("__m")) & F.col("item_id").eqNullSafe(F.col("__item"))
+    met = hits.join(near, of_row).join(own, of_item, "left_semi").groupBy(*ROW_KEY, "n", "item_id", "m")
     met = met.agg(F.array_sort(F.collect_set("position")).alias("positions"))
     pairs = met.withColumn("ends", dense_ends(percent)).filter("size(ends) > 0")
     pairs = stages.write("pairs", pairs.select(*ROW_KEY, "item_id", "m", "ends"))
@@ -179,17 +205,19 @@ def find_items(
     anchors = items.select("m", F.posexplode("hs").alias("offset", "h")).distinct()
     anchors = _broadcast(stages.write("anchors", anchors), BROADCAST_ROWS)
     start = F.greatest(F.lit(0), F.least(F.col("position") - F.col("offset"), F.col("n") - F.col("m")))
-    inside = touched.select(*ROW_KEY, "n", F.posexplode("hs").alias("position", "h"))
-    aligned = inside.join(anchors, "h").select(*ROW_KEY, "m", start.alias("start"), F.lit(True).alias("aligned"))
+    # only for sizes of items that the row is paired with
+    wanted = pairs.select(*ROW_KEY, F.col("m").alias("size")).distinct()
+    wanted = stages.write("wanted", wanted).withColumnsRenamed({c: f"{c}_of" for c in ROW_KEY})
+    of_row = [hits[c].eqNullSafe(wanted[f"{c}_of"]) for c in ROW_KEY]
+    inside = hits.join(wanted, of_row).select(*ROW_KEY, "n", "position", "h", "size")
+    aligned = inside.join(anchors.withColumnRenamed("m", "size"), ["size", "h"]).withColumnRenamed("size", "m")
+    aligned = aligned.select(*ROW_KEY, "m", start.alias("start"), F.lit(True).alias("aligned"))
     last = F.greatest(F.lit(0), F.col("end") - F.col("m") + 1)
     ending = pairs.select(*ROW_KEY, "m", F.explode("ends").alias("end"))
     ending = ending.select(*ROW_KEY, "m", last.alias("start"), F.lit(False).alias("aligned"))
     starts = aligned.union(ending).groupBy(*ROW_KEY, "m", "start").agg(F.max("aligned").alias("aligned"))
 
-    # sizes of windows that no pair of their document has go before they are cut out
-    wanted = pairs.select(*ROW_KEY, "m").distinct().withColumnsRenamed({c: f"{c}_of" for c in (*ROW_KEY, "m")})
-    of_row = [starts[c].eqNullSafe(F.col(f"{c}_of")) for c in (*ROW_KEY, "m")]
-    starts = stages.write("starts", starts.join(wanted, of_row, "left_semi"))
+    starts = stages.write("starts", starts)
     touched = touched.withColumnsRenamed({c: f"{c}_touched" for c in ROW_KEY})
     on = [starts[c].eqNullSafe(touched[f"{c}_touched"]) for c in ROW_KEY]
     windows = starts.join(touched, on).select(
@@ -203,9 +231,10 @@ def find_items(
     )
     with_fp = with_fp.select(*(F.col(c).alias(f"{c}_near") for c in (*ROW_KEY, "m")), "item_id", "item_fp")
     of_window = [windows[c].eqNullSafe(F.col(f"{c}_near")) for c in (*ROW_KEY, "m")]
+    of_block = F.arrays_overlap(blocks("fp", radius), blocks("item_fp", radius))
     near = (
         windows.select(*ROW_KEY, "m", "start", "fp")
-        .join(with_fp, of_window)
+        .join(with_fp, [*of_window, of_block])
         .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
         .select(*ROW_KEY, "m", "start", "item_id")
         .distinct()
