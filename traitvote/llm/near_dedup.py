@@ -41,7 +41,10 @@ FRUITFUL = 0.3
 BROADCAST_CLASSES = 300_000
 #: Shingles hashed at a time, so that a long text needs no more memory.
 CHUNK = 512
-CACHE_WORDS = 500_000
+#: Words whose hashes a task remembers (some 150 bytes each).
+CACHE_WORDS = 50_000
+#: Texts signed at a time.
+SIGNED_ROWS = 1_000
 
 _RANDOM = np.random.default_rng(20_240_601)
 _ODD = _RANDOM.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -110,7 +113,8 @@ SIGNED = (
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
-    for batch in batches:
+    parts = (b.iloc[k : k + SIGNED_ROWS] for b in batches for k in range(0, len(b), SIGNED_ROWS))
+    for batch in parts:
         rows = []
         for text in batch["__text"]:
             words = words_of(text)
