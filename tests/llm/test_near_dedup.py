@@ -63,8 +63,10 @@ def test_planted_copies_against_brute_force(docs, stages):
     assert got == brute_force(texts)
 
 
-def test_many_mixed_buckets(docs, stages, monkeypatch):
+@pytest.mark.parametrize("large", [500, 3])
+def test_many_mixed_buckets(docs, stages, monkeypatch, large):
     monkeypatch.setattr(near_dedup, "OUTSIDE", 2)
+    monkeypatch.setattr(near_dedup, "LARGE", large)
     rng, texts = random.Random(5), {}
     shared = [f"s{k}" for k in range(60)]
     for i in range(120):  # half of each text is shared: many candidates, few links

@@ -34,6 +34,10 @@ MISS = 1e-6
 #: Classes outside a bucket's largest component that are compared at a time with
 #: the others.
 OUTSIDE = 200
+#: A bucket with more of them first meets further leaders, drawn from them, while
+#: that links more than a small share; what is left is compared all the same.
+LARGE = 500
+FEW = 0.02
 #: Classes meet one leader at a time until fewer than this share of them is linked.
 FRUITFUL = 0.3
 #: Classes whose rows are looked up by broadcast (some 50 bytes each); beyond
@@ -413,14 +417,12 @@ class _Search:
         if not left.isEmpty():
             self.compare(left)
 
-    def search(self, buckets: DataFrame) -> None:
-        """Link the classes of ``bucket, node`` that share a bucket."""
-        leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
-        leaders = self.write("leaders", leaders.filter("size > 1"))
-        shared = self.write("shared", buckets.join(leaders, "bucket"))
-        first = shared.filter("node != leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-        self.compare_with_leaders(first.distinct())
+    def mixed(self, shared: DataFrame) -> DataFrame:
+        """The classes of buckets that span several components.
 
+        ``main`` is the largest component of a bucket and ``outside`` the number
+        of classes that are in others.
+        """
         labelled = shared
         if self.labels is not None:
             labelled = shared.join(self.labels, "node", "left")
@@ -437,7 +439,35 @@ class _Search:
             "bucket", F.col("top.component").alias("main"), (F.col("all") - F.col("top.n")).alias("outside")
         )
         mixed = self.write("mixed", mixed)
-        rest = self.write("rest", labelled.drop("size").join(mixed, "bucket"))
+        return self.write("rest", labelled.drop("size").join(mixed, "bucket"))
+
+    def search(self, buckets: DataFrame) -> None:
+        """Link the classes of ``bucket, node`` that share a bucket."""
+        leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
+        leaders = self.write("leaders", leaders.filter("size > 1"))
+        shared = self.write("shared", buckets.join(leaders, "bucket"))
+        first = shared.filter("node != leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+        self.compare_with_leaders(first.distinct())
+
+        rest = self.mixed(shared)
+        for k in range(1, 1000):
+            large = rest.filter(F.col("outside") > LARGE)
+            if large.isEmpty():
+                break
+            drawn = large.filter("component != main").groupBy("bucket").agg(
+                F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "component")).alias("drawn")
+            )
+            drawn = drawn.select("bucket", F.col("drawn.node").alias("with"), F.col("drawn.component").alias("of"))
+            # a class of several large buckets meets one of their drawn classes
+            met = large.join(drawn, "bucket").filter(F.col("component") != F.col("of"))
+            met = met.groupBy("node").agg(F.min("with").alias("with"))
+            ends = (F.least("node", "with").alias("u"), F.greatest("node", "with").alias("v"))
+            pairs = self.write("drawn", met.select(*ends).distinct())
+            n_pairs, n_links = pairs.count(), self.compare(pairs)
+            if n_links:
+                rest = self.mixed(shared)
+            if n_links <= FEW * n_pairs:
+                break
         if not rest.isEmpty():
             self.compare_outer(rest)
 
