@@ -2,12 +2,13 @@
 
 from .operators import ConfidenceParams, impute, impute_synonyms
 from .plans import Consensus, Prepared, Source, build, label_list, prepare, vote
-from .sources import Stages
+from .sources import ResumableStages, Stages
 
 __all__ = [
     "ConfidenceParams",
     "Consensus",
     "Prepared",
+    "ResumableStages",
     "Source",
     "Stages",
     "build",
