@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -89,7 +89,7 @@ class Prepared:
 
     rows: dict[str, DataFrame]
     synonyms: DataFrame | None
-    observed: dict[str, dict[str, object]]
+    observed: dict[str, dict[str, object]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
