@@ -273,6 +273,32 @@ def test_blocks_against_brute_force():
         assert {(n, s) for n, s, _, _ in scanner.blocks(words)} == wanted
 
 
+def test_each_license_filter_prunes_and_loses_nothing():
+    templates = (
+        license_scan.Template("mit", "mit license", phrase=True),
+        license_scan.Template("x", "rare words of a notice that all may copy", 80),
+        license_scan.Template("far", "nothing here has such tokens", 80),
+    )
+    frequency = {w: k for k, w in enumerate(b"rare mit words license notice of a".split())}
+    scanner = license_scan.Scanner(templates, frequency)
+
+    def counted(text, number):
+        """Blocks left by the prefix, then also the length, then the positional filter."""
+        words = license_scan.words_of(text)
+        ids = np.array([scanner.rank.get(w, -1) for w in words])
+        hits = scanner.hits(ids)
+        if number not in hits:
+            return 0, 0, 0
+        one = scanner.templates[number]
+        masks = scanner.filters(one, hits[number], ids, scanner.places(one, ids))
+        return tuple(int(np.logical_and.reduce(masks[:k]).sum()) for k in (1, 2, 3))
+
+    assert counted("mit x y mit mit of mit license", 0) == (6, 4, 1)  # mit mit, mit of, of mit, mit license
+    assert counted("copy copy copy copy a a words words words of", 1) == (2, 2, 0)
+    assert counted("so rare words of a notice that all may copy", 1) == (2, 2, 2)
+    assert counted("mit license", 2) == (0, 0, 0)  # the index leads to other templates only
+
+
 def test_license_hard_cases(hard, nothing):
     rows = license_scan.scan(hard((8, "MIT-License, and the mit\nlicense; all rights RESERVED"))).collect()
     found = next(r for r in rows if r.doc_id == 8)

@@ -3,15 +3,17 @@
 A block is a run of as many words as a template has, at every place of a text.
 It meets a template if it contains enough of the template's distinct words.
 Words are ordered by their frequency over all documents. By the prefix filter a
-block that meets a template contains one of its rarest words, so only blocks
-around these are looked at; by the length filter it has enough words at all; by
-the positional filter the rarest shared word and what may follow it leave room
-for enough. Blocks that pass are compared in full.
+block that meets a template contains one of its rarest words; an inverted index
+leads from these to their templates, so a text is held against those templates
+alone, and only around such words. By the length filter a block has enough words
+that any template knows; by the positional filter enough words of the template
+come after the prefix word in the global order. Blocks that pass are compared in
+full.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -86,7 +88,6 @@ class Prepared:
     words: tuple[bytes, ...]
     tokens: np.ndarray
     need: int
-    prefix: np.ndarray
 
     @property
     def width(self) -> int:
@@ -101,46 +102,76 @@ class Scanner:
         order = sorted({w for ws in split for w in ws}, key=lambda w: (frequency.get(w, 0), w))
         self.rank = {word: k for k, word in enumerate(order)}
         self.templates = []
+        #: By prefix word: the templates it leads to and its place in their order.
+        self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for template, words in zip(templates, split, strict=True):
-            tokens = np.array(sorted({self.rank[w] for w in words}))
+            tokens = np.array(sorted({self.rank[w] for w in words}), np.int64)
             need = -(-template.percent * len(tokens) // 100)
-            prefix = tokens[: len(tokens) - need + 1]
-            self.templates.append(Prepared(template, words, tokens, need, prefix))
+            for place, token in enumerate(tokens[: len(tokens) - need + 1].tolist()):
+                self.index[token].append((len(self.templates), place))
+            self.templates.append(Prepared(template, words, tokens, need))
+        self.indexed = np.zeros(len(order) + 1, bool)  # -1 finds the last
+        self.indexed[list(self.index)] = True
 
     def blocks(self, words: list[bytes]) -> list[tuple[int, int, int, float]]:
         """``template, start, words, containment`` of every block that meets one."""
-        rank = self.rank
-        ids = np.fromiter((rank.get(w, -1) for w in words), np.int64, len(words))
-        if not len(ids) or ids.max() < 0:
-            return []
-        present = np.zeros(len(rank) + 1, bool)
-        present[ids] = True
+        ids = np.fromiter((self.rank.get(w, -1) for w in words), np.int64, len(words))
         found = []
-        for number, one in enumerate(self.templates):
-            if present[one.prefix].any() and present[one.tokens].sum() >= one.need:
-                found += self._blocks_of(number, one, words, ids)
+        for number, hits in sorted(self.hits(ids).items()):
+            one = self.templates[number]
+            places = self.places(one, ids)
+            starts = np.flatnonzero(np.logical_and.reduce(self.filters(one, hits, ids, places)))
+            found += self.verified(number, starts, words, places)
         return found
 
-    def _blocks_of(self, number: int, one: Prepared, words: list[bytes], ids: np.ndarray) -> list:
-        size, width = len(ids), min(one.width, len(ids))
-        place = np.full(len(self.rank) + 1, len(one.tokens))  # -1 finds the last, too
+    def hits(self, ids: np.ndarray) -> dict[int, list[tuple[int, np.ndarray]]]:
+        """By template: its prefix words in a text, by place, and where they stand."""
+        at = np.flatnonzero(self.indexed[ids])
+        at = at[np.argsort(ids[at], kind="stable")]
+        tokens, first = np.unique(ids[at], return_index=True)
+        found = defaultdict(list)
+        for token, where in zip(tokens.tolist(), np.split(at, first[1:]), strict=False):
+            for number, place in self.index[token]:
+                found[number].append((place, where))
+        return found
+
+    def places(self, one: Prepared, ids: np.ndarray) -> np.ndarray:
+        """Each word's place in the order of a template, -1 for other words."""
+        place = np.full(len(self.rank) + 1, -1)
         place[one.tokens] = np.arange(len(one.tokens))
-        at = place[ids]
-        starts = np.zeros(size - width + 2, np.int64)
-        hits = np.flatnonzero(at < len(one.prefix))
-        np.add.at(starts, np.clip(hits - width + 1, 0, size - width), 1)
-        np.add.at(starts, np.minimum(hits, size - width) + 1, -1)
-        candidates = np.flatnonzero(np.cumsum(starts)[:-1] > 0)
-        # length filter: enough words of the template, repeats counted
-        sums = np.concatenate(([0], np.cumsum(at < len(one.tokens))))
-        candidates = candidates[sums[candidates + width] - sums[candidates] >= one.need]
-        found = []
-        for start in candidates.tolist():
-            part = at[start : start + width]
-            rarest = int(part.min())
-            if len(one.tokens) - rarest < one.need:  # positional filter
-                continue
-            common = len(np.unique(part[part < len(one.tokens)]))
+        return place[ids]
+
+    def filters(
+        self, one: Prepared, hits: list[tuple[int, np.ndarray]], ids: np.ndarray, places: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which starts of blocks pass the prefix, length and positional filter."""
+        width = min(one.width, len(ids))
+        last = len(ids) - width
+
+        def inside(marked: np.ndarray) -> np.ndarray:
+            """How many marked words each block has, repeats counted."""
+            sums = np.concatenate(([0], np.cumsum(marked)))
+            return sums[width:] - sums[: last + 1]
+
+        prefix, positional = np.zeros(last + 1, bool), np.zeros(last + 1, bool)
+        for place, where in hits:
+            edges = np.zeros(last + 2, np.int64)
+            np.add.at(edges, np.maximum(where - width + 1, 0), 1)
+            np.add.at(edges, np.minimum(where, last) + 1, -1)
+            near = np.cumsum(edges)[:-1] > 0
+            prefix |= near
+            positional |= near & (1 + inside(places > place) >= one.need)
+        return prefix, inside(ids >= 0) >= one.need, positional
+
+    def verified(
+        self, number: int, starts: np.ndarray, words: list[bytes], places: np.ndarray
+    ) -> list[tuple[int, int, int, float]]:
+        """The blocks at ``starts`` that meet a template by all of their words."""
+        one, found = self.templates[number], []
+        width = min(one.width, len(words))
+        for start in starts.tolist():
+            part = places[start : start + width]
+            common = len(np.unique(part[part >= 0]))
             if common < one.need:
                 continue
             if one.template.phrase and tuple(words[start : start + width]) != one.words:
