@@ -160,6 +160,33 @@ def test_components_of_a_chain(spark, stages):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_labels_of_earlier_links_are_extended(spark, stages):
+    rng, labels, links = random.Random(3), None, []
+    for k in range(5):
+        new = [tuple(sorted(rng.sample(range(90), 2))) for _ in range(12)] + links[:2]
+        links += new
+        labels = near_dedup.extended(labels, spark.createDataFrame(new, "u bigint, v bigint"), stages, f"e{k}")
+        root = {i: i for edge in links for i in edge}
+        for _ in root:
+            for u, v in links:
+                root[u] = root[v] = min(root[u], root[v])
+        assert sorted(map(tuple, labels.collect())) == sorted(root.items())
+
+
+def test_earlier_links_are_not_gone_through_again(spark, stages, monkeypatch):
+    """A star of 500 classes that later meets one more class, and a link twice."""
+    sizes, plain = [], near_dedup.components
+    monkeypatch.setattr(
+        near_dedup, "components", lambda edges, *more: sizes.append(edges.count()) or plain(edges, *more)
+    )
+    star = spark.range(1, 501).selectExpr("0L AS u", "id AS v")
+    labels = near_dedup.extended(None, star, stages, "a")
+    more = spark.createDataFrame([(7, 900), (8, 900), (3, 4)], "u bigint, v bigint")
+    labels = near_dedup.extended(labels, more, stages, "b")
+    assert sizes == [500, 1]
+    assert {r.component for r in labels.collect()} == {0} and labels.count() == 502
+
+
 # --- Pipeline ---------------------------------------------------------------------------------
 
 

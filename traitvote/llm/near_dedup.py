@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -269,20 +268,20 @@ def components(edges: DataFrame, stages: Stages, tag: str) -> DataFrame:
     stars and settle at once; if some do not, labels jump as well, so that
     rounds grow with the logarithm of a chain. Each round is written.
     """
-    u, v = edges.select("u", "v"), edges.select("v", "u")
-    around = u.union(v).union(edges.select("u", "u")).union(edges.select("v", "v"))
+    around = edges.select("u", "v").union(edges.select("v", "u"))
 
     def smallest(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+        return rows.groupBy("node").agg(F.min("component").alias("component"))
 
     def total(labels: DataFrame):
         return labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
 
-    labels = stages.write(f"labels_{tag}_0", smallest(around))
+    first = around.select(F.col("u").alias("node"), F.least("u", "v").alias("component"))
+    labels = stages.write(f"labels_{tag}_0", smallest(first))
     before = total(labels)
     for k in range(1, 1000):
-        spread = around.join(labels.toDF("v", "label"), "v").select("u", F.col("label").alias("v"))
-        new = smallest(spread)
+        spread = around.join(labels.toDF("v", "component"), "v").select("u", "component")
+        new = smallest(labels.union(spread))
         if k > SPREAD_ROUNDS:
             new = stages.write(f"spread_{tag}_{k}", new)
             jump = new.toDF("component", "next")
@@ -295,6 +294,27 @@ def components(edges: DataFrame, stages: Stages, tag: str) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def extended(labels: DataFrame | None, links: DataFrame, stages: Stages, tag: str) -> DataFrame:
+    """What :func:`components` gives of all links, from ``labels`` of the earlier ones.
+
+    Of the new links only those between different components go on, each pair
+    of components once, so earlier links are not gone through again.
+    """
+    if labels is None:
+        return components(links, stages, tag)
+    ends = links.join(labels.toDF("u", "cu"), "u", "left").join(labels.toDF("v", "cv"), "v", "left")
+    ends = ends.select(F.coalesce("cu", "u").alias("cu"), F.coalesce("cv", "v").alias("cv"))
+    across = ends.filter("cu != cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v"))
+    across = stages.write(f"across_{tag}", across.distinct())
+    if across.isEmpty():
+        return labels
+    merged = components(across, stages, tag)
+    known = labels.join(merged.toDF("component", "next"), "component", "left")
+    known = known.select("node", F.coalesce("next", "component").alias("component"))
+    # the node a component is named by is one of its own, so what is left is new
+    return stages.write(f"extended_{tag}", known.union(merged.join(labels, "node", "left_anti")))
+
+
 class _Search:
     """The links of one run: what is known of classes and where it is written."""
 
@@ -303,7 +323,6 @@ class _Search:
         self.texts = docs.select(
             *row_key(id_column, text_column), F.col(text_column).alias("__text")
         )
-        self.found: list[DataFrame] = []
         self.labels: DataFrame | None = None
         self._count = 0
 
@@ -383,10 +402,8 @@ class _Search:
         links = self.write("links", joined.mapInPandas(_verify(self.percent), "u bigint, v bigint"))
         n_links = links.count()
         if n_links:
-            self.found.append(links)
-            edges = reduce(DataFrame.unionByName, self.found)
             self._count += 1
-            self.labels = components(edges, self.stages, str(self._count))
+            self.labels = extended(self.labels, links, self.stages, str(self._count))
         return n_links
 
     def _across(self, pairs: DataFrame) -> DataFrame:
