@@ -6,11 +6,13 @@ from contextlib import contextmanager
 import fixtures
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from traitvote import Source, impute
 from traitvote import operators as op
 from traitvote.plans import counted_rows, labelled_rows, review_names, votes_of
 from traitvote.schemas import HOMONYM_FLAGS, NAME_RULES, SYNONYMS, VOCABULARY
+from traitvote.sources import sizes
 from traitvote.starschema import adapter
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -135,3 +137,25 @@ def test_hot_keys_are_split(spark, table, stages, name):
         done = _skewed(spark, table, stages, name)
         assert len(done.collect()) == 100_000
         assert "SortMergeJoin(skew=true)" in plan(done)
+
+
+def test_long_tables_are_joined_in_as_many_tasks_as_they_need(spark, tmp_path, monkeypatch):
+    """A task sorts a bounded number of records; repeated and missing keys are joined as before."""
+    for name in ("nation", "region", "customer", "orders", "lineitem"):
+        rows_ = adapter.table(spark, SF_DIR, name)
+        key = {"customer": "c_custkey", "orders": "o_orderkey"}.get(name)
+        if key:
+            rows_ = rows_.union(rows_.limit(5)).union(rows_.limit(3).withColumn(key, F.lit(None).cast("bigint")))
+        rows_.write.parquet(f"{tmp_path}/{name}.parquet")
+    sources = (adapter.observations, adapter.traits)
+    with settings(spark, shuffle__partitions="2"):
+        plain = [rows(source(spark, str(tmp_path))) for source in sources]
+        monkeypatch.setattr(sizes, "TASK_ROWS", 100)
+        monkeypatch.setattr(adapter, "TASK_ROWS", 100)
+        for source, wanted, key, most in zip(sources, plain, ("l_orderkey", "o_custkey"), (400, 400), strict=True):
+            with settings(spark, autoBroadcastJoinThreshold="-1"):
+                done = source(spark, str(tmp_path))
+                assert re.search(rf"hashpartitioning\({key}#\d+L, \d\d+\), REPARTITION_BY_NUM", plan(done))
+            assert rows(done) == wanted
+            parts = done.groupBy(F.spark_partition_id()).count().collect()
+            assert max(r["count"] for r in parts) < most * 2

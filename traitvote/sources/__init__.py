@@ -3,6 +3,7 @@
 from .keyed import Keyed, write_keyed
 from .ordered import Ordered, write_ordered
 from .resume import ResumableStages
+from .sizes import tasks_for
 from .stages import Stages
 from .tables import (
     Imported,
@@ -33,6 +34,7 @@ __all__ = [
     "read_vocab",
     "scan_observations",
     "scan_traits",
+    "tasks_for",
     "write_keyed",
     "write_list",
     "write_ordered",

@@ -19,7 +19,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..constants import GROWTH_FORM_TRAITS, RANKS
 from ..operators import as_attributions, target_species
 from ..schemas import GROUP_EXCLUSIONS, NAME_RULES, OVERRIDES, VOCABULARY
-from ..sources import scan_observations, scan_traits
+from ..sources import scan_observations, scan_traits, tasks_for
+from ..sources.sizes import TASK_ROWS
 
 UNKNOWN = "Unknown"
 
@@ -137,10 +138,20 @@ def taxon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def _of_customers(records: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records by ``o_custkey`` with the places of their customer."""
-    joined = records.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
-    return _with_places(joined, spark, sf_dir)
+def _dealt(df: DataFrame, tasks: int | None, key: str) -> DataFrame:
+    return df.repartition(tasks, key) if tasks else df
+
+
+def _of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer.
+
+    A customer table that one task can hold is left to Spark, to broadcast.
+    """
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    tasks = tasks_for(spark, orders.count()) if customer.count() > TASK_ROWS else None
+    return _dealt(orders, tasks, "o_custkey").join(
+        _dealt(customer, tasks, "c_custkey"), F.expr("o_custkey = c_custkey")
+    )
 
 
 def _scrubbed(key: str) -> list[str]:
@@ -154,7 +165,7 @@ def _scrubbed(key: str) -> list[str]:
 
 def trait_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trait table: per order a growth form, for some another trait as well."""
-    orders = _of_customers(table(spark, sf_dir, "orders"), spark, sf_dir)
+    orders = _with_places(_of_customers(spark, sf_dir), spark, sf_dir)
 
     def trait(rows: DataFrame, name: str, value: str) -> DataFrame:
         return rows.selectExpr(
@@ -181,11 +192,17 @@ def trait_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An occurrence table: one row per line item, some without a label."""
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
+    """An occurrence table: one row per line item, some without a label.
+
+    Orders meet their customers first, so that the line items, the longest
+    table, are dealt out once, and to more tasks the more there are.
+    """
+    lineitem = table(spark, sf_dir, "lineitem")
+    tasks = tasks_for(spark, lineitem.count())
+    lines = _dealt(lineitem, tasks, "l_orderkey").join(
+        _dealt(_of_customers(spark, sf_dir), tasks, "o_orderkey"), F.expr("l_orderkey = o_orderkey")
     )
-    return _of_customers(lines, spark, sf_dir).selectExpr(
+    return _with_places(lines, spark, sf_dir).selectExpr(
         "l_orderkey * 10 + l_linenumber AS taxonobservation_id",
         "CASE WHEN l_linestatus = 'O' THEN 'plot' ELSE 'specimen' END AS observation_type",
         "c_mktsegment AS datasource",
