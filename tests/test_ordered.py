@@ -10,6 +10,7 @@ from test_scale import plan, settings
 
 from traitvote import operators as op
 from traitvote.sources import read_traits, write_keyed, write_ordered, write_traits
+from traitvote.sources import sizes
 from traitvote.starschema import adapter
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,6 +55,16 @@ def test_many_equal_keys_spread_over_partitions(spark, stages):
     assert sorted(r.at for r in ordered.numbered("at").collect()) == list(range(4000))
 
 
+def test_more_rows_get_more_partitions(spark, stages, monkeypatch):
+    """However few partitions the session asks for, and however small they are as files."""
+    monkeypatch.setattr(sizes, "TASK_ROWS", 1000)
+    with settings(spark, shuffle__partitions="2"):
+        ordered = write_ordered(spark.range(20_000), F.desc("id"), stages=stages, name="t")
+    counts = [r.n for r in ordered.parts.collect()]
+    assert len(counts) >= 15 and max(counts) < 3000
+    assert [r.id for r in ordered.page(3, 12_345).collect()] == [7654, 7653, 7652]
+
+
 def test_running_sums(spark, stages):
     ordered = write_ordered(spark.range(1, 1001), F.desc("id"), stages=stages, name="t")
     found = {r.id: (r.total, r.n) for r in ordered.running(total="id", n=F.lit(1)).collect()}
