@@ -113,6 +113,36 @@ def test_a_group_of_near_copies_takes_few_pairs(docs, stages, monkeypatch):
     assert sum(pairs) < 2 * len(texts)
 
 
+@pytest.mark.parametrize("marks", [(8, 4_096), (1, 1)])
+def test_a_group_around_the_threshold_takes_few_pairs(docs, stages, monkeypatch, marks):
+    """Many pairs of the group are links or nearly so; few marks only rule out fewer."""
+    monkeypatch.setattr(near_dedup, "MARK_BYTES", marks, raising=False)
+    verified, confirm, compare = [], near_dedup._Search.confirm, near_dedup._Search.compare
+
+    def counted(self, pairs):
+        verified.append(pairs.count())
+        return confirm(self, pairs)
+
+    def with_leaders(self, pairs):
+        before, n_links = len(verified), compare(self, pairs)
+        del verified[before:]
+        return n_links
+
+    monkeypatch.setattr(near_dedup._Search, "confirm", counted)
+    monkeypatch.setattr(near_dedup._Search, "compare", with_leaders)
+    rng, texts = random.Random(10), {}
+    words = [f"w{k}" for k in range(120)]
+    for i in range(400):
+        edited = list(words)
+        for k in rng.sample(range(120), rng.choice([1, 3, 3, 4])):
+            edited[k] = f"e{rng.randrange(30)}"
+        texts[i] = " ".join(edited)
+    assert found(near_dedup.near_duplicates(docs(*texts.items()), stages)) == brute_force(texts)
+    assert verified
+    if marks != (1, 1):  # 3,303 pairs when all that promise are verified at once
+        assert sum(verified) < len(texts)
+
+
 def test_near_dedup_hard_cases(hard, nothing, stages):
     result = near_dedup.near_duplicates(hard((9, "NO id\tat all"), (10, "ONE")), stages)
     rows = [(r[ROW_KEY[0]], r.n_shingles, r.component_id, r.kept) for r in result.collect()]

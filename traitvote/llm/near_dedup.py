@@ -6,8 +6,10 @@ that share a band are candidates; a bucket's classes are compared with the
 bucket's first class only, each class with one of these at a time, as long as
 that links many: a group of near copies becomes one component by about one pair
 a class. Where a bucket then still spans several components, the classes outside
-its largest one are compared with all others; most of these pairs are ruled out
-by what either shares with the bucket's first class. Signatures are compared
+its largest one are compared with all others; nearly all of these pairs that are
+no links are ruled out by what either shares with the bucket's first class and by
+marks of its further shingles. Two components are first linked by the pair that
+promises most. Signatures are compared
 batch by batch: after each batch a pair is given up if the posterior chance that
 its similarity reaches the threshold is below the chosen miss probability.
 Survivors are verified on the whole shingle sets.
@@ -42,6 +44,9 @@ FRUITFUL = 0.3
 #: Classes whose rows are looked up by broadcast (some 50 bytes each); beyond
 #: that the texts are shuffled.
 BROADCAST_CLASSES = 300_000
+#: Bytes of the marks of a class's further shingles: one for each shingle of its
+#: leader, within these limits. Fewer marks rule out fewer pairs, but lose none.
+MARK_BYTES = (8, 4_096)
 #: Shingles hashed at a time, so that a long text needs no more memory.
 CHUNK = 512
 #: Words whose hashes a task remembers (some 150 bytes each).
@@ -180,16 +185,23 @@ def _prune(percent: int, miss: float):
     return prune
 
 
-def _prune_outer(percent: int, miss: float):
+def _common(listed: list[bytes], own: bytes, at: np.ndarray) -> np.ndarray:
+    """How many bits each of the listed values at ``at`` has in common with ``own``."""
+    block = np.frombuffer(b"".join(listed[k] for k in at), np.uint8).reshape(len(at), -1)
+    return np.bitwise_count(block & np.frombuffer(own, np.uint8)).sum(axis=1, dtype=np.int64)
+
+
+def _prune_outer(percent: int, miss: float, best: bool):
     """The same for one class against the few of its bucket's other components.
 
-    What is left has to be able to reach the threshold by its profile, too.
+    What is left has to be able to reach the threshold by its profile, too. With
+    ``best`` two components get one pair a batch, the most similar by that bound.
     """
     batches_of = fewest_matches(percent, miss)
 
     def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
+            found, chosen = [], {}
             for row in batch.itertuples(index=False):
                 at = np.flatnonzero(np.asarray(row.component_list) != row.component)
                 if not len(at):
@@ -205,14 +217,24 @@ def _prune_outer(percent: int, miss: float):
                 at = at[alive]
                 if not len(at):
                     continue
-                bits = np.frombuffer(b"".join(row.bits_list), np.uint8)
-                bits = bits.reshape(-1, len(row.bits))[at] & np.frombuffer(row.bits, np.uint8)
-                most = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-                most += np.minimum(np.asarray(row.others_list)[at], row.others)
-                sizes = np.asarray(row.n_shingles_list)[at] + row.n_shingles
-                at = at[100 * most >= percent * (sizes - most)]
+                # each common further shingle has a common mark, or one it shares with others
+                most = _common(row.marks_list, row.marks, at)
+                most += np.minimum(np.asarray(row.unmarked_list)[at], row.unmarked)
+                most = np.minimum(most, np.minimum(np.asarray(row.others_list)[at], row.others))
+                most += _common(row.bits_list, row.bits, at)
+                union = np.asarray(row.n_shingles_list)[at] + row.n_shingles - most
+                going = 100 * most >= percent * union
+                at, share = at[going], (most[going] / union[going]).tolist()
                 others = np.asarray(row.node_list)[at].tolist()
-                found += [(min(row.node, o), max(row.node, o)) for o in others]
+                pairs = [(min(row.node, o), max(row.node, o)) for o in others]
+                if not best:
+                    found += pairs
+                    continue
+                components = np.asarray(row.component_list)[at].tolist()
+                for c, candidate in zip(components, zip(share, pairs, strict=True), strict=True):
+                    ends = (min(c, row.component), max(c, row.component))
+                    chosen[ends] = max(chosen.get(ends, candidate), candidate)
+            found += [pair for _, pair in chosen.values()]
             yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return prune
@@ -226,7 +248,11 @@ def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Which shingles of its leader each class has, and how many further ones."""
+    """Which shingles of its leader each class has, and how many further ones.
+
+    ``marks`` has a bit for each further one, ``unmarked`` tells how many met
+    another's.
+    """
     shingler, last, left = Shingler(), None, None
     for batch in batches:
         rows = []
@@ -237,8 +263,15 @@ def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 last, left = leader, shingler(words_of(one))
             right = shingler(words_of(other))
             has = np.isin(left, right, assume_unique=True)
-            rows.append((leader, node, np.packbits(has).tobytes(), len(right) - int(has.sum())))
-        yield pd.DataFrame(rows, columns=["leader", "node", "bits", "further"])
+            further = np.setdiff1d(right, left, assume_unique=True)
+            size = min(max(len(left), MARK_BYTES[0]), MARK_BYTES[1])
+            marks = np.zeros(8 * size, bool)
+            marks[further % np.uint64(8 * size)] = True
+            unmarked = len(further) - int(marks.sum())
+            packed = (np.packbits(has).tobytes(), np.packbits(marks).tobytes())
+            rows.append((leader, node, *packed, unmarked, len(further)))
+        columns = ["leader", "node", "bits", "marks", "unmarked", "further"]
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def _verify(percent: int):
@@ -336,33 +369,50 @@ class _Search:
         both = pairs.join(signatures.withColumnRenamed("node", "u"), "u").join(
             signatures.toDF("v", "other"), "v"
         )
-        return self.confirm(both.mapInPandas(_prune(self.percent, self.miss), "u bigint, v bigint"))
+        pruned = both.mapInPandas(_prune(self.percent, self.miss), "u bigint, v bigint")
+        return self.confirm(self.write("survivors", pruned))
 
-    def compare_outer(self, few: DataFrame) -> None:
+    def compare_outer(self, shared: DataFrame, rest: DataFrame) -> None:
         """Add the links between the main component of a bucket and its others.
 
+        One link joins two components, so their best pair is verified first; the
+        other pairs follow only where that has left the two apart.
+        """
+        profiles = self.profiles(rest)
+        n_pairs, n_links = self._compare_outer(rest, profiles, best=True)
+        if n_links:
+            rest = self.mixed(shared)
+        if n_pairs and not rest.isEmpty():
+            self._compare_outer(rest, profiles, best=False)
+
+    def _compare_outer(self, few: DataFrame, profiles: DataFrame, best: bool) -> tuple[int, int]:
+        """How many pairs were verified and are links.
+
         Signatures and profiles of the others come in portions to every class
         of the bucket, so pairs exist only inside a task until they are pruned.
         """
         few = few.join(self.classes.select("node", "signature", "n_shingles"), "node")
-        few = few.join(self.profiles(few), ["leader", "node"])
+        few = few.join(profiles, ["leader", "node"])
         portion = F.expr(f"pmod(xxhash64(node), CAST(ceil(outside / {OUTSIDE}) AS BIGINT))")
         signed = self.write("signed_rest", few.withColumn("portion", portion))
-        own = ["node", "component", "signature", "n_shingles", "bits", "others"]
+        own = ["node", "component", "signature", "n_shingles"]
+        own += ["bits", "others", "marks", "unmarked"]
         outer = signed.filter("component != main").groupBy("bucket", "portion")
         packed = outer.agg(*(F.collect_list(c).alias(f"{c}_list") for c in own))
         packed = self.write("outer", packed.drop("portion"))
         both = signed.select("bucket", *own).join(packed, "bucket").drop("bucket")
-        prune = _prune_outer(self.percent, self.miss)
-        self.confirm(both.mapInPandas(prune, "u bigint, v bigint").distinct())
+        prune = _prune_outer(self.percent, self.miss, best)
+        pairs = self.write("survivors", both.mapInPandas(prune, "u bigint, v bigint").distinct())
+        return pairs.count(), self.confirm(pairs)
 
     def profiles(self, few: DataFrame) -> DataFrame:
-        """``leader, node, bits, others`` of classes, as a bound for their pairs.
+        """``leader, node, bits, marks, unmarked, others`` of classes, to bound their pairs.
 
         ``bits`` tells which of the leader's shingles a class has; ``others``
         counts those of its further shingles that any other of these classes
-        has. Two classes share at most the bits they have in common and the
-        smaller number of others.
+        has, ``marks`` and ``unmarked`` which these are. Two classes share at most
+        the bits they have in common and the smaller number of others, or their
+        common marks and the smaller number of unmarked.
         """
         pairs = self.write("family", few.select("leader", "node").distinct())
         nodes = pairs.select("node").union(pairs.select("leader")).distinct()
@@ -375,11 +425,13 @@ class _Search:
             texts.toDF("node", "text_v"), "node"
         )
         profiled = joined.mapInPandas(
-            _profile, "leader bigint, node bigint, bits binary, further bigint"
+            _profile,
+            "leader bigint, node bigint, bits binary, marks binary, unmarked bigint, further bigint",
         )
         others = F.greatest(F.col("further") - F.coalesce("alone", F.lit(0)), F.lit(0))
         found = profiled.join(alone, "node", "left")
-        return self.write("profiles", found.select("leader", "node", "bits", others.alias("others")))
+        known = ("leader", "node", "bits", "marks", "unmarked")
+        return self.write("profiles", found.select(*known, others.alias("others")))
 
     def texts_of(self, nodes: DataFrame) -> DataFrame:
         """``node, __text`` of classes, written."""
@@ -391,9 +443,8 @@ class _Search:
         texts = self.texts.join(reps, on).select("node", "__text").dropDuplicates(["node"])
         return self.write("texts", texts)
 
-    def confirm(self, pairs: DataFrame) -> int:
-        """Add the pairs that are similar by their whole shingle sets; tell how many."""
-        kept = self.write("survivors", pairs)
+    def confirm(self, kept: DataFrame) -> int:
+        """Add the written pairs that are similar by their whole shingle sets; tell how many."""
         if kept.isEmpty():
             return 0
         nodes = kept.select(F.col("u").alias("node")).union(kept.select("v")).distinct()
@@ -486,7 +537,7 @@ class _Search:
             if n_links <= FEW * n_pairs:
                 break
         if not rest.isEmpty():
-            self.compare_outer(rest)
+            self.compare_outer(shared, rest)
 
 
 def near_duplicates(
