@@ -143,6 +143,34 @@ def test_a_group_around_the_threshold_takes_few_pairs(docs, stages, monkeypatch,
         assert sum(verified) < len(texts)
 
 
+def test_a_class_is_sent_to_its_bucket_once(docs, stages, monkeypatch, tmp_path):
+    """Not once for each class of the others, which took an executor gigabytes."""
+    band_keys, prune_outer = near_dedup.band_keys, near_dedup._prune_outer
+
+    def one_band(least):  # all texts meet in the first band and nowhere else
+        keys = band_keys(least)
+        keys[1:] ^= least[1:43].view("int64")
+        keys[0] = 7
+        return keys
+
+    def logged(*options):
+        def prune(batches):
+            for batch in batches:
+                cells = (x for c in batch if c.startswith("signature") for x in batch[c])
+                with open(tmp_path / "sent", "a") as sent:
+                    sent.write(f"{sum(1 if isinstance(x, bytes) else len(x) for x in cells)}\n")
+                yield from prune_outer(*options)(iter([batch]))
+
+        return prune
+
+    monkeypatch.setattr(near_dedup, "band_keys", one_band)
+    monkeypatch.setattr(near_dedup, "_prune_outer", logged)
+    texts = {i: " ".join(f"w{i}_{k}" for k in range(40)) for i in range(80)}
+    assert found(near_dedup.near_duplicates(docs(*texts.items()), stages)) == brute_force(texts)
+    # 6,400 when each class came with a list of all others
+    assert sum(map(int, (tmp_path / "sent").read_text().split())) == 80 + 79
+
+
 def test_near_dedup_hard_cases(hard, nothing, stages):
     result = near_dedup.near_duplicates(hard((9, "NO id\tat all"), (10, "ONE")), stages)
     rows = [(r[ROW_KEY[0]], r.n_shingles, r.component_id, r.kept) for r in result.collect()]

@@ -32,8 +32,8 @@ SHINGLE = 5
 BANDS, ROWS = 43, 5
 #: Chance of giving up a pair that reaches the threshold, for each batch.
 MISS = 1e-6
-#: Classes outside a bucket's largest component that are compared at a time with
-#: the others.
+#: Classes of a portion, where those outside a bucket's largest component are
+#: compared with the others portion by portion.
 OUTSIDE = 200
 #: A bucket with more of them first meets further leaders, drawn from them, while
 #: that links more than a small share; what is left is compared all the same.
@@ -185,55 +185,72 @@ def _prune(percent: int, miss: float):
     return prune
 
 
-def _common(listed: list[bytes], own: bytes, at: np.ndarray) -> np.ndarray:
-    """How many bits each of the listed values at ``at`` has in common with ``own``."""
-    block = np.frombuffer(b"".join(listed[k] for k in at), np.uint8).reshape(len(at), -1)
-    return np.bitwise_count(block & np.frombuffer(own, np.uint8)).sum(axis=1, dtype=np.int64)
+#: What is known of a class where it is compared with those of other components.
+OUTER = ("node", "component", "signature", "n_shingles", "bits", "others", "marks", "unmarked")
+
+
+def _matrix(values: np.ndarray) -> np.ndarray:
+    """Binary values of equal length, one row each."""
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+
+
+def _common(listed: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """How many bits each row has in common with ``own``."""
+    return np.bitwise_count(listed & own).sum(axis=1, dtype=np.int64)
+
+
+def _portion(row: object, ending: str) -> dict[str, np.ndarray]:
+    """The listed classes of a row, a NumPy array for each column."""
+    listed = {c: np.asarray(getattr(row, f"{c}_{ending}")) for c in OUTER}
+    return listed | {c: _matrix(listed[c]) for c in ("signature", "bits", "marks")}
 
 
 def _prune_outer(percent: int, miss: float, best: bool):
-    """The same for one class against the few of its bucket's other components.
+    """The same for a portion of a bucket's classes against a portion of its other components.
 
     What is left has to be able to reach the threshold by its profile, too. With
     ``best`` two components get one pair a batch, the most similar by that bound.
     """
     batches_of = fewest_matches(percent, miss)
 
+    def promising(own: dict, k: int, other: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the others that class ``k`` may be linked with, and the share they may reach."""
+        at = np.flatnonzero(other["component"] != own["component"][k])
+        same = other["signature"][at] == own["signature"][k]
+        alive, start, matches = np.arange(len(at)), 0, np.zeros(len(at), np.int64)
+        for end, least in batches_of:
+            matches = matches + same[alive, start:end].sum(axis=1)
+            going = matches >= least
+            alive, matches, start = alive[going], matches[going], end
+        at = at[alive]
+        # each common further shingle has a common mark, or one it shares with others
+        most = _common(other["marks"][at], own["marks"][k])
+        most += np.minimum(other["unmarked"][at], own["unmarked"][k])
+        most = np.minimum(most, np.minimum(other["others"][at], own["others"][k]))
+        most += _common(other["bits"][at], own["bits"][k])
+        union = other["n_shingles"][at] + own["n_shingles"][k] - most
+        going = 100 * most >= percent * union
+        return at[going], most[going] / union[going]
+
     def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found, chosen = [], {}
             for row in batch.itertuples(index=False):
-                at = np.flatnonzero(np.asarray(row.component_list) != row.component)
-                if not len(at):
-                    continue
-                block = np.frombuffer(b"".join(row.signature_list), np.uint8)
-                block = block.reshape(-1, len(row.signature))[at]
-                same = block == np.frombuffer(row.signature, np.uint8)
-                alive, start, matches = np.arange(len(at)), 0, np.zeros(len(at), np.int64)
-                for end, least in batches_of:
-                    matches = matches + same[alive, start:end].sum(axis=1)
-                    going = matches >= least
-                    alive, matches, start = alive[going], matches[going], end
-                at = at[alive]
-                if not len(at):
-                    continue
-                # each common further shingle has a common mark, or one it shares with others
-                most = _common(row.marks_list, row.marks, at)
-                most += np.minimum(np.asarray(row.unmarked_list)[at], row.unmarked)
-                most = np.minimum(most, np.minimum(np.asarray(row.others_list)[at], row.others))
-                most += _common(row.bits_list, row.bits, at)
-                union = np.asarray(row.n_shingles_list)[at] + row.n_shingles - most
-                going = 100 * most >= percent * union
-                at, share = at[going], (most[going] / union[going]).tolist()
-                others = np.asarray(row.node_list)[at].tolist()
-                pairs = [(min(row.node, o), max(row.node, o)) for o in others]
-                if not best:
-                    found += pairs
-                    continue
-                components = np.asarray(row.component_list)[at].tolist()
-                for c, candidate in zip(components, zip(share, pairs, strict=True), strict=True):
-                    ends = (min(c, row.component), max(c, row.component))
-                    chosen[ends] = max(chosen.get(ends, candidate), candidate)
+                own, other = _portion(row, "own"), _portion(row, "other")
+                for k, (node, component) in enumerate(
+                    zip(own["node"].tolist(), own["component"].tolist(), strict=True)
+                ):
+                    at, share = promising(own, k, other)
+                    pairs = [(min(node, o), max(node, o)) for o in other["node"][at].tolist()]
+                    if not best:
+                        found += pairs
+                        continue
+                    components = other["component"][at].tolist()
+                    for c, candidate in zip(
+                        components, zip(share.tolist(), pairs, strict=True), strict=True
+                    ):
+                        ends = (min(c, component), max(c, component))
+                        chosen[ends] = max(chosen.get(ends, candidate), candidate)
             found += [pair for _, pair in chosen.values()]
             yield pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
@@ -388,19 +405,23 @@ class _Search:
     def _compare_outer(self, few: DataFrame, profiles: DataFrame, best: bool) -> tuple[int, int]:
         """How many pairs were verified and are links.
 
-        Signatures and profiles of the others come in portions to every class
-        of the bucket, so pairs exist only inside a task until they are pruned.
+        The classes of a bucket and its others are packed to portions, and each
+        portion meets each, so pairs exist only inside a task until they are
+        pruned, and a class is sent there once for each portion of others.
         """
         few = few.join(self.classes.select("node", "signature", "n_shingles"), "node")
         few = few.join(profiles, ["leader", "node"])
-        portion = F.expr(f"pmod(xxhash64(node), CAST(ceil(outside / {OUTSIDE}) AS BIGINT))")
-        signed = self.write("signed_rest", few.withColumn("portion", portion))
-        own = ["node", "component", "signature", "n_shingles"]
-        own += ["bits", "others", "marks", "unmarked"]
-        outer = signed.filter("component != main").groupBy("bucket", "portion")
-        packed = outer.agg(*(F.collect_list(c).alias(f"{c}_list") for c in own))
-        packed = self.write("outer", packed.drop("portion"))
-        both = signed.select("bucket", *own).join(packed, "bucket").drop("bucket")
+        signed = self.write("signed_rest", few)
+
+        def packed(rows: DataFrame, size: str, ending: str) -> DataFrame:
+            portion = F.expr(f"pmod(xxhash64(node), CAST(ceil({size} / {OUTSIDE}) AS BIGINT))")
+            portions = rows.groupBy("bucket", portion.alias("portion"))
+            lists = portions.agg(*(F.collect_list(c).alias(f"{c}_{ending}") for c in OUTER))
+            return self.write(f"outer_{ending}", lists.drop("portion"))
+
+        own = packed(signed, "classes", "own")
+        other = packed(signed.filter("component != main"), "outside", "other")
+        both = own.join(other, "bucket").drop("bucket")
         prune = _prune_outer(self.percent, self.miss, best)
         pairs = self.write("survivors", both.mapInPandas(prune, "u bigint, v bigint").distinct())
         return pairs.count(), self.confirm(pairs)
@@ -488,8 +509,8 @@ class _Search:
     def mixed(self, shared: DataFrame) -> DataFrame:
         """The classes of buckets that span several components.
 
-        ``main`` is the largest component of a bucket and ``outside`` the number
-        of classes that are in others.
+        ``main`` is the largest component of a bucket, ``classes`` the number of
+        its classes and ``outside`` of those that are in other components.
         """
         labelled = shared
         if self.labels is not None:
@@ -504,7 +525,10 @@ class _Search:
         largest = F.max(F.struct("n", "component"))
         mixed = parts.groupBy("bucket").agg(largest.alias("top"), F.sum("n").alias("all"))
         mixed = mixed.filter(F.col("all") > F.col("top.n")).select(
-            "bucket", F.col("top.component").alias("main"), (F.col("all") - F.col("top.n")).alias("outside")
+            "bucket",
+            F.col("top.component").alias("main"),
+            F.col("all").alias("classes"),
+            (F.col("all") - F.col("top.n")).alias("outside"),
         )
         mixed = self.write("mixed", mixed)
         return self.write("rest", labelled.drop("size").join(mixed, "bucket"))
