@@ -13,7 +13,7 @@ from traitvote import operators as op
 from traitvote.plans import counted_rows, labelled_rows, review_names, votes_of
 from traitvote.schemas import HOMONYM_FLAGS, NAME_RULES, SYNONYMS, VOCABULARY
 from traitvote.sources import sizes
-from traitvote.starschema import adapter
+from traitvote.starschema import adapter, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -159,3 +159,18 @@ def test_long_tables_are_joined_in_as_many_tasks_as_they_need(spark, tmp_path, m
             assert rows(done) == wanted
             parts = done.groupBy(F.spark_partition_id()).count().collect()
             assert max(r["count"] for r in parts) < most * 2
+
+
+def test_long_counts_are_merged_in_as_many_tasks_as_they_need(spark, monkeypatch):
+    """They are counted and written before, so that no task counts and merges at once."""
+    with settings(spark, shuffle__partitions="2"):
+        made = (queries._counts, queries.q_build_counts)
+        plain = [rows(make(spark, SF_DIR)) for make in made]
+        monkeypatch.setattr(sizes, "TASK_ROWS", 50)
+        assert [rows(make(spark, SF_DIR)) for make in made] == plain
+        done = queries._counts(spark, SF_DIR)
+        dealt = re.findall(r"hashpartitioning\(family#\d+, genus#\d+, species#\d+, gf#\d+, .*", plan(done))
+        assert len(dealt) == 1 and re.search(r", \d\d+\), REPARTITION_BY_NUM", dealt[0])
+        assert "l_orderkey" not in plan(done)
+        parts = done.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 5 and max(r["count"] for r in parts) < 100

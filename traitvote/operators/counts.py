@@ -71,13 +71,16 @@ def _in_ranks(tags: Column) -> Column:
     return _names_in([tags], RANKS).alias("inferred_from_ranks")
 
 
-def merge_counts(counts: Mapping[str, DataFrame]) -> DataFrame:
+def merge_counts(counts: Mapping[str, DataFrame], tasks: int | None = None) -> DataFrame:
     """Sum the counts of several sources and list the sources of each.
 
     Inputs have ``obs`` per taxon and label ``gf``, or parts of it that are
     still to be summed. Rows without a family are dropped. The set of sources
     travels through the shuffle as bits of one number for every 63 of them,
     which keeps this a plain hash aggregate that starts before the shuffle.
+
+    ``tasks`` deals the rows to so many tasks instead, for long inputs that are
+    counted already; a name is then in few of them, whatever it had of records.
     """
     keys = keys_of(SPECIES)
     groups = range((len(counts) + BITS - 1) // BITS)
@@ -90,10 +93,11 @@ def merge_counts(counts: Mapping[str, DataFrame]) -> DataFrame:
         df.select(*keys, "gf", "obs", *tags(position))
         for position, df in enumerate(counts.values())
     ]
+    rows = reduce(DataFrame.unionByName, tagged).filter(F.col(FAMILY).isNotNull())
+    if tasks:
+        rows = rows.repartition(tasks, *keys, "gf")
     return (
-        reduce(DataFrame.unionByName, tagged)
-        .filter(F.col(FAMILY).isNotNull())
-        .groupBy(*keys, "gf")
+        rows.groupBy(*keys, "gf")
         .agg(F.sum("obs").alias("obs"), *(F.bit_or(f"__tags{g}").alias(f"__tags{g}") for g in groups))
         .withColumn("obs_sources", _names_in([F.col(f"__tags{g}") for g in groups], list(counts)))
         .drop(*(f"__tags{g}" for g in groups))

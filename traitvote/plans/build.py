@@ -41,7 +41,7 @@ from ..operators import (
     with_original_names,
 )
 from ..operators.names import ACCEPTED
-from ..sources import Stages
+from ..sources import Stages, tasks_for
 
 
 @dataclass(frozen=True)
@@ -216,7 +216,8 @@ def vote(
     records once in a family.
     """
     votes = {name: votes_of(rows, vocabs[name], stages) for name, rows in prepared.rows.items()}
-    tables = {"counts": merge_counts(votes)}
+    n_rows = sum(found["rows"] for found in prepared.observed.values())
+    tables = {"counts": merge_counts(votes, tasks_for(taxon.sparkSession, n_rows))}
     if prepared.synonyms is not None:
         tables["synonyms"] = prepared.synonyms
     tables = stages.write_all(tables)

@@ -30,6 +30,7 @@ from ..sources import (
     read_vocab,
     scan_observations,
     scan_traits,
+    tasks_for,
     write_keyed,
     write_list,
     write_traits,
@@ -69,15 +70,18 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
     }
 
 
-def _votes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        name: votes_of(labelled_rows(source, counted_rows(source)), source.vocab)
-        for name, source in _sources(spark, sf_dir).items()
-    }
-
-
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.merge_counts(_votes(spark, sf_dir))
+    """The merged counts; the counted rows of the sources are written, as in a build.
+
+    So a task counts or merges, and the number of rows tells how many merge.
+    """
+    sources = _sources(spark, sf_dir)
+    counted = Stages(spark).write_all({name: counted_rows(s) for name, s in sources.items()})
+    votes = {
+        name: votes_of(labelled_rows(source, counted[name]), source.vocab)
+        for name, source in sources.items()
+    }
+    return op.merge_counts(votes, tasks_for(spark, sum(rows.count() for rows in counted.values())))
 
 
 def _written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
